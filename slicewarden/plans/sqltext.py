@@ -95,11 +95,11 @@ csv_counts AS (
 csv_tagged AS (
   SELECT f.*,
     concat_ws(',',
-      CASE WHEN lacks_views THEN 'missing:views' END,
-      CASE WHEN order_id IS NULL THEN 'nn:order_id' END,
-      CASE WHEN NOT lacks_views AND NOT COALESCE(views >= 0 AND views <= 10000, FALSE) THEN 'range:views' END,
-      CASE WHEN NOT COALESCE(amount >= 0 AND amount <= 1000000, FALSE) THEN 'range:amount' END,
-      CASE WHEN NOT COALESCE(source IN ('Google','Microsoft','Facebook','Apple','Amazon'), FALSE)
+      CASE WHEN f.lacks_views THEN 'missing:views' END,
+      CASE WHEN f.order_id IS NULL THEN 'nn:order_id' END,
+      CASE WHEN NOT f.lacks_views AND NOT COALESCE(f.views >= 0 AND f.views <= 10000, FALSE) THEN 'range:views' END,
+      CASE WHEN NOT COALESCE(f.amount >= 0 AND f.amount <= 1000000, FALSE) THEN 'range:amount' END,
+      CASE WHEN NOT COALESCE(f.source IN ('Google','Microsoft','Facebook','Apple','Amazon'), FALSE)
            THEN 'isin:source' END,
       CASE WHEN c.n > 1 THEN 'uniq:order_id' END
     ) AS _failed_rules
