@@ -209,7 +209,7 @@ def partition_inventory(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         part.select("p_partkey", "p_brand", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
     brand = F.regexp_replace(F.lower(F.col("p_brand")), "#", "_")
     day = F.to_date(F.col("l_shipdate"))
-    folder = F.when(F.col("p_size") < 5, F.concat(F.lit("lake/"), brand, F.lit("/date="), day.cast("string"), F.lit("/"))) \
+    folder = F.when(F.col("p_size") < 5, F.concat(F.lit("lake"), brand, F.lit("/date="), day.cast("string"), F.lit("/"))) \
         .otherwise(F.concat(F.lit("lake/silver/"), brand, F.lit("/date="), day.cast("string"), F.lit("/")))
     files = j.where(F.col("p_size") < 25).select(folder.alias("dataset"), F.lit("FILES").alias("kind"),
                                                  day.alias("partition_date"))
