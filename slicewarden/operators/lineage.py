@@ -28,11 +28,14 @@ def job_io_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     dst = nodes.select(F.col("id").alias("__tid"), F.col("type").alias("dst_type"), F.col("name").alias("dst_name"))
     e = (edges.join(src, edges["source"] == src["__sid"], "inner")
          .join(dst, edges["target"] == dst["__tid"], "inner"))
-    out_edges = e.where((F.col("src_type") == "JOB") & (F.col("dst_type") == "DATASET")).select(
-        F.col("src_name").alias("job_name"), F.lit("out").alias("direction"), F.col("dst_name").alias("dataset"))
-    in_edges = e.where((F.col("src_type") == "DATASET") & (F.col("dst_type") == "JOB")).select(
-        F.col("dst_name").alias("job_name"), F.lit("in").alias("direction"), F.col("src_name").alias("dataset"))
-    return out_edges.unionByName(in_edges).where(~is_system_job("job_name")).distinct()
+    # One pass: JOB→DATASET is an output of the job, DATASET→JOB an input.
+    is_out = (F.col("src_type") == "JOB") & (F.col("dst_type") == "DATASET")
+    is_in = (F.col("src_type") == "DATASET") & (F.col("dst_type") == "JOB")
+    io = e.where(is_out | is_in).select(
+        F.when(is_out, F.col("src_name")).otherwise(F.col("dst_name")).alias("job_name"),
+        F.when(is_out, F.lit("out")).otherwise(F.lit("in")).alias("direction"),
+        F.when(is_out, F.col("dst_name")).otherwise(F.col("src_name")).alias("dataset"))
+    return io.where(~is_system_job("job_name")).distinct()
 
 
 def job_io_lists(io_edges: DataFrame) -> DataFrame:

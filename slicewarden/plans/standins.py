@@ -159,7 +159,10 @@ def lineage_graph(lineitem: DataFrame, supplier: DataFrame, part: DataFrame) ->
                 .otherwise(F.concat(F.lit("bigquery:proj.silver."), brand)))
     in_name = F.concat(F.lit("bigquery:proj.bronze.part_"), F.col("l_partkey").cast("string"))
     j = li.join(sup, li["l_suppkey"] == sup["s_suppkey"]).join(prt, li["l_partkey"] == prt["p_partkey"])
-    pairs = j.select(job_name.alias("job"), in_name.alias("input"), out_name.alias("output")).distinct()
+    # Materialised once: nodes and edges below both read it (a stored graph
+    # would be two tables; a reliable checkpoint stands in for them).
+    pairs = (j.select(job_name.alias("job"), in_name.alias("input"), out_name.alias("output")).distinct()
+             .checkpoint(eager=True))
     job_nodes = pairs.select(F.concat(F.lit("JOB:ns:"), F.col("job")).alias("id"), F.lit("JOB").alias("type"),
                              F.col("job").alias("name"))
     ds = pairs.select(F.col("input").alias("name")).unionByName(pairs.select(F.col("output").alias("name")))
