@@ -138,7 +138,7 @@ def _violation(r: Rule) -> str:
 
 def _success(considered: str, unexpected: str, mostly: float) -> str:
     return (f"CASE WHEN {considered} = 0 THEN TRUE ELSE "
-            f"CAST({considered} - {unexpected} AS DOUBLE) / CAST({considered} AS DOUBLE) >= {float(mostly)!r} END")
+            f"CAST({considered} - {unexpected} AS DOUBLE) / CAST({considered} AS DOUBLE) >= CAST({float(mostly)!r} AS DOUBLE) END")
 
 
 def suite_sql(rules: list[Rule], source: str) -> str:
@@ -152,14 +152,14 @@ def suite_sql(rules: list[Rule], source: str) -> str:
         if r.kind == NOT_NULL:
             body = (f"COUNT(*) AS element_count, COUNT(*) FILTER (WHERE {r.column} IS NULL) AS missing_count, "
                     f"COUNT(*) FILTER (WHERE {r.column} IS NULL) AS unexpected_count, "
-                    f"CAST(NULL AS BIGINT) AS observed_value, {float(m)!r} AS mostly, "
+                    f"CAST(NULL AS BIGINT) AS observed_value, CAST({float(m)!r} AS DOUBLE) AS mostly, "
                     f"{_success('COUNT(*)', f'COUNT(*) FILTER (WHERE {r.column} IS NULL)', m)} AS success "
                     f"FROM {source}")
         elif r.kind in (BETWEEN, LENGTH_BETWEEN, IN_SET):
             u = f"COUNT(*) FILTER (WHERE {r.column} IS NOT NULL AND COALESCE({_violation(r)}, FALSE))"
             nn = f"COUNT({r.column})"
             body = (f"COUNT(*) AS element_count, COUNT(*) - {nn} AS missing_count, {u} AS unexpected_count, "
-                    f"CAST(NULL AS BIGINT) AS observed_value, {float(m)!r} AS mostly, "
+                    f"CAST(NULL AS BIGINT) AS observed_value, CAST({float(m)!r} AS DOUBLE) AS mostly, "
                     f"{_success(nn, u, m)} AS success FROM {source}")
         elif r.kind == ROW_COUNT:
             conds = ["TRUE"]
@@ -169,7 +169,7 @@ def suite_sql(rules: list[Rule], source: str) -> str:
                 conds.append(f"COUNT(*) <= {r.max_value}")
             body = ("COUNT(*) AS element_count, CAST(NULL AS BIGINT) AS missing_count, "
                     "CAST(NULL AS BIGINT) AS unexpected_count, COUNT(*) AS observed_value, "
-                    f"{float(m)!r} AS mostly, ({' AND '.join(conds)}) AS success FROM {source}")
+                    f"CAST({float(m)!r} AS DOUBLE) AS mostly, ({' AND '.join(conds)}) AS success FROM {source}")
         elif r.kind == UNIQUE:
             c = r.column
             inner = f"(SELECT {c} AS v, COUNT(*) AS n FROM {source} GROUP BY {c})"
@@ -178,7 +178,7 @@ def suite_sql(rules: list[Rule], source: str) -> str:
             u = "COALESCE(SUM(CASE WHEN v IS NOT NULL AND n > 1 THEN n END), 0)"
             body = (f"CAST({rows} AS BIGINT) AS element_count, CAST({miss} AS BIGINT) AS missing_count, "
                     f"CAST({u} AS BIGINT) AS unexpected_count, CAST(NULL AS BIGINT) AS observed_value, "
-                    f"{float(m)!r} AS mostly, {_success(f'({rows} - {miss})', u, m)} AS success FROM {inner} g")
+                    f"CAST({float(m)!r} AS DOUBLE) AS mostly, {_success(f'({rows} - {miss})', u, m)} AS success FROM {inner} g")
         elif r.kind in (EXISTS, EXPRESSION):
             raise ValueError("not used in SQL twins")
         else:
