@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slicewarden.session import ensure_checkpoint_dir
+from slicewarden.session import apply_runtime_conf, ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -19,6 +19,7 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_checkpoint_dir(spark)
+            apply_runtime_conf(spark)
             return fn(spark, sf_dir)
 
         run.__name__ = fn.__name__

@@ -30,6 +30,20 @@ BASE_CONF = {
 }
 
 
+# SQL settings that can change on a live session (applied to sessions this
+# package did not build, e.g. a driver's).
+RUNTIME_SQL_CONF = {k: v for k, v in BASE_CONF.items()
+                    if k.startswith("spark.sql.") and k != "spark.sql.sources.partitionOverwriteMode"}
+
+
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Set the runtime SQL settings the operators assume (UTC session time
+    zone, AQE with skew-join handling, partial window-group limits)."""
+    for k, v in RUNTIME_SQL_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+
+
 def get_session(
     app: str = "slicewarden",
     master: str | None = None,
