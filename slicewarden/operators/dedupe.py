@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slicewarden.session import materialize
+
 
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
@@ -90,7 +92,7 @@ def global_positions(df: DataFrame, order: list, name: str = "position", start:
     bounded by the number of partitions, not by the data.
     """
     ordered = df.orderBy(*_cols(order)).withColumn("__mid", F.monotonically_increasing_id())
-    ordered = ordered.checkpoint(eager=True)
+    ordered = materialize(ordered)
     ordered = ordered.select("*", F.shiftright("__mid", 33).alias("__pid"),
                              (F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))).alias("__local"))
     sizes = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from slicewarden.functions.derive import OPEN_END_DATE
 from slicewarden.functions.hashing import hash_diff
+from slicewarden.session import materialize
 
 DIM_SCHEMA = T.StructType([
     T.StructField("customer_id", T.StringType()),
@@ -128,11 +129,11 @@ def fold_days(spark, snapshots: DataFrame, days: list[str], dim: DataFrame | Non
         snap = snapshots.where(F.col("day") == F.to_date(F.lit(day))).select(
             "customer_id", F.lit(None).cast("string").alias("name"),
             F.lit(None).cast("string").alias("email"), "region", "hash_diff")
-        step = merge_day(current, snap, day).checkpoint(eager=True)
+        step = materialize(merge_day(current, snap, day))
         current = step.where(F.col("is_current"))
         closed = closed.unionByName(step.where(~F.col("is_current")))
         if compact_every and i % compact_every == 0:
-            closed = closed.coalesce(n).checkpoint(eager=True)
+            closed = materialize(closed.coalesce(n))
     return closed.unionByName(current)
 
 

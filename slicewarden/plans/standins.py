@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slicewarden.session import materialize
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -161,19 +163,18 @@ def lineage_graph(lineitem: DataFrame, supplier: DataFrame, part: DataFrame) ->
     j = li.join(sup, li["l_suppkey"] == sup["s_suppkey"]).join(prt, li["l_partkey"] == prt["p_partkey"])
     # Materialised once: nodes and edges below both read it (a stored graph
     # would be two tables; a reliable checkpoint stands in for them).
-    pairs = (j.select(job_name.alias("job"), in_name.alias("input"), out_name.alias("output")).distinct()
-             .checkpoint(eager=True))
-    job_nodes = pairs.select(F.concat(F.lit("JOB:ns:"), F.col("job")).alias("id"), F.lit("JOB").alias("type"),
-                             F.col("job").alias("name"))
-    ds = pairs.select(F.col("input").alias("name")).unionByName(pairs.select(F.col("output").alias("name")))
-    ds_nodes = ds.select(F.concat(F.lit("DATASET:"), F.col("name")).alias("id"), F.lit("DATASET").alias("type"),
-                         "name")
-    nodes = job_nodes.unionByName(ds_nodes).distinct()
-    edges = (pairs.select(F.concat(F.lit("DATASET:"), F.col("input")).alias("source"),
-                          F.concat(F.lit("JOB:ns:"), F.col("job")).alias("target"))
-             .unionByName(pairs.select(F.concat(F.lit("JOB:ns:"), F.col("job")).alias("source"),
-                                       F.concat(F.lit("DATASET:"), F.col("output")).alias("target")))
-             .distinct())
+    pairs = materialize(j.select(job_name.alias("job"), in_name.alias("input"), out_name.alias("output"))
+                        .distinct())
+    job_id = F.concat(F.lit("JOB:ns:"), F.col("job"))
+    in_id = F.concat(F.lit("DATASET:"), F.col("input"))
+    out_id = F.concat(F.lit("DATASET:"), F.col("output"))
+    node = lambda i, t, n: F.struct(i.alias("id"), F.lit(t).alias("type"), F.col(n).alias("name"))
+    nodes = (pairs.select(F.explode(F.array(node(job_id, "JOB", "job"), node(in_id, "DATASET", "input"),
+                                            node(out_id, "DATASET", "output"))).alias("n"))
+             .select("n.*").distinct())
+    edge = lambda a, b: F.struct(a.alias("source"), b.alias("target"))
+    edges = (pairs.select(F.explode(F.array(edge(in_id, job_id), edge(job_id, out_id))).alias("e"))
+             .select("e.*").distinct())
     return nodes, edges
 
 
@@ -212,15 +213,13 @@ def partition_inventory(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         part.select("p_partkey", "p_brand", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
     brand = F.regexp_replace(F.lower(F.col("p_brand")), "#", "_")
     day = F.to_date(F.col("l_shipdate"))
-    folder = F.when(F.col("p_size") < 5, F.concat(F.lit("lake"), brand, F.lit("/date="), day.cast("string"), F.lit("/"))) \
-        .otherwise(F.concat(F.lit("lake/silver/"), brand, F.lit("/date="), day.cast("string"), F.lit("/")))
-    files = j.where(F.col("p_size") < 25).select(folder.alias("dataset"), F.lit("FILES").alias("kind"),
-                                                 day.alias("partition_date"))
-    tables = j.where(F.col("p_size") >= 25).select(
-        F.concat(F.lit("proj.silver."), brand).alias("dataset"),
-        F.when(F.col("p_size") < 40, F.lit("NATIVE")).otherwise(F.lit("UNPARTITIONED")).alias("kind"),
-        F.when(F.col("p_size") < 40, day).alias("partition_date"))
-    return files.unionByName(tables).distinct()
+    size = F.col("p_size")
+    folder = F.concat(F.when(size < 5, F.lit("lake")).otherwise(F.lit("lake/silver/")), brand,
+                      F.lit("/date="), day.cast("string"), F.lit("/"))
+    dataset = F.when(size < 25, folder).otherwise(F.concat(F.lit("proj.silver."), brand))
+    kind = F.when(size < 25, F.lit("FILES")).when(size < 40, F.lit("NATIVE")).otherwise(F.lit("UNPARTITIONED"))
+    return j.select(dataset.alias("dataset"), kind.alias("kind"),
+                    F.when(size < 40, day).alias("partition_date")).distinct()
 
 
 # ---------------------------------------------------------------------------

@@ -97,3 +97,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder for intermediate tables, under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{os.getpid()}"
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+
+    An eager reliable checkpoint computes the plan in the job that writes
+    the files; later plans read the files, and a lost executor re-reads them
+    instead of recomputing the lineage.
+    """
+    return df.checkpoint(eager=True)
