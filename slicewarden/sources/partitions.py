@@ -51,3 +51,9 @@ def register_table(df: DataFrame, name: str) -> DataFrame:
     """SRC-5: (re)define a named view on written parts."""
     df.createOrReplaceTempView(name)
     return df
+
+
+def has_partition(df: DataFrame, run_date: str, part_col: str = "date") -> bool:
+    """LIM-1: does the table hold any row for the run date?  A partition
+    filter plus ``limit(1)``: Spark stops after the first matching row."""
+    return not partition_slice(df, run_date, part_col).limit(1).isEmpty()

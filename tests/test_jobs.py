@@ -37,6 +37,9 @@ def test_validate_day_partial_publish(spark, tmpdir_path):
     assert ok["summary"]["success"] is True and ok["counts"]["rows_bad"] == 0
     assert not files.exists(spark, os.path.join(err, "date=2024-01-01"))
     assert spark.read.parquet(res).count() == 2
+    from slicewarden.sources.partitions import has_partition, read_table
+    assert has_partition(read_table(spark, root), "2024-01-02")
+    assert not has_partition(read_table(spark, root), "2024-01-05")
     whole = jobs.validate_day(spark, root, "2024-01-01", "basic", ready_root=ready, error_root=err,
                               results_path=res, scope="table", dry_run=True)
     assert whole["summary"]["slice_row_count"] == 200 and whole["publish"].action == "dry_run"
