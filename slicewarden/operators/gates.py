@@ -17,7 +17,10 @@ FAILED_MARKER = "_FAILED"
 
 
 def _age_minutes(now: Column, then: Column) -> Column:
-    return (F.unix_micros(now) - F.unix_micros(then)).cast("double") / F.lit(60_000_000.0)
+    """Minutes between two timestamps (either kind; wall-clock values are
+    read in the session time zone, UTC)."""
+    return (F.unix_micros(now.cast("timestamp")) - F.unix_micros(then.cast("timestamp"))).cast("double") \
+        / F.lit(60_000_000.0)
 
 
 def _ts(value: str) -> Column:

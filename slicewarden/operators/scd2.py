@@ -123,6 +123,9 @@ def fold_days(spark, snapshots: DataFrame, days: list[str], dim: DataFrame | Non
     """
     dim = dim if dim is not None else empty_dimension(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The day filters below would each recompute the snapshot aggregation
+    # over the whole source; write it once.
+    snapshots = materialize(snapshots)
     closed = dim.where(~F.col("is_current"))
     current = dim.where(F.col("is_current"))
     for i, day in enumerate(days, 1):

@@ -243,8 +243,9 @@ def bkf_plan_items(spark, sf_dir):
     """BKF-5 (BKF-1/2/3, DSN-1, JOIN-5/6/7, WIN-3, SRT-2): plan items for
     every produced dataset missing the run date."""
     items = _items(spark, sf_dir)
-    return items.select(*[F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
-                          if c == "missing_partitions" else F.col(c) for c in items.columns])
+    rendered = {"missing_partitions": F.array_join(F.transform("missing_partitions", lambda x: x.cast("string")), ","),
+                "created_at": F.col("created_at").cast("timestamp_ntz")}
+    return items.select(*[rendered[c].alias(c) if c in rendered else F.col(c) for c in items.columns])
 
 
 @register("bkf_partition_status", f"""

@@ -55,7 +55,7 @@ def orders_like(lineitem: DataFrame) -> DataFrame:
     region = (F.when(sk % 25 == 0, F.lit(None).cast("string")).when(sk % 4 == 0, "IN-N")
               .when(sk % 4 == 1, "IN-S").when(sk % 4 == 2, "IN-E").otherwise("IN-W"))
     currency = F.when(disc == 0.0, "IN").when(disc == 0.1, "INRR").otherwise("INR")
-    ts = F.col("l_shipdate").cast("timestamp")
+    ts = F.col("l_shipdate").cast("timestamp_ntz")
     order_ts = F.when(line == 7, ts + F.expr("INTERVAL 1 DAY")).otherwise(ts)
     ok = F.col("l_orderkey")
     return lineitem.select(
@@ -239,7 +239,7 @@ def object_inventory(events: DataFrame) -> DataFrame:
             .otherwise(F.concat(F.lit("part-"), F.col("event_id").cast("string"), F.lit(".parquet"))))
     prefix = F.concat(F.lit("landing/date="), day.cast("string"), F.lit("/"))
     return events.select(prefix.alias("prefix"), F.concat(prefix, leaf).alias("name"),
-                         F.col("ts").cast("timestamp").alias("updated"), day.alias("ds"))
+                         F.col("ts").cast("timestamp_ntz").alias("updated"), day.alias("ds"))
 
 
 def suite_runs(events: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ def orders_from_ids(ids: DataFrame, run_date_col: Column, id_col: str = "order_i
         k.cast("long").alias("order_id"),
         (F.lit(clo) + F.floor(_u(5, k, seed) * (chi - clo + 1))).cast("long").alias("customer_id"),
         F.to_date(day).alias("order_date"),
-        ts.alias("order_timestamp"),
+        ts.cast("timestamp_ntz").alias("order_timestamp"),
         _pick(ORDER_STATUS_VALUES, _u(6, k, seed)).alias("order_status"),
         _pick(PAYMENT_METHOD_VALUES, _u(7, k, seed)).alias("payment_method"),
         F.lit("INR").alias("currency"),
