@@ -72,6 +72,10 @@ def capped_sample(df: DataFrame, group: list[str], order: list, cap: int, fan_in
     whatever the group's size.
     """
     order_cols = _cols(order)
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    spark = df.sparkSession
+    if int(spark.conf.get(key, "1000")) < cap:
+        spark.conf.set(key, str(cap))
     staged = df.withColumn("__bucket", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
     w1 = Window.partitionBy(*group, "__bucket").orderBy(*order_cols)
     level1 = staged.withColumn("__r1", F.row_number().over(w1)).where(F.col("__r1") <= cap)

@@ -23,6 +23,9 @@ BASE_CONF = {
     # Lets the optimizer put a partial per-group limit before the shuffle of
     # capped samples (row_number() <= cap) up to this cap.
     "spark.sql.optimizer.windowGroupLimitThreshold": "20000",
+    # Fewer, larger scan tasks for multi-TB tables (each split still fits an
+    # executor core's memory comfortably).
+    "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
     # Publishing writes its own _SUCCESS marker after the manifest.
@@ -71,6 +74,12 @@ def get_session(
     return spark
 
 
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 256 << 20, minimum: int = 8) -> int:
+    """Shuffle partitions so that each holds about ``target_bytes``; AQE then
+    coalesces the small ones.  E.g. 40 TB of shuffle data → 163,840."""
+    return max(minimum, -(-shuffle_bytes // target_bytes))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
