@@ -36,6 +36,14 @@ def landing_stream(spark: SparkSession, landing_root: str, schema: T.StructType,
 
 def _write_batch(out_root: str, rules: list[Rule], partition_col: str):
     def write(batch: DataFrame, batch_id: int) -> None:
+        # Four outputs read the batch: keep it for the duration.
+        batch = batch.persist()
+        try:
+            _write_outputs(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _write_outputs(batch: DataFrame, batch_id: int) -> None:
         parts = split_rows(batch, rules)
         base = out_root.rstrip("/")
         for kind, df in (("good", parts.good), ("bad", parts.bad), ("undecided", parts.undecided)):

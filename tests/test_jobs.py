@@ -72,9 +72,14 @@ def test_fold_equals_rebuild(spark, tmpdir_path):
     jobs.fold_dimension_day(spark, root, dim, "2024-01-03")          # rerun: no change
     full = os.path.join(tmpdir_path, "dim_full")
     jobs.rebuild_dimension(spark, root, full)
-    a = sorted(map(repr, spark.read.parquet(dim).collect()))
-    b = sorted(map(repr, spark.read.parquet(full).collect()))
+    a = sorted(map(repr, jobs.read_dimension(spark, dim).collect()))
+    b = sorted(map(repr, jobs.read_dimension(spark, full).collect()))
     assert a == b and len(a) > 50
+    cur = spark.read.parquet(os.path.join(dim, "current"))
+    assert cur.count() == cur.select("customer_id").distinct().count() == 50
+    import pytest
+    with pytest.raises(ValueError):
+        jobs.fold_dimension_day(spark, root, dim, "2024-01-02")
 
 
 def test_plan_backfill_writes_ops_tables(spark, tmpdir_path):
