@@ -112,3 +112,38 @@ def dedup_documents(spark, sf_dir):
     """WIN-1 on whole texts: the lowest doc id of each exact text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     return dedupe.keep_first(docs, ["text"], ["doc_id"]).select("doc_id", "lang", "source", "n_chars")
+
+
+ROUNDTRIP_SQL = f"""
+WITH {S.CSV_FEED.strip()}
+SELECT replace(replace(_file, 'ingest/part-', ''), '.csv', '') AS label, order_id, amount, views, source,
+       CASE WHEN lacks_views THEN 'views' ELSE '' END AS missing, src_orderkey, src_linenumber
+FROM csv_feed"""
+
+
+@register("src_csv_header_groups", ROUNDTRIP_SQL)
+def src_csv_header_groups(spark, sf_dir):
+    """SRC-3/SET-1/SNK-4: the CSV feed written as real CSV files in two header
+    layouts (the RF file lacks ``views`` and orders its columns differently),
+    read back by header group with typed required columns."""
+    import uuid
+
+    from slicewarden.functions.suites import CSV_REQUIRED_COLUMNS
+    from slicewarden.plans.jobs import CSV_TYPES
+    from slicewarden.session import scratch_path
+    from slicewarden.sources.csv_source import read_csv_groups
+
+    feed = csv_feed(table(spark, sf_dir, "lineitem")).withColumn(
+        "label", F.regexp_extract("_file", r"part-(\w+)\.csv", 1))
+    folder = scratch_path(spark, f"csv-{uuid.uuid4().hex}") + "/ingest_dt=1995-01-01"
+    keys = ["src_orderkey", "src_linenumber"]
+    full = feed.where(F.col("label") != "RF").select("order_id", "amount", "views", "source", *keys, "label")
+    lacks = feed.where(F.col("label") == "RF").select("source", *keys, "order_id", "amount", "label")
+    for part in (full, lacks):
+        part.write.mode("append").option("header", "true").partitionBy("label").csv(folder)
+    back = read_csv_groups(spark, folder, CSV_REQUIRED_COLUMNS, CSV_TYPES)
+    return back.select(
+        F.regexp_extract("_file", r"label=(\w+)", 1).alias("label"), "order_id", "amount", "views", "source",
+        F.array_join("_missing", ",").alias("missing"),
+        F.col("src_orderkey").cast("long").alias("src_orderkey"),
+        F.col("src_linenumber").cast("int").alias("src_linenumber"))
