@@ -131,3 +131,24 @@ def scd2_history_by_fold(spark, sf_dir):
     snaps = _snapshots(spark, sf_dir)
     days = [r["day"].isoformat() for r in snaps.select("day").distinct().orderBy("day").collect()]
     return scd2.fold_days(spark, snaps, days)
+
+
+@register("scd2_stored_dimension", _fold_sql(FOLD_DAYS))
+def scd2_stored_dimension(spark, sf_dir):
+    """SCD2-4/SRC-1/SNK-13 as the stored daily job: events written as a
+    date-partitioned bronze table, three days folded (partition-pruned reads)
+    into ``current/`` + ``history/``, and the dimension read back."""
+    import uuid
+
+    from slicewarden.plans import jobs
+    from slicewarden.session import scratch_path
+
+    base = scratch_path(spark, f"scd2-{uuid.uuid4().hex}")
+    ev = table(spark, sf_dir, "events")
+    # The whole table is written; each day's fold reads its own partition.
+    bronze = ev.select(F.col("user_id").alias("customer_id"), F.col("event_type").alias("region"),
+                       F.to_date("ts").alias("date"))
+    bronze.write.mode("overwrite").partitionBy("date").parquet(f"{base}/bronze")
+    for d in FOLD_DAYS:
+        jobs.fold_dimension_day(spark, f"{base}/bronze", f"{base}/dim", d)
+    return jobs.read_dimension(spark, f"{base}/dim")

@@ -171,3 +171,24 @@ def agg_slice_counts(spark, sf_dir):
     """AGG-1 for every day at once: row count per daily slice."""
     ev = table(spark, sf_dir, "events")
     return ev.groupBy(F.to_date("ts").alias("run_date")).agg(F.count(F.lit(1)).alias("slice_row_count"))
+
+
+@register("pub_published_good_rows", f"""
+WITH {S.ORDERS_LIKE.strip()}
+SELECT {S.ORDER_COLUMNS} FROM orders_like WHERE NOT {S.BAD_PREDICATE}""")
+def pub_published_good_rows(spark, sf_dir):
+    """SNK-9/FILE-2/FILE-3/SRC-7/SRC-8: good rows staged, published with a
+    manifest and ``_SUCCESS``, then read back through the manifest check."""
+    import uuid
+
+    from slicewarden.session import scratch_path
+    from slicewarden.sources import publish
+
+    final = scratch_path(spark, f"ready-{uuid.uuid4().hex}") + f"/date={RUN_DATE}"
+    good = _split(spark, sf_dir).good
+    out = publish.publish_partition(spark, good, final_prefix=final, run_date=RUN_DATE, run_id="bench",
+                                    mode="basic", success=True, export_good_on_failure=True,
+                                    max_records_per_file=20_000)
+    if not out.published:
+        raise RuntimeError(f"publish did not happen: {out.action}")
+    return publish.read_published(spark, final, strict=True).select(*ORDER_COLS)
