@@ -192,3 +192,35 @@ def pub_published_good_rows(spark, sf_dir):
     if not out.published:
         raise RuntimeError(f"publish did not happen: {out.action}")
     return publish.read_published(spark, final, strict=True).select(*ORDER_COLS)
+
+
+JOB_DATE = "1996-01-01"
+
+
+@register("job_validate_day_summary", f"""
+WITH {S.ORDERS_LIKE.strip()}, {S.CROSS_CHECKS.strip()},
+day AS (SELECT * FROM cross_checks WHERE date_trunc('year', order_date) = DATE '{JOB_DATE}'),
+results AS ({S.suite_sql(suites.BASIC_SUITE, 'day')})
+SELECT '{JOB_DATE}' AS run_date, BOOL_AND(success) AS success,
+       COUNT(*) AS expectations_total, COUNT(*) FILTER (WHERE success) AS expectations_passed,
+       COUNT(*) FILTER (WHERE NOT success) AS expectations_failed,
+       MAX(element_count) AS slice_row_count, 'orders_suite' AS suite_name,
+       'orders_source' AS datasource, 'orders_with_derived' AS data_asset,
+       {_details_sql(suites.BASIC_SUITE, 'NOT success')} AS details
+FROM results""")
+def job_validate_day_summary(spark, sf_dir):
+    """VAL-9/SNK-6/SNK-5/GATE-4 through the daily job: orders written as a
+    ``date``-partitioned table (one partition per ship year), the 1996 slice
+    validated, bad rows exported, good rows published, and the appended run
+    summary read back."""
+    import uuid
+
+    from slicewarden.plans import jobs
+    from slicewarden.session import scratch_path
+
+    base = scratch_path(spark, f"validate-{uuid.uuid4().hex}")
+    orders = _orders(spark, sf_dir).select(*ORDER_COLS).withColumn("date", F.trunc("order_date", "year"))
+    orders.write.mode("overwrite").partitionBy("date").parquet(f"{base}/orders")
+    jobs.validate_day(spark, f"{base}/orders", JOB_DATE, "basic", ready_root=f"{base}/ready",
+                      error_root=f"{base}/error", results_path=f"{base}/results", run_id="job")
+    return spark.read.parquet(f"{base}/results").drop("run_ts")
