@@ -107,8 +107,3 @@ def global_positions(df: DataFrame, order: list, name: str = "position", start:
     out = ordered.join(F.broadcast(offsets), "__pid", "left")
     pos = F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local") + F.lit(start)
     return out.select(*df.columns, pos.cast("long").alias(name))
-
-
-def dedupe_on(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """Alias of :func:`keep_first` for the CSV → table job."""
-    return keep_first(df, keys, order)
