@@ -85,6 +85,13 @@ CSV_SOURCE_VALUES = ("Google", "Microsoft", "Facebook", "Apple", "Amazon")
 CSV_SAMPLE_BAD_MAX = 10_000
 CSV_TARGET_PART_ROWS = 300_000
 
+# Per-file CSV suite: required columns exist, order_id present and unique,
+# ranges inclusive, source in its set (rules on absent columns are skipped).
+CSV_SUITE = ([Rule.exists(c) for c in CSV_REQUIRED_COLUMNS]
+             + [Rule.not_null("order_id"), Rule.unique("order_id")]
+             + [Rule.between(c, lo, hi) for c, lo, hi in CSV_RANGES]
+             + [Rule.in_set("source", CSV_SOURCE_VALUES)])
+
 SUITES = {"basic": BASIC_SUITE, "cross": CROSS_SUITE}
 SUITE_NAMES = {"basic": "orders_suite", "cross": "orders_cross_suite"}
 # ---------------------------------------------------------------------------

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from slicewarden.functions import suites
 from slicewarden.functions.suites import CSV_SAMPLE_BAD_MAX
-from slicewarden.operators import dedupe, profile
+from slicewarden.operators import dedupe, profile, validate
 from slicewarden.plans import sqltext as S
 from slicewarden.plans.registry import register
 from slicewarden.plans.standins import CSV_SOURCE_ORDER, csv_feed, table
@@ -155,3 +156,14 @@ def src_csv_header_groups(spark, sf_dir):
         F.array_join("_missing", ",").alias("missing"),
         F.col("src_orderkey").cast("long").alias("src_orderkey"),
         F.col("src_linenumber").cast("int").alias("src_linenumber"))
+
+
+@register("csv_file_suite", f"""
+WITH {S.CSV_FEED.strip()}
+{S.suite_sql(suites.CSV_SUITE, 'csv_feed', by='_file', present={'views': 'NOT lacks_views'})}""")
+def csv_file_suite(spark, sf_dir):
+    """VAL-1/VAL-11: the CSV suite per source file in one aggregation
+    (required columns exist, order id not null and unique, ranges, source
+    set); rules on a column a file lacks are not evaluated for it."""
+    feed = csv_feed(table(spark, sf_dir, "lineitem"))
+    return validate.run_suite(feed, suites.CSV_SUITE, by=["_file"], missing_col="_missing")

@@ -141,26 +141,33 @@ def _success(considered: str, unexpected: str, mostly: float) -> str:
             f"CAST({considered} - {unexpected} AS DOUBLE) / CAST({considered} AS DOUBLE) >= CAST({float(mostly)!r} AS DOUBLE) END")
 
 
-def suite_sql(rules: list[Rule], source: str) -> str:
-    """UNION ALL of one SELECT per rule over ``source`` (a CTE or table)."""
+def suite_sql(rules: list[Rule], source: str, by: str | None = None, present: dict | None = None) -> str:
+    """UNION ALL of one SELECT per rule over ``source`` (a CTE or table),
+    optionally per group ``by``; ``present`` maps a column to the SQL
+    condition under which it exists (rules are skipped where it does not)."""
+    present = present or {}
+    lead = f"{by}, " if by else ""
+    group = f" GROUP BY {by}" if by else ""
     selects = []
     for i, r in enumerate(rules):
-        head = f"SELECT CAST({i} AS INTEGER) AS rule_index, '{r.kind}' AS expectation_type, "
+        head = f"SELECT {lead}CAST({i} AS INTEGER) AS rule_index, '{r.kind}' AS expectation_type, "
         col = f"'{r.column}'" if r.column else "CAST(NULL AS VARCHAR)"
         head += f"{col} AS \"column\", "
         m = r.mostly
+        mostly = f"CAST({float(m)!r} AS DOUBLE) AS mostly"
+        where = f" WHERE {present[r.column]}" if r.column in present else ""
         if r.kind == NOT_NULL:
             body = (f"COUNT(*) AS element_count, COUNT(*) FILTER (WHERE {r.column} IS NULL) AS missing_count, "
                     f"COUNT(*) FILTER (WHERE {r.column} IS NULL) AS unexpected_count, "
-                    f"CAST(NULL AS BIGINT) AS observed_value, CAST({float(m)!r} AS DOUBLE) AS mostly, "
+                    f"CAST(NULL AS BIGINT) AS observed_value, {mostly}, "
                     f"{_success('COUNT(*)', f'COUNT(*) FILTER (WHERE {r.column} IS NULL)', m)} AS success "
-                    f"FROM {source}")
+                    f"FROM {source}{where}{group}")
         elif r.kind in (BETWEEN, LENGTH_BETWEEN, IN_SET):
             u = f"COUNT(*) FILTER (WHERE {r.column} IS NOT NULL AND COALESCE({_violation(r)}, FALSE))"
             nn = f"COUNT({r.column})"
             body = (f"COUNT(*) AS element_count, COUNT(*) - {nn} AS missing_count, {u} AS unexpected_count, "
-                    f"CAST(NULL AS BIGINT) AS observed_value, CAST({float(m)!r} AS DOUBLE) AS mostly, "
-                    f"{_success(nn, u, m)} AS success FROM {source}")
+                    f"CAST(NULL AS BIGINT) AS observed_value, {mostly}, "
+                    f"{_success(nn, u, m)} AS success FROM {source}{where}{group}")
         elif r.kind == ROW_COUNT:
             conds = ["TRUE"]
             if r.min_value is not None:
@@ -169,17 +176,22 @@ def suite_sql(rules: list[Rule], source: str) -> str:
                 conds.append(f"COUNT(*) <= {r.max_value}")
             body = ("COUNT(*) AS element_count, CAST(NULL AS BIGINT) AS missing_count, "
                     "CAST(NULL AS BIGINT) AS unexpected_count, COUNT(*) AS observed_value, "
-                    f"CAST({float(m)!r} AS DOUBLE) AS mostly, ({' AND '.join(conds)}) AS success FROM {source}")
+                    f"{mostly}, ({' AND '.join(conds)}) AS success FROM {source}{group}")
         elif r.kind == UNIQUE:
             c = r.column
-            inner = f"(SELECT {c} AS v, COUNT(*) AS n FROM {source} GROUP BY {c})"
+            inner = f"(SELECT {lead}{c} AS v, COUNT(*) AS n FROM {source}{where} GROUP BY {lead}{c})"
             rows = "COALESCE(SUM(n), 0)"
             miss = "COALESCE(SUM(CASE WHEN v IS NULL THEN n END), 0)"
             u = "COALESCE(SUM(CASE WHEN v IS NOT NULL AND n > 1 THEN n END), 0)"
             body = (f"CAST({rows} AS BIGINT) AS element_count, CAST({miss} AS BIGINT) AS missing_count, "
                     f"CAST({u} AS BIGINT) AS unexpected_count, CAST(NULL AS BIGINT) AS observed_value, "
-                    f"CAST({float(m)!r} AS DOUBLE) AS mostly, {_success(f'({rows} - {miss})', u, m)} AS success FROM {inner} g")
-        elif r.kind in (EXISTS, EXPRESSION):
+                    f"{mostly}, {_success(f'({rows} - {miss})', u, m)} AS success FROM {inner} g{group}")
+        elif r.kind == EXISTS:
+            ok = f"BOOL_AND({present[r.column]})" if r.column in present else "TRUE"
+            body = ("CAST(NULL AS BIGINT) AS element_count, CAST(NULL AS BIGINT) AS missing_count, "
+                    "CAST(NULL AS BIGINT) AS unexpected_count, CAST(NULL AS BIGINT) AS observed_value, "
+                    f"{mostly}, {ok} AS success FROM {source}{group}")
+        elif r.kind == EXPRESSION:
             raise ValueError("not used in SQL twins")
         else:
             raise ValueError(r.kind)
