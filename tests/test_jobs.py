@@ -59,6 +59,10 @@ def test_csv_to_dedup_table(spark, tmpdir_path):
     assert q.count() == 6 and "_failed_rules" in q.columns
     counts = spark.read.json(os.path.join(out, "reports", "rule_counts")).count()
     assert counts == 3
+    suite = spark.read.parquet(os.path.join(out, "reports", "file_suite"))
+    c_views = suite.where("_file LIKE '%c.csv' AND `column` = 'views'").collect()
+    assert [(r.expectation_type, r.success) for r in c_views] == [("expect_column_to_exist", False)]
+    assert suite.where("_file LIKE '%a.csv' AND expectation_type LIKE '%unique'").first().unexpected_count == 2
 
 
 def test_fold_equals_rebuild(spark, tmpdir_path):
