@@ -125,7 +125,8 @@ def build_plan_items(nodes: DataFrame, edges: DataFrame, cadence: DataFrame, tas
     missing = missing.join(tm, missing["producing_job"] == tm["__tm_job"], "left")
     dag, task, job = F.col("dag_id"), F.col("task_id"), F.col("producing_job")
     has_dag = F.coalesce(dag, F.lit("")) != ""
-    stubbed = (F.lit(auto_stub) & ~has_dag & (F.coalesce(job, F.lit("")) != "")) if auto_stub else F.lit(False)
+    # The stub is attempted for unmapped producers (the flag means "attempted").
+    stubbed = (~has_dag & (F.coalesce(job, F.lit("")) != "")) if auto_stub else F.lit(False)
     items = missing.select(
         "ds_norm", "ds_target", "producing_job", "part_field", "dag_id", "task_id",
         stubbed.alias("task_map_stubbed"),
