@@ -68,6 +68,15 @@ def file_folders(file_paths: DataFrame, path_col: str = "path") -> DataFrame:
             .where(F.col("dataset") != "").distinct())
 
 
+def external_partitions(file_paths: DataFrame, dataset: str, path_col: str = "path") -> DataFrame:
+    """EXTERNAL inventory rows of a table over hive-style files: the dates
+    found in its file paths (``date=YYYY-MM-DD``)."""
+    day = F.to_date(F.regexp_extract(F.col(path_col), r"date=(\d{4}-\d{2}-\d{2})", 1))
+    return (file_paths.select(F.lit(dataset).alias("dataset"), F.lit("EXTERNAL").alias("kind"),
+                              day.alias("partition_date"))
+            .where(F.col("partition_date").isNotNull()).distinct())
+
+
 def partition_status(inventory: DataFrame, run_date: str) -> DataFrame:
     """Per dataset: does the run date exist?  Absent datasets are missing;
     unpartitioned tables always exist; partitioned ones need the date."""

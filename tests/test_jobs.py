@@ -98,3 +98,30 @@ def test_plan_backfill_writes_ops_tables(spark, tmpdir_path):
     assert spark.read.parquet(os.path.join(ops, "backfill_plan")).first().status == "PLANNED"
     tm = spark.read.parquet(os.path.join(ops, "task_map")).collect()
     assert {r.job_name for r in tm} == {"root.job", "etl.b"}
+
+
+def test_slices_overwrite_and_inventories(spark, tmpdir_path):
+    import pytest
+
+    from slicewarden.operators import backfill, lineage
+    from slicewarden.sources import files, sinks
+    from slicewarden.sources.partitions import partition_slice, path_slice, read_table
+
+    root = os.path.join(tmpdir_path, "t")
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-01"), (3, "2024-01-02")], "v long, d string")
+    df = df.withColumn("date", F.to_date("d")).drop("d")
+    sinks.write_sized_parts(df, root, rows_per_part=1, partition_by=["date"])
+    t = read_table(spark, root)
+    assert partition_slice(t, "2024-01-01").count() == 2
+    raw = spark.read.option("basePath", root).parquet(os.path.join(root, "date=2024-01-01"))
+    assert path_slice(raw, "2024-01-01").count() == 2
+    # dynamic overwrite replaces only the partitions present in the new data
+    sinks.write_sized_parts(df.where("v = 3").withColumn("v", F.lit(30).cast("long")), root, partition_by=["date"])
+    assert sorted(r.v for r in read_table(spark, root).collect()) == [1, 2, 30]
+    inv = backfill.external_partitions(files.inventory(spark, root), "proj.bronze.t")
+    st = {r["__inv_ds"]: r["__exists"] for r in backfill.partition_status(inv, "2024-01-02").collect()}
+    assert st == {"proj.bronze.t": True}
+    st = {r["__inv_ds"]: r["__exists"] for r in backfill.partition_status(inv, "2024-01-03").collect()}
+    assert st == {"proj.bronze.t": False}
+    with pytest.raises(ValueError):
+        lineage.root_job_name("ns:bootstrap.seed")
