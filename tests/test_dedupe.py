@@ -51,3 +51,12 @@ def test_global_positions_dense(spark):
     got = dedupe.global_positions(df, ["v", "pos"], name="p").collect()
     ordered = sorted(got, key=lambda r: (r.v, r.pos))
     assert [r.p for r in ordered] == list(range(1, len(got) + 1))
+
+
+def test_flag_duplicates_hot_path_matches_window_count(spark):
+    df = skewed(spark)                      # key 0 has ~1000 rows
+    got = dedupe.flag_duplicates(df, ["k"], scope=["file"], hot_rows=100)
+    want = df.withColumn("_dup", F.count(F.lit(1)).over(Window.partitionBy("file", "k")) > 1)
+    assert bag(got) == bag(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
