@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slicewarden.functions.joins import HOT_ROWS, hot_split_lookup
+
 # Fixed value: jobs whose name starts with this are system jobs and ignored.
 SYSTEM_JOB_PREFIX = "bootstrap."
 
@@ -18,7 +20,7 @@ def is_system_job(name) -> F.Column:
     return c.startswith(SYSTEM_JOB_PREFIX)
 
 
-def job_io_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def job_io_edges(nodes: DataFrame, edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Distinct (job_name, direction, dataset) with direction 'in' or 'out'.
 
     Both endpoints are resolved by inner joins on the node id (edges with an
@@ -26,8 +28,10 @@ def job_io_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """
     src = nodes.select(F.col("id").alias("__sid"), F.col("type").alias("src_type"), F.col("name").alias("src_name"))
     dst = nodes.select(F.col("id").alias("__tid"), F.col("type").alias("dst_type"), F.col("name").alias("dst_name"))
-    e = (edges.join(src, edges["source"] == src["__sid"], "inner")
-         .join(dst, edges["target"] == dst["__tid"], "inner"))
+    # A job may own a large share of all edges: hot node ids are looked up
+    # map-side (see hot_split_lookup), the rest through a shuffle join.
+    e = hot_split_lookup(edges.select("source", "target"), src, "source", "__sid", hot_rows)
+    e = hot_split_lookup(e, dst, "target", "__tid", hot_rows)
     # One pass: JOB→DATASET is an output of the job, DATASET→JOB an input.
     is_out = (F.col("src_type") == "JOB") & (F.col("dst_type") == "DATASET")
     is_in = (F.col("src_type") == "DATASET") & (F.col("dst_type") == "JOB")

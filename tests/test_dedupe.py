@@ -60,3 +60,13 @@ def test_flag_duplicates_hot_path_matches_window_count(spark):
     assert bag(got) == bag(want)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_hot_split_lookup_equals_join(spark):
+    from slicewarden.functions.joins import hot_split_lookup
+    big = skewed(spark).select("k", "pos")
+    small = spark.createDataFrame([(k, f"n{k}") for k in range(0, 300)], "id long, name string")
+    got = hot_split_lookup(big, small, "k", "id", hot_rows=100)
+    want = big.join(small, big["k"] == small["id"])
+    assert bag(got.select("k", "pos", "id", "name")) == bag(want.select("k", "pos", "id", "name"))
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
