@@ -78,3 +78,15 @@ def test_task_command_with_field(spark):
     assert r.recommended_cmd == "airflow tasks run dag_b t_b 2024-03-02 --local"
     assert r.reason == "Missing 2024-03-02 in p.s.t3 (field: biz_date)"
     assert "bkt/out/date=2024-03-02/" in items
+
+
+def test_plan_is_empty_when_nothing_is_missing(spark):
+    nodes, edges = graph(spark)
+    cad = spark.createDataFrame([], backfill.CADENCE_SCHEMA)
+    tm = spark.createDataFrame([], backfill.TASK_MAP_SCHEMA)
+    inv = spark.createDataFrame([("p.s.t2", "UNPARTITIONED", None), ("p.s.t3", "NATIVE", dt.date(2024, 3, 2)),
+                                 ("bkt/out/date=2024-03-02/", "FILES", dt.date(2024, 3, 2))],
+                                backfill.INVENTORY_SCHEMA)
+    items = backfill.build_plan_items(nodes, edges, cad, tm, inv, root="root.job", run_date="2024-03-02",
+                                      plan_id="p", created_at="2024-03-03 00:00:00")
+    assert items.count() == 0

@@ -66,3 +66,22 @@ def test_partial_publish_and_dry_run(spark, tmpdir_path):
                                     max_records_per_file=10)
     assert out.published and out.manifest["run"]["partial_publish"] is True
     assert out.manifest["file_count"] == out.staged_files >= 5
+
+
+def test_same_size_content_tamper_is_a_checksum_mismatch(spark, tmpdir_path):
+    final = os.path.join(tmpdir_path, "date=2024-02-01")
+    out = publish.publish_partition(spark, good_rows(spark), final_prefix=final, run_date="2024-02-01",
+                                    run_id="c1", mode="basic", success=True, export_good_on_failure=True)
+    m = out.manifest
+    victim = m["files"][0]["uri"].replace("file:", "")
+    with open(victim, "r+b") as f:          # flip one byte in the middle, size unchanged
+        f.seek(os.path.getsize(victim) // 2)
+        b = f.read(1)
+        f.seek(-1, 1)
+        f.write(bytes([b[0] ^ 0xFF]))
+    crc = os.path.join(os.path.dirname(victim), "." + os.path.basename(victim) + ".crc")
+    if os.path.exists(crc):
+        os.remove(crc)
+    st = {r.uri: r.status for r in publish.verify_manifest(spark, m, final, strict=False).collect()}
+    assert st[m["files"][0]["uri"]] == "checksum_mismatch"
+    assert sorted(set(st.values())) == ["checksum_mismatch", "ok"]
