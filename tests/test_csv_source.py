@@ -21,7 +21,7 @@ def make_feed(root):
     # columns in another order, one junk number
     write(os.path.join(d, "b.csv"), "source,views,order_id,amount\nApple,1,3,abc\nAmazon,2,,7\n")
     # views column absent: values must not shift
-    write(os.path.join(d, "c.csv"), "order_id,amount,source,extra\n4,5,Apple,x\n4,6,Apple,y\n")
+    write(os.path.join(d, "c.csv"), "\ufefforder_id,amount,source,extra\r\n4,5,Apple,x\r\n4,6,Apple,y\r\n")
     write(os.path.join(d, "notes.txt"), "ignored\n")
     os.makedirs(os.path.join(root, "ingest_dt=2024-01-01"))
     write(os.path.join(root, "ingest_dt=2024-01-01", "old.csv"), "order_id,amount,views,source\n9,1,1,Apple\n")
