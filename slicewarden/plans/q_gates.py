@@ -11,15 +11,21 @@ from slicewarden.plans.standins import object_inventory, suite_runs, table
 from slicewarden.sources.generate import orders_from_ids
 from slicewarden.sources.partitions import latest_partition
 
-NOW = "2024-01-30 12:00:00"
+# "Now" of each check, fixed so results repeat: the landing check runs early
+# on the 31st, the today-only variant late on the 30th, the publish check on
+# the morning of the 30th.
+NOW = "2024-01-31 04:00:00"
+NOW_TODAY = "2024-01-30 22:00:00"
+NOW_PUBLISH = "2024-01-30 06:00:00"
 MAX_AGE = 600
 
 INVENTORY_SQL = """
 objects AS (
   SELECT 'landing/date=' || CAST(CAST(ts AS DATE) AS VARCHAR) || '/' AS prefix,
          'landing/date=' || CAST(CAST(ts AS DATE) AS VARCHAR) || '/' ||
-         CASE WHEN event_type = 'error' AND hour(ts) >= 22 THEN '_SUCCESS'
-              WHEN event_type = 'signup' AND hour(ts) < 1 THEN '_MANIFEST.json'
+         CASE WHEN event_type = 'error' AND dayofmonth(ts) % 4 = 1 THEN '_SUCCESS'
+              WHEN event_type = 'signup' AND dayofmonth(ts) % 4 IN (1, 2) THEN '_MANIFEST.json'
+              WHEN dayofmonth(ts) % 7 = 0 THEN 'part-' || CAST(event_id AS VARCHAR) || '.csv'
               WHEN event_type = 'purchase' THEN 'part-' || CAST(event_id AS VARCHAR) || '.PARQUET'
               WHEN event_type = 'click' THEN 'part-' || CAST(event_id AS VARCHAR) || '.json'
               ELSE 'part-' || CAST(event_id AS VARCHAR) || '.parquet' END AS name,
@@ -31,13 +37,16 @@ RUNS_SQL = """
 basic AS (
   SELECT CAST(ts AS DATE) AS run_date,
          COUNT(*) FILTER (WHERE event_type = 'error') * 5 <= COUNT(*) AS success,
-         COUNT(*) FILTER (WHERE event_type = 'purchase') AS staged_files,
-         COUNT(*) FILTER (WHERE value > 45) * 20 > COUNT(*) AS already_published
+         CASE WHEN dayofmonth(CAST(ts AS DATE)) % 9 = 0 THEN 0
+              ELSE COUNT(*) FILTER (WHERE event_type = 'purchase') END AS staged_files,
+         dayofmonth(CAST(ts AS DATE)) % 5 = 0 AS already_published
   FROM events GROUP BY 1
 ),
 cross_runs AS (
-  SELECT CAST(ts AS DATE) AS run_date, MAX(value) < 49.9 AS success,
-         COUNT(*) FILTER (WHERE event_type = 'view') AS staged_files, FALSE AS already_published
+  SELECT CAST(ts AS DATE) AS run_date, dayofmonth(CAST(ts AS DATE)) % 3 <> 0 AS success,
+         CASE WHEN dayofmonth(CAST(ts AS DATE)) % 9 = 0 THEN 0
+              ELSE COUNT(*) FILTER (WHERE event_type = 'view') END AS staged_files,
+         FALSE AS already_published
   FROM events GROUP BY 1
 ),
 runs AS (
@@ -47,8 +56,8 @@ runs AS (
 )"""
 
 
-def _age(col: str) -> str:
-    return f"CAST(epoch_us(TIMESTAMP '{NOW}') - epoch_us({col}) AS DOUBLE) / 60000000.0"
+def _age(col: str, now: str = NOW) -> str:
+    return f"CAST(epoch_us(TIMESTAMP '{now}') - epoch_us({col}) AS DOUBLE) / 60000000.0"
 
 
 @register("gate_landing_ready", f"""
@@ -78,17 +87,18 @@ def gate_landing_ready(spark, sf_dir):
 @register("gate_landing_today", f"""
 WITH {INVENTORY_SQL.strip()}
 SELECT prefix, ds,
-       CASE WHEN CAST(ds AS VARCHAR) <> '{NOW[:10]}' THEN 'SKIP_NOT_TODAY'
+       CASE WHEN CAST(ds AS VARCHAR) <> '{NOW_TODAY[:10]}' THEN 'SKIP_NOT_TODAY'
             WHEN BOOL_OR(ends_with(name, '_SUCCESS')) THEN 'READY_MARKER'
             WHEN COUNT(*) FILTER (WHERE ends_with(lower(name), '.parquet')) < 1 THEN 'SKIP_TOO_FEW_FILES'
-            WHEN {_age("MAX(updated) FILTER (WHERE ends_with(lower(name), '.parquet'))")} > {float(MAX_AGE)}
-              THEN 'SKIP_STALE'
+            WHEN {_age("MAX(updated) FILTER (WHERE ends_with(lower(name), '.parquet'))", NOW_TODAY)}
+                 > {float(MAX_AGE)} THEN 'SKIP_STALE'
             ELSE 'READY' END AS outcome
 FROM objects GROUP BY prefix, ds""")
 def gate_landing_today(spark, sf_dir):
     """GATE-1 with the today-only rule: other dates are skipped first."""
     inv = object_inventory(table(spark, sf_dir, "events"))
-    r = gates.landing_readiness(inv, now=NOW, max_input_age_minutes=MAX_AGE, enforce_today_only=True, ds_col="ds")
+    r = gates.landing_readiness(inv, now=NOW_TODAY, max_input_age_minutes=MAX_AGE, enforce_today_only=True,
+                                ds_col="ds")
     return r.select("prefix", "ds", "outcome")
 
 
@@ -99,17 +109,17 @@ g AS (
          MAX(updated) FILTER (WHERE ends_with(name, '_SUCCESS')) AS success_updated
   FROM objects GROUP BY prefix
 )
-SELECT prefix, manifest_updated, success_updated, {_age('manifest_updated')} AS manifest_age_minutes,
-       {_age('success_updated')} AS success_age_minutes,
+SELECT prefix, manifest_updated, success_updated, {_age('manifest_updated', NOW_PUBLISH)} AS manifest_age_minutes,
+       {_age('success_updated', NOW_PUBLISH)} AS success_age_minutes,
        CASE WHEN manifest_updated IS NULL OR success_updated IS NULL THEN 'FAIL_MISSING'
-            WHEN {_age('manifest_updated')} > {float(MAX_AGE)} OR {_age('success_updated')} > {float(MAX_AGE)}
-              THEN 'FAIL_STALE'
+            WHEN {_age('manifest_updated', NOW_PUBLISH)} > {float(MAX_AGE)}
+              OR {_age('success_updated', NOW_PUBLISH)} > {float(MAX_AGE)} THEN 'FAIL_STALE'
             ELSE 'OK' END AS status
 FROM g""")
 def gate_publish_check(spark, sf_dir):
     """GATE-2: both publish markers present and fresh."""
     inv = object_inventory(table(spark, sf_dir, "events"))
-    return gates.publish_check(inv, now=NOW, max_publish_age_minutes=MAX_AGE)
+    return gates.publish_check(inv, now=NOW_PUBLISH, max_publish_age_minutes=MAX_AGE)
 
 
 @register("gate_run_outcome", f"""

@@ -226,34 +226,44 @@ def partition_inventory(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 # events → object inventory (landing and publish folders) and run results
 # ---------------------------------------------------------------------------
 def object_inventory(events: DataFrame) -> DataFrame:
-    """Objects under ``landing/date=<day>/``: one per event; purchases are
-    parquet parts, clicks JSON; errors after 22:00 are ``_SUCCESS`` markers,
-    signups before 01:00 ``_MANIFEST.json``."""
+    """Objects under ``landing/date=<day>/``, one per event.  Per-day
+    properties (day of month) decide the layout, so every gate branch occurs
+    at any scale: on days ≡ 1 (mod 4) errors are ``_SUCCESS`` markers; on days
+    ≡ 1 or 2 (mod 4) signups are ``_MANIFEST.json``; on days divisible by 7
+    the data files are CSV; otherwise purchases are ``.PARQUET``, clicks
+    ``.json`` and the rest ``.parquet``."""
     day = F.to_date(F.col("ts"))
-    hour = F.hour(F.col("ts"))
-    leaf = (F.when((F.col("event_type") == "error") & (hour >= 22), F.lit("_SUCCESS"))
-            .when((F.col("event_type") == "signup") & (hour < 1), F.lit("_MANIFEST.json"))
-            .when(F.col("event_type") == "purchase",
-                  F.concat(F.lit("part-"), F.col("event_id").cast("string"), F.lit(".PARQUET")))
-            .when(F.col("event_type") == "click", F.concat(F.lit("part-"), F.col("event_id").cast("string"), F.lit(".json")))
-            .otherwise(F.concat(F.lit("part-"), F.col("event_id").cast("string"), F.lit(".parquet"))))
+    dom = F.dayofmonth(F.col("ts"))
+    part = F.concat(F.lit("part-"), F.col("event_id").cast("string"))
+    leaf = (F.when((F.col("event_type") == "error") & (dom % 4 == 1), F.lit("_SUCCESS"))
+            .when((F.col("event_type") == "signup") & (dom % 4).isin(1, 2), F.lit("_MANIFEST.json"))
+            .when(dom % 7 == 0, F.concat(part, F.lit(".csv")))
+            .when(F.col("event_type") == "purchase", F.concat(part, F.lit(".PARQUET")))
+            .when(F.col("event_type") == "click", F.concat(part, F.lit(".json")))
+            .otherwise(F.concat(part, F.lit(".parquet"))))
     prefix = F.concat(F.lit("landing/date="), day.cast("string"), F.lit("/"))
     return events.select(prefix.alias("prefix"), F.concat(prefix, leaf).alias("name"),
                          F.col("ts").cast("timestamp_ntz").alias("updated"), day.alias("ds"))
 
 
 def suite_runs(events: DataFrame) -> DataFrame:
-    """Per day and suite mode: did the suite pass, were good rows exported,
-    how many files were staged, was the day already published."""
+    """Per day and suite mode: did the suite pass (basic: at most a fifth of
+    events are errors; cross: fails on days divisible by 3), how many
+    files were staged (none on days divisible by 9), was the day already
+    published (basic, days divisible by 5), were good rows exported."""
     day = F.to_date(F.col("ts"))
     n = F.count(F.lit(1))
+    none_staged = F.dayofmonth("run_date") % 9 == 0
     basic = events.groupBy(day.alias("run_date")).agg(
         (F.count_if(F.col("event_type") == "error") * 5 <= n).alias("success"),
-        F.count_if(F.col("event_type") == "purchase").alias("staged_files"),
-        (F.count_if(F.col("value") > 45) * 20 > n).alias("already_published"))
+        F.count_if(F.col("event_type") == "purchase").alias("__staged"))
+    basic = basic.select("run_date", "success",
+                         F.when(none_staged, F.lit(0).cast("long")).otherwise(F.col("__staged")).alias("staged_files"),
+                         (F.dayofmonth("run_date") % 5 == 0).alias("already_published"))
     cross = events.groupBy(day.alias("run_date")).agg(
-        (F.max("value") < 49.9).alias("success"),
-        F.count_if(F.col("event_type") == "view").alias("staged_files"),
-        F.lit(False).alias("already_published"))
+        F.count_if(F.col("event_type") == "view").alias("__staged"))
+    cross = cross.select("run_date", (F.dayofmonth("run_date") % 3 != 0).alias("success"),
+                         F.when(none_staged, F.lit(0).cast("long")).otherwise(F.col("__staged")).alias("staged_files"),
+                         F.lit(False).alias("already_published"))
     return (basic.withColumn("mode", F.lit("basic")).unionByName(cross.withColumn("mode", F.lit("cross")))
             .withColumn("good_exported", F.col("success") | (F.col("staged_files") >= 1)))
