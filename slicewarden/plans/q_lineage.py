@@ -21,9 +21,14 @@ pairs AS (
     CASE WHEN s.s_nationkey = 0 THEN 'bootstrap.' ELSE 'etl.' END || 'supplier_' || CAST(s.s_suppkey AS VARCHAR)
       AS job,
     'bigquery:proj.bronze.part_' || CAST(l.l_partkey AS VARCHAR) AS input,
-    CASE WHEN p.p_size < 5 THEN 'gcs:lake' || replace(lower(p.p_brand), '#', '_') || 'date=1995-01-01'
-         WHEN p.p_size < 25 THEN 'gcs:lake/silver//' || replace(lower(p.p_brand), '#', '_') || '/date=1995-01-01'
-         ELSE 'bigquery:proj.silver.' || replace(lower(p.p_brand), '#', '_') END AS output
+    CASE WHEN p.p_size < 5
+           THEN 'gcs:lake' || replace(lower(p.p_brand), '#', '_') || '_n' || CAST(s.s_nationkey AS VARCHAR)
+                || 'date=1995-01-01'
+         WHEN p.p_size < 25
+           THEN 'gcs:lake/silver//' || replace(lower(p.p_brand), '#', '_') || '_n' || CAST(s.s_nationkey AS VARCHAR)
+                || '/date=1995-01-01'
+         ELSE 'bigquery:proj.silver.' || replace(lower(p.p_brand), '#', '_') || '_n'
+              || CAST(s.s_nationkey AS VARCHAR) END AS output
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN part p ON l.l_partkey = p.p_partkey
 ),
 nodes AS (
@@ -93,14 +98,19 @@ task_map AS (
 inv AS (
   SELECT DISTINCT * FROM (
     SELECT CASE WHEN p.p_size < 5 THEN 'lake' ELSE 'lake/silver/' END || replace(lower(p.p_brand), '#', '_')
+             || '_n' || CAST(s.s_nationkey AS VARCHAR)
              || '/date=' || CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) || '/' AS dataset,
            'FILES' AS kind, CAST(l.l_shipdate AS DATE) AS partition_date
-    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE p.p_size < 25
+    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
+    WHERE p.p_size < 25
     UNION ALL
-    SELECT 'proj.silver.' || replace(lower(p.p_brand), '#', '_'),
-           CASE WHEN p.p_size < 40 THEN 'NATIVE' ELSE 'UNPARTITIONED' END,
-           CASE WHEN p.p_size < 40 THEN CAST(l.l_shipdate AS DATE) END
-    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE p.p_size >= 25)
+    SELECT 'proj.silver.' || replace(lower(p.p_brand), '#', '_') || '_n' || CAST(s.s_nationkey AS VARCHAR),
+           CASE WHEN CAST(regexp_extract(p.p_brand, '#(\\d+)', 1) AS INTEGER) % 2 = 0 THEN 'NATIVE'
+                ELSE 'UNPARTITIONED' END,
+           CASE WHEN CAST(regexp_extract(p.p_brand, '#(\\d+)', 1) AS INTEGER) % 2 = 0
+                THEN CAST(l.l_shipdate AS DATE) END
+    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
+    WHERE p.p_size >= 25)
 )"""
 
 CANDIDATES_SQL = f"""
@@ -225,7 +235,7 @@ def dsn_dataset_names(spark, sf_dir):
 
 def _config(spark, sf_dir):
     sup = table(spark, sf_dir, "supplier")
-    inv = partition_inventory(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
+    inv = partition_inventory(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"), sup)
     return cadence_table(sup), task_map_table(sup), inv
 
 

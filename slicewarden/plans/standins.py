@@ -143,19 +143,20 @@ def customer_days(events: DataFrame) -> DataFrame:
 # lineitem + supplier + part → lineage graph, config tables, inventory
 # ---------------------------------------------------------------------------
 def lineage_graph(lineitem: DataFrame, supplier: DataFrame, part: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Jobs are suppliers, datasets are part brands.
+    """Jobs are suppliers, datasets are part brands per supplier nation.
 
     A supplier job reads ``bigquery:proj.bronze.part_<partkey>`` and writes
-    its brand's output: an object-store folder for small parts (written
-    without slashes for sizes under 5, to exercise the path fix), a table
-    otherwise.  Suppliers of nation 0 are system (``bootstrap.``) jobs.
+    the (brand, nation) output: an object-store folder for small parts
+    (written without slashes for sizes under 5, to exercise the path fix), a
+    table otherwise.  Suppliers of nation 0 are system (``bootstrap.``) jobs.
     """
     li = lineitem.select("l_suppkey", "l_partkey")
     sup = supplier.select("s_suppkey", "s_nationkey")
     prt = part.select("p_partkey", "p_brand", "p_size")
     job_name = F.concat(F.when(F.col("s_nationkey") == 0, F.lit("bootstrap.")).otherwise(F.lit("etl.")),
                         F.lit("supplier_"), F.col("s_suppkey").cast("string"))
-    brand = F.regexp_replace(F.lower(F.col("p_brand")), "#", "_")
+    brand = F.concat(F.regexp_replace(F.lower(F.col("p_brand")), "#", "_"), F.lit("_n"),
+                     F.col("s_nationkey").cast("string"))
     out_name = (F.when(F.col("p_size") < 5, F.concat(F.lit("gcs:lake"), brand, F.lit("date=1995-01-01")))
                 .when(F.col("p_size") < 25, F.concat(F.lit("gcs:lake/silver//"), brand, F.lit("/date=1995-01-01")))
                 .otherwise(F.concat(F.lit("bigquery:proj.silver."), brand)))
@@ -202,24 +203,27 @@ def task_map_table(supplier: DataFrame) -> DataFrame:
     )
 
 
-def partition_inventory(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Which brand outputs hold which ship dates.
+def partition_inventory(lineitem: DataFrame, part: DataFrame, supplier: DataFrame) -> DataFrame:
+    """Which (brand, nation) outputs hold which ship dates.
 
     Folders (FILES) for small parts; tables for the rest, NATIVE
-    (date-partitioned) for sizes under 40 and UNPARTITIONED above.  Dates come
-    from the ship dates of the brand's line items, so holes are natural.
+    (date-partitioned) for even brand numbers and UNPARTITIONED for odd ones.
+    Dates come from the ship dates of the line items, so holes are natural.
     """
-    j = lineitem.select("l_partkey", "l_shipdate").join(
-        part.select("p_partkey", "p_brand", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
-    brand = F.regexp_replace(F.lower(F.col("p_brand")), "#", "_")
+    j = (lineitem.select("l_partkey", "l_suppkey", "l_shipdate")
+         .join(part.select("p_partkey", "p_brand", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
+         .join(supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")))
+    brand = F.concat(F.regexp_replace(F.lower(F.col("p_brand")), "#", "_"), F.lit("_n"),
+                     F.col("s_nationkey").cast("string"))
     day = F.to_date(F.col("l_shipdate"))
     size = F.col("p_size")
     folder = F.concat(F.when(size < 5, F.lit("lake")).otherwise(F.lit("lake/silver/")), brand,
                       F.lit("/date="), day.cast("string"), F.lit("/"))
     dataset = F.when(size < 25, folder).otherwise(F.concat(F.lit("proj.silver."), brand))
-    kind = F.when(size < 25, F.lit("FILES")).when(size < 40, F.lit("NATIVE")).otherwise(F.lit("UNPARTITIONED"))
+    native = F.regexp_extract(F.col("p_brand"), r"#(\d+)", 1).cast("int") % 2 == 0
+    kind = F.when(size < 25, F.lit("FILES")).when(native, F.lit("NATIVE")).otherwise(F.lit("UNPARTITIONED"))
     return j.select(dataset.alias("dataset"), kind.alias("kind"),
-                    F.when(size < 40, day).alias("partition_date")).distinct()
+                    F.when((size < 25) | native, day).alias("partition_date")).distinct()
 
 
 # ---------------------------------------------------------------------------
