@@ -59,7 +59,7 @@ def snapshots_by_day(df: DataFrame, key: str, attr: str, day: str) -> DataFrame:
     return per.select("customer_id", "day", "region", hash_diff("region").alias("hash_diff"))
 
 
-def merge_day(dim: DataFrame, snapshot: DataFrame, process_date: str) -> DataFrame:
+def merge_day(dim: DataFrame, snapshot: DataFrame, process_date: str, with_history: bool = True) -> DataFrame:
     """Fold one day's snapshot into the dimension.
 
     Current rows whose key arrives with another hash are closed
@@ -67,10 +67,12 @@ def merge_day(dim: DataFrame, snapshot: DataFrame, process_date: str) -> DataFra
     current row from the day on; keys absent from the snapshot stay current;
     a rerun of the same day changes nothing.  Historic rows pass through
     untouched, so only current rows and the snapshot are shuffled, in one
-    full outer join on the key.
+    full outer join on the key; each joined row yields its kept-or-closed
+    version and, when new or changed, its new version in a single pass.
+    ``with_history=False`` skips the pass-through of non-current rows (for
+    callers that keep closed versions elsewhere).
     """
     d = F.to_date(F.lit(process_date))
-    history = dim.where(~F.col("is_current"))
     current = dim.where(F.col("is_current")).alias("t")
     src = snapshot.alias("s")
     j = current.join(src, F.col("t.customer_id") == F.col("s.customer_id"), "full_outer")
@@ -78,21 +80,25 @@ def merge_day(dim: DataFrame, snapshot: DataFrame, process_date: str) -> DataFra
     has_s = F.col("s.customer_id").isNotNull()
     changed = has_t & has_s & (F.col("t.hash_diff") != F.col("s.hash_diff"))
 
-    kept_or_closed = j.where(has_t).select(
+    kept_or_closed = F.when(has_t, F.struct(
         F.col("t.customer_id").alias("customer_id"), F.col("t.name").alias("name"),
         F.col("t.email").alias("email"), F.col("t.region").alias("region"),
         F.col("t.eff_from").alias("eff_from"),
         F.when(changed, F.date_sub(d, 1)).otherwise(F.col("t.eff_to")).alias("eff_to"),
         F.when(changed, F.lit(False)).otherwise(F.col("t.is_current")).alias("is_current"),
         F.col("t.hash_diff").alias("hash_diff"),
-    )
-    inserted = j.where(has_s & (~has_t | changed)).select(
+    ))
+    inserted = F.when(has_s & (~has_t | changed), F.struct(
         F.col("s.customer_id").alias("customer_id"), F.col("s.name").alias("name"),
         F.col("s.email").alias("email"), F.col("s.region").alias("region"),
         d.alias("eff_from"), F.to_date(F.lit(OPEN_END_DATE)).alias("eff_to"),
         F.lit(True).alias("is_current"), F.col("s.hash_diff").alias("hash_diff"),
-    )
-    return history.select(*DIM_COLUMNS).unionByName(kept_or_closed).unionByName(inserted)
+    ))
+    versions = (j.select(F.explode(F.array(kept_or_closed, inserted)).alias("__v"))
+                .where(F.col("__v").isNotNull()).select("__v.*"))
+    if not with_history:
+        return versions
+    return dim.where(~F.col("is_current")).select(*DIM_COLUMNS).unionByName(versions)
 
 
 def latest_eff_from(dim: DataFrame):
@@ -132,7 +138,9 @@ def fold_days(spark, snapshots: DataFrame, days: list[str], dim: DataFrame | Non
         snap = snapshots.where(F.col("day") == F.to_date(F.lit(day))).select(
             "customer_id", F.lit(None).cast("string").alias("name"),
             F.lit(None).cast("string").alias("email"), "region", "hash_diff")
-        step = materialize(merge_day(current, snap, day))
+        # Coalesce: the union of yesterday's partitions and the join's would
+        # otherwise add partitions every day.
+        step = materialize(merge_day(current, snap, day, with_history=False).coalesce(n))
         current = step.where(F.col("is_current"))
         closed = closed.unionByName(step.where(~F.col("is_current")))
         if compact_every and i % compact_every == 0:
