@@ -48,16 +48,3 @@ def with_cross_checks(df: DataFrame, **names) -> DataFrame:
         discount_excess(**money).alias("discount_excess"),
         discount_excess_flag(**money).alias("discount_excess_flag"),
     )
-
-
-def open_interval(process_date: str) -> list[Column]:
-    """eff_from = process date, eff_to = 9999-12-31, is_current = TRUE."""
-    return [
-        F.to_date(F.lit(process_date)).alias("eff_from"),
-        F.to_date(F.lit(OPEN_END_DATE)).alias("eff_to"),
-        F.lit(True).alias("is_current"),
-    ]
-
-
-def typed_nulls(names: list[str], dtype: str = "string") -> list[Column]:
-    return [F.lit(None).cast(dtype).alias(n) for n in names]

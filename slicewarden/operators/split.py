@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,24 +44,7 @@ def split_rows(df: DataFrame, rules: list[Rule], filter_bad: bool = True) -> Spl
     return Split(df.where(~bad), df.where(bad), df.where(bad.isNull()), counts)
 
 
-def bad_flag(rules: list[Rule]) -> Column:
-    return any_violation(rules)
-
-
 def failure_tags(tagged: list[tuple[str, Column]]) -> Column:
     """Comma list of the keys whose (never NULL) failure mask is true, in
     declaration order; '' when none."""
     return F.concat_ws(",", *[F.when(mask, F.lit(key)) for key, mask in tagged])
-
-
-def any_mask(tagged: list[tuple[str, Column]]) -> Column:
-    return reduce(lambda a, b: a | b, [m for _, m in tagged]) if tagged else F.lit(False)
-
-
-def with_failure_tags(df: DataFrame, tagged: list[tuple[str, Column]], name: str = "_failed_rules") -> DataFrame:
-    return df.withColumn(name, failure_tags(tagged))
-
-
-def split_by_tags(df: DataFrame, name: str = "_failed_rules") -> tuple[DataFrame, DataFrame]:
-    """Good = no tag, bad = at least one tag (the CSV path: NULL fails)."""
-    return df.where(F.col(name) == ""), df.where(F.col(name) != "")

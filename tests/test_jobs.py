@@ -125,3 +125,20 @@ def test_slices_overwrite_and_inventories(spark, tmpdir_path):
     assert st == {"proj.bronze.t": False}
     with pytest.raises(ValueError):
         lineage.root_job_name("ns:bootstrap.seed")
+
+
+def test_small_helpers(spark, tmpdir_path):
+    from slicewarden.operators import backfill
+    from slicewarden.session import shuffle_partitions_for
+    from slicewarden.sources import files
+    from slicewarden.sources.partitions import register_table
+
+    root = os.path.join(tmpdir_path, "lake", "brand_1")
+    for d in ["2024-01-01", "2024-01-02"]:
+        spark.range(3).write.mode("overwrite").parquet(os.path.join(root, f"date={d}"))
+    folders = backfill.file_folders(files.inventory(spark, os.path.join(tmpdir_path, "lake")))
+    got = sorted((r.dataset.rsplit("lake/", 1)[-1], str(r.partition_date)) for r in folders.collect())
+    assert got == [("brand_1/date=2024-01-01/", "2024-01-01"), ("brand_1/date=2024-01-02/", "2024-01-02")]
+    assert shuffle_partitions_for(40 * 1024 ** 4) == 163_840 and shuffle_partitions_for(1) == 8
+    register_table(spark.range(4), "sw_tmp_view")
+    assert spark.table("sw_tmp_view").count() == 4
