@@ -89,58 +89,68 @@ def partition_status(inventory: DataFrame, run_date: str) -> DataFrame:
     return agg.select(F.col("dataset").alias("__inv_ds"), exists.alias("__exists"))
 
 
-def build_plan_items(nodes: DataFrame, edges: DataFrame, cadence: DataFrame, task_map: DataFrame,
-                     inventory: DataFrame, *, root: str, run_date: str, plan_id: str,
-                     created_at: str, auto_stub: bool = True) -> DataFrame:
-    """Plan items for every produced dataset that misses ``run_date``.
-
-    Columns: plan_id, downstream_table, producing_job, missing_partitions,
-    recommended_cmd, reason, priority, task_map_stubbed, created_at.
+def plan_candidates(nodes: DataFrame, edges: DataFrame, cadence: DataFrame, inventory: DataFrame, *,
+                    root: str, run_date: str) -> DataFrame:
+    """Every dataset produced in the graph, normalised and retargeted to the
+    run date, with its producer, partition field and whether the run date
+    exists: ds_norm, ds_target, producing_job, is_bronze_output, part_field,
+    partition_exists.
 
     When several jobs write the same dataset the greatest job name is taken
     (the original kept whichever it saw last).
     """
     io = job_io_edges(nodes, edges)
     outs = io.where(F.col("direction") == "out").select(
-        "job_name", F.col("dataset").alias("raw"), paths.normalise(F.col("dataset")).alias("ds_norm"),
+        "job_name", paths.normalise(F.col("dataset")).alias("ds_norm"),
         paths.is_file_dataset(F.col("dataset")).alias("is_file"))
-
     candidates = outs.groupBy("ds_norm").agg(
         F.max("job_name").alias("producing_job"),
         F.bool_or(F.col("job_name") == F.lit(root)).alias("is_bronze_output"),
         F.bool_or("is_file").alias("is_file"),
     )
-
     cad = (cadence.where(F.col("active"))
            .groupBy("job_name").agg(F.max(F.trim(F.coalesce(F.col("expected_partition_field"), F.lit(""))))
                                    .alias("__field"))
            .withColumnRenamed("job_name", "__cad_job"))
-    tm = (task_map.groupBy("job_name").agg(F.max("dag_id").alias("dag_id"), F.max("task_id").alias("task_id"))
-          .withColumnRenamed("job_name", "__tm_job"))
-
     target = paths.retarget_date(F.col("ds_norm"), run_date)
     target = F.when(F.col("is_file"), paths.fix_file_path(target)).otherwise(target)
-
     c = candidates.withColumn("ds_target", target)
     c = c.join(cad, c["producing_job"] == cad["__cad_job"], "left")
     part_field = F.when(F.col("is_bronze_output"), F.lit(None).cast("string")).otherwise(
         F.coalesce(F.when(F.col("__cad_job").isNotNull(), F.col("__field")), F.lit(DEFAULT_PARTITION_FIELD)))
-    c = c.withColumn("part_field", part_field)
-
     status = partition_status(inventory, run_date)
-    c = c.join(status, c["ds_target"] == status["__inv_ds"], "left")
-    missing = c.where(~F.coalesce(F.col("__exists"), F.lit(False)))
+    c = c.withColumn("part_field", part_field).join(status, F.col("ds_target") == status["__inv_ds"], "left")
+    return c.select("ds_norm", "ds_target", "producing_job", "is_bronze_output", "part_field",
+                    F.coalesce(F.col("__exists"), F.lit(False)).alias("partition_exists"))
+
 
+def missing_with_mapping(candidates: DataFrame, task_map: DataFrame, auto_stub: bool = True) -> DataFrame:
+    """Candidates missing the run date, with the producer's dag and task and
+    whether a task-map stub is attempted (no dag known)."""
+    tm = (task_map.groupBy("job_name").agg(F.max("dag_id").alias("dag_id"), F.max("task_id").alias("task_id"))
+          .withColumnRenamed("job_name", "__tm_job"))
+    missing = candidates.where(~F.col("partition_exists"))
     missing = missing.join(tm, missing["producing_job"] == tm["__tm_job"], "left")
-    dag, task, job = F.col("dag_id"), F.col("task_id"), F.col("producing_job")
-    has_dag = F.coalesce(dag, F.lit("")) != ""
+    has_dag = F.coalesce(F.col("dag_id"), F.lit("")) != ""
     # The stub is attempted for unmapped producers (the flag means "attempted").
-    stubbed = (~has_dag & (F.coalesce(job, F.lit("")) != "")) if auto_stub else F.lit(False)
-    items = missing.select(
-        "ds_norm", "ds_target", "producing_job", "part_field", "dag_id", "task_id",
-        stubbed.alias("task_map_stubbed"),
-    )
+    stubbed = (~has_dag & (F.coalesce(F.col("producing_job"), F.lit("")) != "")) if auto_stub else F.lit(False)
+    return missing.select("ds_norm", "ds_target", "producing_job", "part_field", "dag_id", "task_id",
+                          stubbed.alias("task_map_stubbed"))
+
+
+def build_plan_items(nodes: DataFrame, edges: DataFrame, cadence: DataFrame, task_map: DataFrame,
+                     inventory: DataFrame, *, root: str, run_date: str, plan_id: str,
+                     created_at: str, auto_stub: bool = True) -> DataFrame:
+    """Plan items for every produced dataset that misses ``run_date``.
+
+    Columns: plan_id, downstream_table, producing_job, missing_partitions,
+    recommended_cmd, reason, priority, task_map_stubbed, created_at.
+    Priorities follow the normalised names: 100, 110, 120, ...
+    """
+    cands = plan_candidates(nodes, edges, cadence, inventory, root=root, run_date=run_date)
+    items = missing_with_mapping(cands, task_map, auto_stub)
     ranked = global_positions(items, [F.col("ds_norm")], name="__pos")
+    dag, task, job = F.col("dag_id"), F.col("task_id"), F.col("producing_job")
     return ranked.select(
         F.lit(plan_id).alias("plan_id"),
         F.col("ds_target").alias("downstream_table"),

@@ -264,16 +264,9 @@ SELECT ds_target AS dataset, partition_exists FROM c2""")
 def bkf_partition_status(spark, sf_dir):
     """BKF-1/JOIN-7: does each retargeted candidate hold the run date?"""
     nodes, edges = _graph(spark, sf_dir)
-    _, _, inv = _config(spark, sf_dir)
-    io = lineage.job_io_edges(nodes, edges)
-    outs = io.where(F.col("direction") == "out").select(
-        paths.normalise(F.col("dataset")).alias("ds_norm"), paths.is_file_dataset(F.col("dataset")).alias("f"))
-    cand = outs.groupBy("ds_norm").agg(F.bool_or("f").alias("f"))
-    tgt = paths.retarget_date(F.col("ds_norm"), RUN_DATE)
-    cand = cand.select(F.when(F.col("f"), paths.fix_file_path(tgt)).otherwise(tgt).alias("dataset"))
-    status = backfill.partition_status(inv, RUN_DATE)
-    j = cand.join(status, cand["dataset"] == status["__inv_ds"], "left")
-    return j.select("dataset", F.coalesce(F.col("__exists"), F.lit(False)).alias("partition_exists"))
+    cad, _, inv = _config(spark, sf_dir)
+    cands = backfill.plan_candidates(nodes, edges, cad, inv, root=ROOT, run_date=RUN_DATE)
+    return cands.select(F.col("ds_target").alias("dataset"), "partition_exists")
 
 
 @register("bkf_task_map_upsert", f"""
@@ -284,5 +277,8 @@ SELECT COALESCE(t.job_name, s.job_name) AS job_name, t.dag_id, t.task_id,
 FROM task_map t FULL OUTER JOIN stubs s ON t.job_name = s.job_name""")
 def bkf_task_map_upsert(spark, sf_dir):
     """BKF-4/JOIN-4: task map after upserting stubs for unmapped producers."""
-    _, tm, _ = _config(spark, sf_dir)
-    return backfill.upsert_task_map_stubs(tm, backfill.stub_targets(_items(spark, sf_dir)))
+    nodes, edges = _graph(spark, sf_dir)
+    cad, tm, inv = _config(spark, sf_dir)
+    cands = backfill.plan_candidates(nodes, edges, cad, inv, root=ROOT, run_date=RUN_DATE)
+    missing = backfill.missing_with_mapping(cands, tm)
+    return backfill.upsert_task_map_stubs(tm, backfill.stub_targets(missing))
