@@ -80,3 +80,25 @@ def neighbourhood(nodes: DataFrame, edges: DataFrame, root: str) -> tuple[DataFr
     ends = touching.select(F.col("source").alias("id")).unionByName(touching.select(F.col("target").alias("id"))).distinct()
     hood_nodes = nodes.join(ends, "id", "left_semi")
     return hood_nodes, touching
+
+
+def job_io_chunks(io_edges: DataFrame, chunk_size: int = 10_000, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Per job and direction, the sorted distinct datasets in numbered chunks
+    of at most ``chunk_size`` (job_name, direction, chunk, datasets).
+
+    The bounded form of :func:`job_io_lists` for jobs with very many
+    datasets: every dataset appears exactly once, in order, and no group
+    collected by one task exceeds ``chunk_size``.  Positions come from a
+    global sort; each (job, direction) group's first position is looked up
+    with the hot-key-safe join.
+    """
+    from slicewarden.operators.dedupe import global_positions
+
+    keyed = io_edges.select("job_name", "direction", "dataset",
+                            F.concat_ws("\u0000", "job_name", "direction").alias("__g"))
+    pos = global_positions(keyed, [F.col("job_name"), F.col("direction"), F.col("dataset")], name="__p")
+    starts = pos.groupBy(F.col("__g").alias("__g0")).agg(F.min("__p").alias("__s"))
+    j = hot_split_lookup(pos, starts, "__g", "__g0", hot_rows)
+    chunk = F.floor((F.col("__p") - F.col("__s")) / F.lit(chunk_size)).cast("long")
+    return (j.groupBy("job_name", "direction", chunk.alias("chunk"))
+            .agg(F.sort_array(F.collect_list("dataset")).alias("datasets")))

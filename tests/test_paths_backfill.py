@@ -90,3 +90,17 @@ def test_plan_is_empty_when_nothing_is_missing(spark):
     items = backfill.build_plan_items(nodes, edges, cad, tm, inv, root="root.job", run_date="2024-03-02",
                                       plan_id="p", created_at="2024-03-03 00:00:00")
     assert items.count() == 0
+
+
+def test_job_io_chunks_exact_and_bounded(spark):
+    nodes, edges = graph(spark)
+    io = lineage.job_io_edges(nodes, edges)
+    lists = {r.job_name: r for r in lineage.job_io_lists(io).collect()}
+    for size in (1, 1000):
+        rows = lineage.job_io_chunks(io, chunk_size=size, hot_rows=1).collect()
+        assert all(len(r.datasets) <= size for r in rows)
+        for job, r in lists.items():
+            for direction, want in (("in", r.inputs), ("out", r.outputs)):
+                got = [d for c in sorted((x for x in rows if x.job_name == job and x.direction == direction),
+                                         key=lambda x: x.chunk) for d in c.datasets]
+                assert got == list(want)
