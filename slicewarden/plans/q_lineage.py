@@ -282,3 +282,22 @@ def bkf_task_map_upsert(spark, sf_dir):
     cands = backfill.plan_candidates(nodes, edges, cad, inv, root=ROOT, run_date=RUN_DATE)
     missing = backfill.missing_with_mapping(cands, tm)
     return backfill.upsert_task_map_stubs(tm, backfill.stub_targets(missing))
+
+
+CHUNK = 100
+
+
+@register("lin_job_io_chunks", f"""
+WITH {LINEAGE_SQL.strip()},
+ranked AS (SELECT job_name, direction, dataset,
+                  (ROW_NUMBER() OVER (PARTITION BY job_name, direction ORDER BY dataset) - 1) // {CHUNK} AS chunk
+           FROM io)
+SELECT job_name, direction, CAST(chunk AS BIGINT) AS chunk, STRING_AGG(dataset, '|' ORDER BY dataset) AS datasets,
+       COUNT(*) AS n_datasets
+FROM ranked GROUP BY job_name, direction, chunk""")
+def lin_job_io_chunks(spark, sf_dir):
+    """AGG-10 bounded: each job's sorted inputs / outputs in chunks of 100."""
+    nodes, edges = _graph(spark, sf_dir)
+    chunks = lineage.job_io_chunks(lineage.job_io_edges(nodes, edges), chunk_size=CHUNK)
+    return chunks.select("job_name", "direction", "chunk", F.array_join("datasets", "|").alias("datasets"),
+                         F.size("datasets").cast("long").alias("n_datasets"))
