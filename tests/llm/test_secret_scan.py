@@ -88,7 +88,7 @@ def corpus():
     rnd = random.Random(2)
     keys = ["".join(rnd.choice(string.ascii_letters + string.digits) for _ in range(40)) for _ in range(150)]
     words = [f"section-{i}-of-the-annual-report-{i % 7}" for i in range(150)]
-    words += ["aaaa1111" * 5 + "b" * (i % 3) for i in range(60)]
+    words += ["zzzz1111" * 5 + "y" * (i % 3) for i in range(60)]
     return keys, words
 
 
