@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slicewarden.llm import arc_to_warc, boosted_quality, bpe_automaton, compression_bands
-from slicewarden.llm import decontaminate, external_shuffle, secret_scan, simhash_dedup
+from slicewarden.llm import decontaminate, external_shuffle, license_scan, secret_scan, simhash_dedup, surrogates
 from slicewarden.llm.common import read_table
 from slicewarden.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+# Stands in for the secret a deployment passes to ``pseudonymise``.
+SURROGATE_KEY = b"slicewarden surrogate key"
 
 
 def word_bpe_path() -> str:
@@ -138,3 +140,15 @@ FROM docs d LEFT JOIN covered c ON c.r = d.r LEFT JOIN listed t ON t.r = d.r
 def op10(spark, sf_dir):
     found = decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.drop("text_hash", "positions")
+
+
+@query("op6_surrogates")
+def op6(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.pseudonymise(docs, SURROGATE_KEY)
+
+
+@query("op9_license_scan")
+def op9(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.license_scan(docs).drop("text")
