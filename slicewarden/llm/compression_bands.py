@@ -46,10 +46,10 @@ class Bands:
     """
 
     whole: tuple[tuple[int, float, float], ...] = (
-        (0, 0.0, 9.9), (128, 0.25, 1.05), (256, 0.22, 0.98), (512, 0.20, 0.92), (1024, 0.18, 0.88),
-        (4096, 0.14, 0.82), (16384, 0.08, 0.80))
+        (0, 0.0, 9.9), (128, 0.25, 1.05), (256, 0.22, 0.95), (512, 0.20, 0.85), (1024, 0.18, 0.78),
+        (4096, 0.14, 0.72), (16384, 0.08, 0.70))
     chunk_bytes: int = 4096
-    chunk: tuple[float, float] = (0.08, 0.86)
+    chunk: tuple[float, float] = (0.08, 0.75)
     level: int = 3
 
     def limits(self, n: int) -> tuple[float, float]:

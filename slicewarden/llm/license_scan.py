@@ -76,6 +76,11 @@ def blocks(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _plain(text: str) -> bytes:
+    """What is compressed: lower case, single spaces."""
+    return " ".join(text.lower().split()).encode()
+
+
 @functools.lru_cache(maxsize=1)
 def _packers(level: int):
     import zstandard
@@ -83,7 +88,7 @@ def _packers(level: int):
     plain = zstandard.ZstdCompressor(level=level, write_checksum=False)
     by_template = []
     for _, text in TEMPLATES:
-        d = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d = zstandard.ZstdCompressionDict(_plain(text), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         by_template.append(zstandard.ZstdCompressor(level=level, dict_data=d, write_checksum=False))
     return plain, by_template
 
@@ -115,7 +120,7 @@ def wording(block: str, template: str) -> tuple[list[str], list[str], tuple[int,
 @functools.lru_cache(maxsize=20_000)
 def identify(block: str, top: int = 6, least: float = 0.05, most_changed: float = 0.15) -> tuple | None:
     """(license, share saved, changed words, start, end) or None."""
-    for saved, i in savings(block.encode())[:top]:
+    for saved, i in savings(_plain(block))[:top]:
         if saved < least:
             return None
         name, template = TEMPLATES[i]
