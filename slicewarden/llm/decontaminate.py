@@ -43,13 +43,21 @@ def windows(benchmark: DataFrame, window: int) -> DataFrame:
     return grams.groupBy("gram", "length").agg(F.collect_set("item").alias("items"))
 
 
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _place(hashes: Column, bits: int) -> Column:
+    """A window's bit, from the hashes of its words."""
+    return F.xxhash64(hashes).bitwiseAND(F.lit(bits - 1))
+
+
 def _screen(grams: DataFrame, count: int) -> tuple[Column, int]:
     """Bit array over the grams' hashes as a constant, and its size in bits."""
     bits = min(MAX_BITS, max(1 << 12, 1 << math.ceil(math.log2(64 * max(count, 1)))))
-    at = F.pmod(F.xxhash64("gram"), F.lit(bits))
-    filled = (grams.select(F.floor(at / 64).alias("slot"), F.expr(
-        f"shiftleft(1L, cast(pmod(pmod(xxhash64(gram), {bits}L), 64L) as int))").alias("bit"))
-        .groupBy("slot").agg(F.bit_or("bit").alias("bits")).collect())          # at most bits / 64 rows
+    places = grams.select(_place(_hashes(F.split("gram", " ")), bits).alias("at"))
+    filled = (places.groupBy(F.shiftright("at", 6).alias("slot"))
+              .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).collect())   # <= bits / 64 rows
     slots = [0] * (bits // 64)
     for r in filled:
         slots[r["slot"]] = r["bits"]
@@ -68,24 +76,28 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = 13, id_col: str =
     screen, bits = _screen(grams, total)
     words = words.withColumn("screen", screen)
 
-    def gram_at(length):
-        return lambda i: F.array_join(F.slice("words", i, F.lit(length)), " ")
+    def maybe(v, length):
+        def gram(i):
+            return F.array_join(F.slice(v["words"], i, F.lit(length)), " ")
+
+        def bit(at):
+            return F.getbit(F.get(v["screen"], F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1
 
-    def maybe(length):
         def test(i):
-            at = F.pmod(F.xxhash64(gram_at(length)(i)), F.lit(bits))
-            slot = F.get("screen", F.floor(at / 64).cast("int"))
-            return F.call_function("getbit", slot, F.pmod(at, F.lit(64)).cast("int")) == 1
+            return F.exists(F.array(_place(F.slice(v["hashes"], i, F.lit(length)), bits)), bit)
 
-        last = F.size("words") - length + 1
+        last = F.size(v["words"]) - length + 1
         starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
         return F.transform(F.filter(starts, test), lambda i: F.struct(
-            i.alias("at"), F.lit(length).alias("length"), gram_at(length)(i).alias("gram")))
+            i.alias("at"), F.lit(length).alias("length"), gram(i).alias("gram")))
 
-    found = [maybe(n) for n in sorted(sizes)]
+    # A lambda's variable is worked out once; a column could be put into the
+    # window's expression and be worked out for every window.
+    once = F.array(F.struct("words", _hashes(F.col("words")).alias("hashes"), F.col("screen")))
+    found = F.transform(once, lambda v: F.concat(*[maybe(v, n) for n in sorted(sizes)])) if sizes else None
     none = F.array().cast("array<struct<at:int,length:int,gram:string>>")
     scanned = stored(words.select("doc_id", "text_hash", F.size("words").alias("n_words"),
-                                  (F.concat(*found) if found else none).alias("found")), "scanned")
+                                  (F.element_at(found, 1) if sizes else none).alias("found")), "scanned")
     grams = F.broadcast(grams) if total <= BROADCAST_WINDOWS else grams
     exact = (scanned.select("doc_id", "text_hash", F.explode("found").alias("f"))
              .select("doc_id", "text_hash", "f.at", "f.length", "f.gram").join(grams, ["gram", "length"]))
