@@ -53,11 +53,13 @@ def _join(prefix: str, name: str) -> str:
     return prefix.rstrip("/") + "/" + name
 
 
-def manifest_entries(spark: SparkSession, final_prefix: str) -> DataFrame:
-    """FILE-2 file entries: uri, name, size, updated, md5 for the parts under
-    the final prefix (md5 computed on the executors); etag, crc32c and
-    content_type are store fields and stay NULL."""
-    inv = files.inventory(spark, final_prefix, glob="*.parquet", checksums=True)
+def manifest_entries(spark: SparkSession, final_prefix: str, checksums: bool = False) -> DataFrame:
+    """FILE-2 file entries: uri, name, size, updated for the parts under the
+    final prefix, from the listing alone; md5 (reads every file, each at most
+    2 GB) when ``checksums``; etag, crc32c and content_type stay NULL."""
+    inv = files.inventory(spark, final_prefix, glob="*.parquet", checksums=checksums)
+    if not checksums:
+        inv = inv.withColumn("md5", F.lit(None).cast("string"))
     return inv.select(
         F.col("path").alias("uri"), F.col("name"), F.col("size").cast("long").alias("size"),
         F.date_format(F.col("updated"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("updated"),
@@ -65,9 +67,9 @@ def manifest_entries(spark: SparkSession, final_prefix: str) -> DataFrame:
         F.lit(None).cast("string").alias("content_type"))
 
 
-def build_manifest(spark: SparkSession, final_prefix: str, run_meta: dict) -> dict:
+def build_manifest(spark: SparkSession, final_prefix: str, run_meta: dict, checksums: bool = False) -> dict:
     """Header plus one entry per published file (a partition's file list)."""
-    entries = [r.asDict() for r in manifest_entries(spark, final_prefix).orderBy("name").collect()]
+    entries = [r.asDict() for r in manifest_entries(spark, final_prefix, checksums).orderBy("name").collect()]
     return {"version": MANIFEST_VERSION, "partition": final_prefix, "run": run_meta, "files": entries,
             "file_count": len(entries), "generated_at": _now()}
 
@@ -75,10 +77,12 @@ def build_manifest(spark: SparkSession, final_prefix: str, run_meta: dict) -> di
 def publish_partition(spark: SparkSession, good: DataFrame, *, final_prefix: str, run_date: str, run_id: str,
                       mode: str, success: bool, export_good_on_failure: bool, min_files: int = 1,
                       allow_republish: bool = False, dry_run: bool = False,
-                      max_records_per_file: int | None = None) -> PublishOutcome:
+                      max_records_per_file: int | None = None, checksums: bool = False) -> PublishOutcome:
     """SNK-9/SNK-10/GATE-4/FILE-1: stage, decide, publish or mark failed.
 
-    ``dry_run`` writes nothing and returns the file plan.
+    ``dry_run`` writes nothing and returns the file plan.  A run that may not
+    publish stages nothing.  ``_SUCCESS`` is written only when the manifest
+    lists exactly the staged files with their sizes.
     """
     final = final_prefix.rstrip("/") + "/"
     staging = _join(final, f"_staging/{run_id}") + "/"
@@ -89,11 +93,12 @@ def publish_partition(spark: SparkSession, good: DataFrame, *, final_prefix: str
                 {"op": "write", "to": _join(final, SUCCESS_MARKER)}]
         return PublishOutcome(run_date, False, False, "dry_run", 0, staging, final, None, plan)
 
-    writer = good.write.mode("overwrite")
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.parquet(staging)
-    staged = [p for p, _, _ in files.list_names(spark, staging) if p.endswith(".parquet")]
+    if success or export_good_on_failure:
+        writer = good.write.mode("overwrite")
+        if max_records_per_file:
+            writer = writer.option("maxRecordsPerFile", max_records_per_file)
+        writer.parquet(staging)
+    staged = {p: size for p, size, _ in files.list_names(spark, staging) if p.endswith(".parquet")}
     should = bool(success or (export_good_on_failure and len(staged) >= min_files))
     if not should:
         meta = {"run_date": run_date, "run_id": run_id, "mode": mode, "at": _now(),
@@ -112,7 +117,10 @@ def publish_partition(spark: SparkSession, good: DataFrame, *, final_prefix: str
     run_meta = {"run_date": run_date, "run_id": run_id, "mode": mode, "source_staging": staging,
                 "published_at": _now(), "validation_success": bool(success), "partial_publish": not success,
                 "staged_file_count": len(staged)}
-    manifest = build_manifest(spark, final, run_meta)
+    manifest = build_manifest(spark, final, run_meta, checksums)
+    want = {p.rsplit("/", 1)[-1]: size for p, size in staged.items()}
+    if {f["name"]: f["size"] for f in manifest["files"]} != want:
+        raise OSError(f"{final} does not hold the files staged in {staging}; not published")
     files.write_text(spark, _join(final, MANIFEST_MARKER), json.dumps(manifest, separators=(",", ":")))
     files.write_text(spark, _join(final, SUCCESS_MARKER), "")
     return PublishOutcome(run_date, True, True, "publish", len(staged), staging, final, manifest)
@@ -139,7 +147,9 @@ def verify_manifest(spark: SparkSession, manifest: dict, partition: str, strict:
     rest.  Sorted by name.
     """
     listed = manifest_frame(spark, manifest).alias("m")
-    actual = files.inventory(spark, partition, glob="*.parquet", checksums=True).alias("a")
+    deep = any(f.get("md5") for f in manifest.get("files", []))
+    actual = files.inventory(spark, partition, glob="*.parquet", checksums=deep)
+    actual = (actual if deep else actual.withColumn("md5", F.lit(None).cast("string"))).alias("a")
     j = listed.join(actual, F.col("m.uri") == F.col("a.path"), "left")
     status = (F.when(F.col("a.path").isNull(), F.lit("missing"))
               .when(F.col("m.size").isNotNull() & (F.col("m.size") != F.col("a.size")), F.lit("size_mismatch"))

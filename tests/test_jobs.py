@@ -53,7 +53,7 @@ def test_csv_to_dedup_table(spark, tmpdir_path):
     r = jobs.csv_to_dedup_table(spark, raw, out, rows_per_part=1)
     assert r["partition"] == "ingest_dt=2024-01-02"
     good = spark.read.parquet(os.path.join(out, "parquet", "ingest_dt=2024-01-02"))
-    assert sorted(x.order_id for x in good.collect()) == [1]
+    assert sorted(x.order_id for x in good.collect()) == ["1"]
     assert spark.read.parquet(os.path.join(out, "orders_dedup")).count() == 1
     q = spark.read.option("header", True).csv(os.path.join(out, "quarantine", "ingest_dt=2024-01-02"))
     assert q.count() == 6 and "_failed_rules" in q.columns

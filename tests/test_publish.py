@@ -71,7 +71,8 @@ def test_partial_publish_and_dry_run(spark, tmpdir_path):
 def test_same_size_content_tamper_is_a_checksum_mismatch(spark, tmpdir_path):
     final = os.path.join(tmpdir_path, "date=2024-02-01")
     out = publish.publish_partition(spark, good_rows(spark), final_prefix=final, run_date="2024-02-01",
-                                    run_id="c1", mode="basic", success=True, export_good_on_failure=True)
+                                    run_id="c1", mode="basic", success=True, export_good_on_failure=True,
+                                    checksums=True)
     m = out.manifest
     victim = m["files"][0]["uri"].replace("file:", "")
     with open(victim, "r+b") as f:          # flip one byte in the middle, size unchanged
