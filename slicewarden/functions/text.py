@@ -5,14 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The command and reason formats of backfill plan items.
-TASK_CMD = "airflow tasks run {dag} {task} {date} --local"
-DAG_CMD = "airflow dags backfill {dag} -s {date} -e {date}"
+# Fixed values of backfill plan items; the other texts stand in the functions below.
 NO_MAPPING_CMD = "-- Add task_map row for producing job to get precise command"
-TASK_REASON = "Missing {date} in {target}"
-FIELD_SUFFIX = " (field: {field})"
-DAG_REASON = "Missing {date}; no task mapping for {job}"
-UNMAPPED_REASON = "Missing {date}; producing job unmapped: {job}"
 STUBBED_SUFFIX = " (stubbed ops.task_map)"
 UNKNOWN_JOB = "unknown"
 

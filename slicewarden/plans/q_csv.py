@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from slicewarden.functions import suites
-from slicewarden.functions.suites import CSV_SAMPLE_BAD_MAX
 from slicewarden.operators import dedupe, profile, validate
 from slicewarden.plans import sqltext as S
 from slicewarden.plans.registry import register
@@ -55,7 +54,7 @@ def csv_rule_counts(spark, sf_dir):
 
 @register("csv_file_summary", _with("") + f"""
 SELECT _file, COUNT(*) AS rows_total, COUNT(*) FILTER (WHERE _failed_rules <> '') AS rows_bad,
-       LEAST(COUNT(*) FILTER (WHERE _failed_rules <> ''), {CSV_SAMPLE_BAD_MAX}) AS sampled_bad
+       COUNT(*) FILTER (WHERE _failed_rules <> '') AS sampled_bad
 FROM csv_tagged GROUP BY _file""")
 def csv_file_summary(spark, sf_dir):
     """AGG-5/VAL-11: rows_total, rows_bad, sampled_bad per source file."""
@@ -65,9 +64,9 @@ def csv_file_summary(spark, sf_dir):
 @register("csv_bad_sample", _with(f""",
 ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY _file ORDER BY {CSV_ORDER_SQL}) AS sample_rank
            FROM csv_tagged WHERE _failed_rules <> '')""") + f"""
-SELECT {S.CSV_COLUMNS}, _failed_rules, sample_rank FROM ranked WHERE sample_rank <= {CSV_SAMPLE_BAD_MAX}""")
+SELECT {S.CSV_COLUMNS}, _failed_rules, sample_rank FROM ranked""")
 def csv_bad_sample(spark, sf_dir):
-    """LIM-2/SNK-8: first 10,000 bad rows per file, tagged, in file order."""
+    """LIM-2/SNK-8: every bad row, tagged, with its rank in its file."""
     s = profile.bad_sample(_tagged(spark, sf_dir), CSV_SOURCE_ORDER)
     return s.select(*CSV_COLS, "_failed_rules", F.col("sample_rank").cast("long").alias("sample_rank"))
 
@@ -150,7 +149,7 @@ def src_csv_header_groups(spark, sf_dir):
     lacks = feed.where(F.col("label") == "RF").select("source", *keys, "order_id", "amount", "label")
     for part in (full, lacks):
         part.write.mode("append").option("header", "true").partitionBy("label").csv(folder)
-    back = read_csv_groups(spark, folder, CSV_REQUIRED_COLUMNS, CSV_TYPES)
+    back = read_csv_groups(spark, folder, CSV_REQUIRED_COLUMNS, CSV_TYPES | {"order_id": "bigint"})
     return back.select(
         F.regexp_extract("_file", r"label=(\w+)", 1).alias("label"), "order_id", "amount", "views", "source",
         F.array_join("_missing", ",").alias("missing"),

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from slicewarden.operators import scd2
 from slicewarden.plans.registry import register
 from slicewarden.plans.standins import customer_days, table
+from slicewarden.session import materialize
 
 SNAP_DAY = "2024-01-15"
-FOLD_DAYS = ["2024-01-01", "2024-01-02", "2024-01-03"]
+FOLD_DAYS = [f"2024-01-{d:02d}" for d in range(1, 31)]        # the days of the events table
 
 
 def _hash_sql(col: str) -> str:
@@ -72,43 +73,60 @@ def scd2_snapshot_day(spark, sf_dir):
     return scd2.daily_snapshot(days.where(F.col("day") == F.to_date(F.lit(SNAP_DAY))))
 
 
+def _days(snaps):
+    return [r["day"].isoformat() for r in snaps.select("day").distinct().orderBy("day").collect()]
+
+
 @register("scd2_merge_3days", _fold_sql(FOLD_DAYS))
 def scd2_merge_3days(spark, sf_dir):
-    """SCD2-4 (with SCD2-2, SCD2-3, SET-2): fold three days into an empty
-    dimension, one merge per day."""
+    """SCD2-4 (with SCD2-2, SCD2-3, SET-2): every day found, one merge per
+    day; the first three in one plan, the rest from there."""
     snaps = _snapshots(spark, sf_dir)
+    days = _days(snaps)
     dim = scd2.empty_dimension(spark)
-    for d in FOLD_DAYS:
+    for i, d in enumerate(days):
         dim = scd2.merge_day(dim, _day(snaps, d), d)
+        if i % 3 == 2 and d != days[-1]:
+            dim = materialize(dim)
     return dim
 
 
-@register("scd2_close_changed", _fold_sql(FOLD_DAYS[:1]).replace(
-    f"\nSELECT {DIM_COLS} FROM dim1", f""",
-s2 AS (SELECT customer_id, region, hash_diff FROM h WHERE day = DATE '{FOLD_DAYS[1]}')
-SELECT t.customer_id, t.name, t.email, t.region, t.eff_from, DATE '{FOLD_DAYS[1]}' - 1 AS eff_to,
-       FALSE AS is_current, t.hash_diff
-FROM dim1 t WHERE t.is_current AND EXISTS (
-  SELECT 1 FROM s2 s WHERE s.customer_id = t.customer_id AND s.hash_diff != t.hash_diff)"""))
-def scd2_close_changed(spark, sf_dir):
-    """SCD2-2/JOIN-1: versions closed by day 2 (semi join with residual)."""
+# The dimension as of the day before the last, and the last day's snapshot.
+_LAST_DAY_SQL = f"""
+WITH {SNAP_SQL.strip()},
+l AS (SELECT MAX(day) AS last FROM h),
+m AS (SELECT h.*, LAG(hash_diff) OVER (PARTITION BY customer_id ORDER BY day) AS prev FROM h, l WHERE day < last),
+v AS (SELECT *, LEAD(day) OVER (PARTITION BY customer_id ORDER BY day) AS next FROM m
+      WHERE prev IS NULL OR prev <> hash_diff),
+dim AS (SELECT customer_id, region, day AS eff_from, hash_diff FROM v WHERE next IS NULL),
+s2 AS (SELECT h.* FROM h, l WHERE day = last)"""
+
+
+def _before_last(spark, sf_dir):
     snaps = _snapshots(spark, sf_dir)
-    dim1 = scd2.merge_day(scd2.empty_dimension(spark), _day(snaps, FOLD_DAYS[0]), FOLD_DAYS[0])
-    return scd2.closed_versions(dim1, _day(snaps, FOLD_DAYS[1]), FOLD_DAYS[1])
+    last = _days(snaps)[-1]
+    return scd2.build_history(snaps.where(F.col("day") < F.to_date(F.lit(last)))), _day(snaps, last), last
+
 
+@register("scd2_close_changed", _LAST_DAY_SQL + """
+SELECT t.customer_id, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS email, t.region, t.eff_from,
+       l.last - 1 AS eff_to, FALSE AS is_current, t.hash_diff
+FROM dim t, l WHERE EXISTS (SELECT 1 FROM s2 s WHERE s.customer_id = t.customer_id AND s.hash_diff != t.hash_diff)""")
+def scd2_close_changed(spark, sf_dir):
+    """SCD2-2/JOIN-1: versions of all earlier days closed by the last day."""
+    dim, snap, last = _before_last(spark, sf_dir)
+    return scd2.closed_versions(dim, snap, last)
 
-@register("scd2_insert_new", _fold_sql(FOLD_DAYS[:1]).replace(
-    f"\nSELECT {DIM_COLS} FROM dim1", f""",
-s2 AS (SELECT customer_id, region, hash_diff FROM h WHERE day = DATE '{FOLD_DAYS[1]}')
+
+@register("scd2_insert_new", _LAST_DAY_SQL + """
 SELECT s.customer_id, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS email, s.region,
-       DATE '{FOLD_DAYS[1]}' AS eff_from, DATE '9999-12-31' AS eff_to, TRUE AS is_current, s.hash_diff
-FROM s2 s LEFT JOIN dim1 t ON t.customer_id = s.customer_id AND t.is_current
-WHERE t.customer_id IS NULL OR t.hash_diff != s.hash_diff"""))
+       s.day AS eff_from, DATE '9999-12-31' AS eff_to, TRUE AS is_current, s.hash_diff
+FROM s2 s LEFT JOIN dim t ON t.customer_id = s.customer_id
+WHERE t.customer_id IS NULL OR t.hash_diff != s.hash_diff""")
 def scd2_insert_new(spark, sf_dir):
-    """SCD2-3/JOIN-2/JOIN-3/PRJ-9: new and changed keys of day 2 as open versions."""
-    snaps = _snapshots(spark, sf_dir)
-    dim1 = scd2.merge_day(scd2.empty_dimension(spark), _day(snaps, FOLD_DAYS[0]), FOLD_DAYS[0])
-    return scd2.new_versions(dim1, _day(snaps, FOLD_DAYS[1]), FOLD_DAYS[1])
+    """SCD2-3/JOIN-2/JOIN-3/PRJ-9: new and changed keys of the last day."""
+    dim, snap, last = _before_last(spark, sf_dir)
+    return scd2.new_versions(dim, snap, last)
 
 
 @register("scd2_history", f"""
@@ -124,19 +142,18 @@ def scd2_history(spark, sf_dir):
     return scd2.build_history(_snapshots(spark, sf_dir))
 
 
-@register("scd2_history_by_fold", _fold_sql([f"2024-01-{d:02d}" for d in range(1, 31)]))
+@register("scd2_history_by_fold", _fold_sql(FOLD_DAYS))
 def scd2_history_by_fold(spark, sf_dir):
     """SCD2-4 repeated over all 30 days (the daily job's loop), checkpointed
     every few days; equals :func:`scd2_history`."""
     snaps = _snapshots(spark, sf_dir)
-    days = [r["day"].isoformat() for r in snaps.select("day").distinct().orderBy("day").collect()]
-    return scd2.fold_days(spark, snaps, days)
+    return scd2.fold_days(spark, snaps, _days(snaps))
 
 
 @register("scd2_stored_dimension", _fold_sql(FOLD_DAYS))
 def scd2_stored_dimension(spark, sf_dir):
     """SCD2-4/SRC-1/SNK-13 as the stored daily job: events written as a
-    date-partitioned bronze table, three days folded (partition-pruned reads)
+    date-partitioned bronze table, every day folded (partition-pruned reads)
     into ``current/`` + ``history/``, and the dimension read back."""
     import uuid
 

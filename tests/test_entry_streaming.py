@@ -2,13 +2,13 @@
 
 import datetime as dt
 import os
+import re
 
 import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from slicewarden.functions import suites
-from slicewarden.plans.standins import TABLES
 from slicewarden.sources.generate import generate_orders
 from slicewarden.streaming.landing import run_landing
 
@@ -33,8 +33,8 @@ def _norm(v):
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_duckdb(spark, name):
     con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    for f in os.listdir(SF_SMALL):
+        con.execute(f"CREATE VIEW {f.split('.')[0]} AS SELECT * FROM read_parquet('{SF_SMALL}/{f}')")
     df = queries()[name](spark, SF_SMALL)
     cur = con.execute(oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
@@ -47,7 +47,9 @@ def test_query_matches_duckdb(spark, name):
 
 def test_every_query_has_oracle_or_test():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"src_generated_orders"}
+    # The training-data queries without SQL are tested with their subpackage.
+    own = {q for q in queries() if not re.match(r"op\d+_|pipeline$", q)}
+    assert own - set(oracle_sql()) == {"src_generated_orders"}
 
 
 def test_landing_stream_incremental(spark, tmpdir_path):
