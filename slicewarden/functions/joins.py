@@ -2,33 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this on the big side is hot.  The hot-key table
-# has at most rows / HOT_ROWS entries (1e12 rows → 1e6 keys): it is
-# broadcast by construction of its bound.
+# A key with more rows than this on the big side is hot and gets salted.
 HOT_ROWS = 1_000_000
+# At most this many keys are salted, the largest ones: a key beyond them holds
+# at most 1 / MAX_HOT of all rows.  Bounds the broadcast of the hot keys.
+MAX_HOT = 10_000
+
+
+def hottest(counts: DataFrame, n_col: str, hot_rows: int) -> DataFrame:
+    """The rows of ``counts`` with more than ``hot_rows``, at most ``MAX_HOT``
+    of them (the largest)."""
+    return counts.where(F.col(n_col) > hot_rows).orderBy(F.desc(n_col)).limit(MAX_HOT)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a row's columns, apart from maps, which have none.  Unlike a
+    random number it is the same when a lost task runs again."""
+    plain = [F.col(c) for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+    return F.xxhash64(F.lit(7), *plain)
+
+
+def hot_keys(big: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(__hk, __salts): hot keys of ``big`` and the number of parts each is
+    cut into.  Reads the key column only, combined map-side."""
+    counts = big.groupBy(F.col(key).alias("__hk")).agg(F.count(F.lit(1)).alias("__n"))
+    return hottest(counts, "__n", hot_rows).select("__hk", F.ceil(F.col("__n") / hot_rows).cast("int").alias("__salts"))
 
 
 def hot_split_lookup(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
-                     hot_rows: int = HOT_ROWS) -> DataFrame:
+                     hot_rows: int = HOT_ROWS, hot: DataFrame | None = None) -> DataFrame:
     """Inner equi-join of ``big`` with a lookup table ``small`` that may not
     be broadcast whole, safe when one key holds a large share of ``big``.
 
-    Rows per key of ``big`` are counted (map-side combine, key column only).
-    The lookup rows of hot keys are few, so they are broadcast and joined to
-    the hot rows map-side; the other rows take a shuffle join in which no key
-    has more than ``hot_rows`` rows.  The result equals
+    One join on (key, salt): the rows of a hot key are dealt to ``__salts``
+    salts, and only that key's lookup rows are repeated, once per salt; all
+    other rows have salt 0.  ``hot`` may hold the hot keys found on another
+    frame, e.g. one that ``big`` was derived from.  The result equals
     ``big.join(small, big[big_key] == small[small_key])``.
     """
-    hot = (big.groupBy(F.col(big_key).alias("__hk")).agg(F.count(F.lit(1)).alias("__n"))
-           .where(F.col("__n") > hot_rows).select("__hk"))
-    tagged = big.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), big[big_key] == F.col("__hk"), "left")
-    is_hot = F.coalesce(F.col("__hot"), F.lit(False))
-    hot_big = tagged.where(is_hot).drop("__hk", "__hot")
-    rest_big = tagged.where(~is_hot).drop("__hk", "__hot")
-    hot_small = small.join(F.broadcast(hot), small[small_key] == F.col("__hk"), "left_semi")
-    hot_part = hot_big.join(F.broadcast(hot_small), hot_big[big_key] == hot_small[small_key], "inner")
-    rest_part = rest_big.join(small, rest_big[big_key] == small[small_key], "inner")
-    return hot_part.unionByName(rest_part)
+    if hot is None:
+        hot = hot_keys(big, big_key, hot_rows)
+    hot = F.broadcast(hot)               # at most MAX_HOT rows
+    salt = F.coalesce(F.pmod(row_hash(big), F.col("__salts")).cast("int"), F.lit(0))
+    salted = big.join(hot, big[big_key] == F.col("__hk"), "left").select(*[big[c] for c in big.columns],
+                                                                       salt.alias("__salt"))
+    parts = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))
+    copies = small.join(hot, small[small_key] == F.col("__hk"), "left").select(*[small[c] for c in small.columns],
+                                                                             parts.alias("__part"))
+    joined = salted.join(copies, (salted[big_key] == copies[small_key]) & (F.col("__salt") == F.col("__part")))
+    return joined.drop("__salt", "__part")

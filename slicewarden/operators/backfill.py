@@ -77,6 +77,13 @@ def external_partitions(file_paths: DataFrame, dataset: str, path_col: str = "pa
             .where(F.col("partition_date").isNotNull()).distinct())
 
 
+def dated_inventory(inventory: DataFrame, run_date: str) -> DataFrame:
+    """Inventory rows that can make the run date exist: those of other dates
+    are cut before any shuffle (a folder's date is part of its name)."""
+    day = F.col("partition_date")
+    return inventory.where((day == F.to_date(F.lit(run_date))) | day.isNull() | (F.col("kind") == "UNPARTITIONED"))
+
+
 def partition_status(inventory: DataFrame, run_date: str) -> DataFrame:
     """Per dataset: does the run date exist?  Absent datasets are missing;
     unpartitioned tables always exist; partitioned ones need the date."""
@@ -118,7 +125,7 @@ def plan_candidates(nodes: DataFrame, edges: DataFrame, cadence: DataFrame, inve
     c = c.join(cad, c["producing_job"] == cad["__cad_job"], "left")
     part_field = F.when(F.col("is_bronze_output"), F.lit(None).cast("string")).otherwise(
         F.coalesce(F.when(F.col("__cad_job").isNotNull(), F.col("__field")), F.lit(DEFAULT_PARTITION_FIELD)))
-    status = partition_status(inventory, run_date)
+    status = partition_status(dated_inventory(inventory, run_date), run_date)
     c = c.withColumn("part_field", part_field).join(status, F.col("ds_target") == status["__inv_ds"], "left")
     return c.select("ds_norm", "ds_target", "producing_job", "is_bronze_output", "part_field",
                     F.coalesce(F.col("__exists"), F.lit(False)).alias("partition_exists"))

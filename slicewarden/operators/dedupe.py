@@ -7,9 +7,8 @@ or as a join that AQE's skew handling can split:
 
 * keep-first  = ``groupBy(key).agg(min(struct(order…, row)))``: each map task
   reduces a hot key to one row before the shuffle.
-* duplicate flag = ``groupBy(scope, key).count()``; hot keys (over a row
-  bound) are broadcast and flagged map-side, the rest joined back on the
-  repeated keys, where no key is hot.
+* duplicate flag = ``groupBy(scope, key).count()`` joined back once; rows of
+  hot keys (over a row bound) are flagged by a broadcast and salted.
 * capped sample = two-level top-k: per (group, input partition bucket), then
   per group, each level led by a map-side partial limit.
 * global position = sort, then partition offsets (one row per partition).
@@ -20,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slicewarden.functions.joins import HOT_ROWS, hottest, row_hash
 from slicewarden.session import materialize
 
 
@@ -47,47 +47,37 @@ def key_counts(df: DataFrame, keys: list, name: str = "__copies") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-# Keys with more copies than this are "hot": they are flagged map-side from a
-# broadcast table instead of going through the shuffle join.  The hot table
-# has at most rows / HOT_ROWS entries (1e12 rows → 1e6 keys), a bound by
-# construction.
-HOT_ROWS = 1_000_000
-
-
 def flag_duplicates(df: DataFrame, keys: list[str], scope: list[str] | None = None,
                     name: str = "_dup", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``name`` = TRUE on every copy of a key repeated within ``scope``
     (all copies flagged, NULL keys equal to each other).
 
-    Copies are counted with ``groupBy`` (map-side combine).  Hot keys (more
-    than ``hot_rows`` copies) are broadcast and their rows flagged without a
-    shuffle; the other rows are joined on the repeated keys, where no key has
-    more than ``hot_rows`` rows, so no task receives a hot key's rows.  (AQE's
-    skew split does not apply here: the count side of the join is an
-    aggregate, not a plain shuffle.)
+    Copies are counted with ``groupBy`` (map-side combine), and the rows are
+    joined once to the repeated keys.  The rows of a hot key (more than
+    ``hot_rows`` copies, at most ``MAX_HOT`` keys, broadcast) need no partner:
+    they are flagged at once and go to salts of their own, so no task receives
+    them all.  (AQE's skew split does not apply here: the count side of the
+    join is an aggregate, not a plain shuffle.)
     """
     scope = scope or []
     grp = scope + keys
     counts = key_counts(df, grp)
-    ren = [F.col(k).alias(f"__k{i}") for i, k in enumerate(grp)]
-    hot = counts.where(F.col("__copies") > hot_rows).select(*ren, F.lit(True).alias("__hot"))
-    repeated = (counts.where((F.col("__copies") > 1) & (F.col("__copies") <= hot_rows))
-                .select(*ren, F.lit(True).alias("__rep")))
-
-    def on(right):
-        return [df[k].eqNullSafe(right[f"__k{i}"]) for i, k in enumerate(grp)]
-
-    tagged = df.join(F.broadcast(hot), on=on(hot), how="left")
-    is_hot = F.coalesce(F.col("__hot"), F.lit(False))
-    cols = [df[c] for c in df.columns]
-    hot_part = tagged.where(is_hot).select(*cols, F.lit(True).alias(name))
-    rest = tagged.where(~is_hot).select(*cols)
-    rest_df = rest.alias("__rest")
-    joined = rest_df.join(repeated, on=[F.col(f"__rest.{k}").eqNullSafe(repeated[f"__k{i}"])
-                                        for i, k in enumerate(grp)], how="left")
-    rest_part = joined.select(*[F.col(f"__rest.{c}") for c in df.columns],
-                              F.coalesce(F.col("__rep"), F.lit(False)).alias(name))
-    return hot_part.unionByName(rest_part)
+
+    def named(prefix):
+        return [F.col(k).alias(f"{prefix}{i}") for i, k in enumerate(grp)]
+
+    def on(left, prefix):
+        return [left[k].eqNullSafe(F.col(f"{prefix}{i}")) for i, k in enumerate(grp)]
+
+    hot = hottest(counts, "__copies", hot_rows).select(*named("__h"), F.lit(True).alias("__hot"))
+    repeated = counts.where(F.col("__copies") > 1).select(*named("__k"), F.lit(0).alias("__part"),
+                                                          F.lit(True).alias("__rep"))
+    salt = F.when(F.col("__hot"), 1 + F.pmod(row_hash(df), F.lit(1 << 20)).cast("int")).otherwise(F.lit(0))
+    tagged = df.join(F.broadcast(hot), on=on(df, "__h"), how="left").select(
+        *[df[c] for c in df.columns], "__hot", salt.alias("__salt"))
+    joined = tagged.join(repeated, on=[*on(tagged, "__k"), F.col("__salt") == F.col("__part")], how="left")
+    return joined.select(*[tagged[c] for c in df.columns],
+                         F.coalesce(F.col("__hot"), F.col("__rep"), F.lit(False)).alias(name))
 
 
 def capped_sample(df: DataFrame, group: list[str], order: list, cap: int, fan_in: int = 64,

@@ -27,17 +27,28 @@ def _ts(value: str) -> Column:
     return F.to_timestamp(F.lit(value))
 
 
+def _for_expected(found: DataFrame, expected: DataFrame, cols: list[str]) -> DataFrame:
+    """One row per expected folder, with what was found in it."""
+    return expected.select(*cols).distinct().join(found, cols, "left")
+
+
 def landing_readiness(inventory: DataFrame, *, now: str, min_files: int = 1, required_suffix: str = ".parquet",
                       accept_success_marker: bool = True, max_input_age_minutes: float = 180,
-                      enforce_today_only: bool = True, ds_col: str | None = None) -> DataFrame:
+                      enforce_today_only: bool = True, ds_col: str | None = None,
+                      expected: DataFrame | None = None) -> DataFrame:
     """Per prefix: is the landing partition ready?
 
     Ready when a ``_SUCCESS`` object is present (this bypasses the freshness
     test), or when at least ``min_files`` objects end with the suffix and the
     newest of them is at most ``max_input_age_minutes`` old.  With
     ``enforce_today_only`` a partition whose date (``ds_col``) is not today's
-    is skipped first.  Outcome is READY or SKIP.
+    is skipped first; without ``ds_col`` that rule cannot be checked and
+    raises.  Outcome is READY or SKIP.  ``expected`` (prefix, and ``ds_col`` if
+    given) lists the folders to answer for: one without objects is skipped
+    for too few files; without it only folders that hold objects have a row.
     """
+    if enforce_today_only and not ds_col:
+        raise ValueError("enforce_today_only needs ds_col, the partition's date")
     nowc = _ts(now)
     suffix_hit = F.lower(F.col("name")).endswith(required_suffix.lower())
     grouped_cols = ["prefix"] + ([ds_col] if ds_col else [])
@@ -47,9 +58,11 @@ def landing_readiness(inventory: DataFrame, *, now: str, min_files: int = 1, req
         F.count_if(suffix_hit).alias("n_matching"),
         F.max(F.when(suffix_hit, F.col("updated"))).alias("newest"),
     )
+    if expected is not None:
+        g = _for_expected(g, expected, grouped_cols).fillna({"n_objects": 0, "n_matching": 0, "has_success": False})
     age = _age_minutes(nowc, F.col("newest"))
-    not_today = (F.col(ds_col).cast("string") != F.date_format(nowc, "yyyy-MM-dd")) if (
-        enforce_today_only and ds_col) else F.lit(False)
+    not_today = F.coalesce(F.col(ds_col).cast("string") != F.date_format(nowc, "yyyy-MM-dd"), F.lit(True)) \
+        if enforce_today_only else F.lit(False)
     marker = F.col("has_success") & F.lit(accept_success_marker)
     outcome = (F.when(not_today, F.lit("SKIP_NOT_TODAY"))
                .when(marker, F.lit("READY_MARKER"))
@@ -65,13 +78,17 @@ def landing_readiness(inventory: DataFrame, *, now: str, min_files: int = 1, req
     )
 
 
-def publish_check(inventory: DataFrame, *, now: str, max_publish_age_minutes: float = 180) -> DataFrame:
-    """Per prefix: both publish markers present and each fresh → OK, else FAIL."""
+def publish_check(inventory: DataFrame, *, now: str, max_publish_age_minutes: float = 180,
+                  expected: DataFrame | None = None) -> DataFrame:
+    """Per prefix: both publish markers present and each fresh → OK, else FAIL.
+    An ``expected`` prefix without objects fails as missing."""
     nowc = _ts(now)
     g = inventory.groupBy("prefix").agg(
         F.max(F.when(F.col("name").endswith(MANIFEST_MARKER), F.col("updated"))).alias("manifest_updated"),
         F.max(F.when(F.col("name").endswith(SUCCESS_MARKER), F.col("updated"))).alias("success_updated"),
     )
+    if expected is not None:
+        g = _for_expected(g, expected, ["prefix"])
     age_m = _age_minutes(nowc, F.col("manifest_updated"))
     age_s = _age_minutes(nowc, F.col("success_updated"))
     lim = F.lit(float(max_publish_age_minutes))

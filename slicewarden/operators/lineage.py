@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slicewarden.functions.joins import HOT_ROWS, hot_split_lookup
+from slicewarden.functions.joins import HOT_ROWS, hot_keys, hot_split_lookup
 
 # Fixed value: jobs whose name starts with this are system jobs and ignored.
 SYSTEM_JOB_PREFIX = "bootstrap."
@@ -28,10 +28,12 @@ def job_io_edges(nodes: DataFrame, edges: DataFrame, hot_rows: int = HOT_ROWS) -
     """
     src = nodes.select(F.col("id").alias("__sid"), F.col("type").alias("src_type"), F.col("name").alias("src_name"))
     dst = nodes.select(F.col("id").alias("__tid"), F.col("type").alias("dst_type"), F.col("name").alias("dst_name"))
-    # A job may own a large share of all edges: hot node ids are looked up
-    # map-side (see hot_split_lookup), the rest through a shuffle join.
-    e = hot_split_lookup(edges.select("source", "target"), src, "source", "__sid", hot_rows)
-    e = hot_split_lookup(e, dst, "target", "__tid", hot_rows)
+    # A job may own a large share of all edges: hot node ids are salted.  Both
+    # ends' hot ids are counted on the edges, not on the first lookup's result.
+    ends = edges.select("source", "target")
+    hot_targets = hot_keys(ends, "target", hot_rows)
+    e = hot_split_lookup(ends, src, "source", "__sid", hot_rows)
+    e = hot_split_lookup(e, dst, "target", "__tid", hot_rows, hot=hot_targets)
     # One pass: JOB→DATASET is an output of the job, DATASET→JOB an input.
     is_out = (F.col("src_type") == "JOB") & (F.col("dst_type") == "DATASET")
     is_in = (F.col("src_type") == "DATASET") & (F.col("dst_type") == "JOB")
@@ -82,6 +84,15 @@ def neighbourhood(nodes: DataFrame, edges: DataFrame, root: str) -> tuple[DataFr
     return hood_nodes, touching
 
 
+def root_graph(nodes: DataFrame, edges: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """The root's neighbourhood as the graph to plan from.  A system job or a
+    job that is not in the graph raises ``ValueError``."""
+    job = root_job_name(root)
+    if nodes.where((F.col("type") == "JOB") & (F.col("name") == job)).isEmpty():
+        raise ValueError(f"job not found in the lineage graph: {job}")
+    return neighbourhood(nodes, edges, root)
+
+
 def job_io_chunks(io_edges: DataFrame, chunk_size: int = 10_000, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per job and direction, the sorted distinct datasets in numbered chunks
     of at most ``chunk_size`` (job_name, direction, chunk, datasets).

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from slicewarden.operators import gates
 from slicewarden.plans.registry import register
-from slicewarden.plans.standins import object_inventory, suite_runs, table
+from slicewarden.plans.standins import expected_folders, object_inventory, suite_runs, table
 from slicewarden.sources.generate import orders_from_ids
 from slicewarden.sources.partitions import latest_partition
 
@@ -33,6 +33,13 @@ objects AS (
   FROM events
 )"""
 
+EXPECTED_SQL = """
+expected AS (
+  SELECT 'landing/date=' || CAST(ds AS VARCHAR) || '/' AS prefix, ds
+  FROM (SELECT CAST(unnest(generate_series(MIN(CAST(ts AS DATE)), MAX(CAST(ts AS DATE)) + INTERVAL 2 DAY,
+                                           INTERVAL 1 DAY)) AS DATE) AS ds FROM events)
+)"""
+
 RUNS_SQL = """
 basic AS (
   SELECT CAST(ts AS DATE) AS run_date,
@@ -122,6 +129,45 @@ def gate_publish_check(spark, sf_dir):
     return gates.publish_check(inv, now=NOW_PUBLISH, max_publish_age_minutes=MAX_AGE)
 
 
+@register("gate_landing_expected", f"""
+WITH {INVENTORY_SQL.strip()}, {EXPECTED_SQL.strip()},
+g AS (
+  SELECT e.prefix, COUNT(o.name) AS n_objects, COALESCE(BOOL_OR(ends_with(o.name, '_SUCCESS')), FALSE) AS has_success,
+         COUNT(*) FILTER (WHERE ends_with(lower(o.name), '.parquet')) AS n_matching,
+         MAX(o.updated) FILTER (WHERE ends_with(lower(o.name), '.parquet')) AS newest
+  FROM expected e LEFT JOIN objects o ON e.prefix = o.prefix GROUP BY e.prefix
+)
+SELECT prefix, n_objects, n_matching,
+       CASE WHEN has_success THEN 'READY_MARKER' WHEN n_matching < 1 THEN 'SKIP_TOO_FEW_FILES'
+            WHEN {_age('newest')} > {float(MAX_AGE)} THEN 'SKIP_STALE' ELSE 'READY' END AS outcome
+FROM g""")
+def gate_landing_expected(spark, sf_dir):
+    """GATE-1 over the expected folders, also those without any object."""
+    ev = table(spark, sf_dir, "events")
+    r = gates.landing_readiness(object_inventory(ev), now=NOW, max_input_age_minutes=MAX_AGE, enforce_today_only=False,
+                                expected=expected_folders(ev))
+    return r.select("prefix", "n_objects", "n_matching", "outcome")
+
+
+@register("gate_publish_expected", f"""
+WITH {INVENTORY_SQL.strip()}, {EXPECTED_SQL.strip()},
+g AS (
+  SELECT e.prefix, MAX(o.updated) FILTER (WHERE ends_with(o.name, '_MANIFEST.json')) AS manifest_updated,
+         MAX(o.updated) FILTER (WHERE ends_with(o.name, '_SUCCESS')) AS success_updated
+  FROM expected e LEFT JOIN objects o ON e.prefix = o.prefix GROUP BY e.prefix
+)
+SELECT prefix, CASE WHEN manifest_updated IS NULL OR success_updated IS NULL THEN 'FAIL_MISSING'
+                    WHEN {_age('manifest_updated', NOW_PUBLISH)} > {float(MAX_AGE)}
+                      OR {_age('success_updated', NOW_PUBLISH)} > {float(MAX_AGE)} THEN 'FAIL_STALE'
+                    ELSE 'OK' END AS status
+FROM g""")
+def gate_publish_expected(spark, sf_dir):
+    """GATE-2 over the expected folders, also those without any object."""
+    ev = table(spark, sf_dir, "events")
+    return gates.publish_check(object_inventory(ev), now=NOW_PUBLISH, max_publish_age_minutes=MAX_AGE,
+                               expected=expected_folders(ev)).select("prefix", "status")
+
+
 @register("gate_run_outcome", f"""
 WITH {RUNS_SQL.strip()}
 SELECT run_date, COUNT(*) AS suites_run, BOOL_AND(success) AS all_success, BOOL_OR(good_exported) AS good_exported,

@@ -215,6 +215,18 @@ def lin_neighbourhood(spark, sf_dir):
     return hood_edges.select("source", "target")
 
 
+@register("lin_neighbourhood_nodes", f"""
+WITH {LINEAGE_SQL.strip()},
+root AS (SELECT id FROM nodes WHERE type = 'JOB' AND name = '{ROOT}'),
+hood AS (SELECT source, target FROM edges
+         WHERE source IN (SELECT id FROM root) OR target IN (SELECT id FROM root))
+SELECT id, type, name FROM nodes WHERE id IN (SELECT source FROM hood UNION SELECT target FROM hood)""")
+def lin_neighbourhood_nodes(spark, sf_dir):
+    """LIN-2: nodes one hop around the root job."""
+    hood_nodes, _ = lineage.root_graph(*_graph(spark, sf_dir), ROOT)
+    return hood_nodes.select("id", "type", "name")
+
+
 @register("dsn_dataset_names", f"""
 WITH {LINEAGE_SQL.strip()},
 d AS (SELECT DISTINCT dataset FROM io WHERE direction = 'out')
@@ -258,6 +270,25 @@ def bkf_plan_items(spark, sf_dir):
     return items.select(*[rendered[c].alias(c) if c in rendered else F.col(c) for c in items.columns])
 
 
+ROOT_CANDIDATES_SQL = CANDIDATES_SQL.replace(
+    "FROM io WHERE direction = 'out'", f"FROM io WHERE direction = 'out' AND job_name = '{ROOT}'")
+
+
+@register("bkf_root_plan_items", f"""
+WITH {LINEAGE_SQL.strip()}, {CONFIG_SQL.strip()}, {ROOT_CANDIDATES_SQL.strip()}
+SELECT downstream_table, producing_job, missing_partitions, recommended_cmd, reason, priority, task_map_stubbed
+FROM items""")
+def bkf_root_plan_items(spark, sf_dir):
+    """BKF-5 for the root job only: its own outputs that miss the run date."""
+    nodes, edges = lineage.root_graph(*_graph(spark, sf_dir), ROOT)
+    cad, tm, inv = _config(spark, sf_dir)
+    items = backfill.build_plan_items(nodes, edges, cad, tm, inv, root=ROOT, run_date=RUN_DATE, plan_id=PLAN_ID,
+                                      created_at=CREATED_AT)
+    dates = F.array_join(F.transform("missing_partitions", lambda x: x.cast("string")), ",")
+    return items.select("downstream_table", "producing_job", dates.alias("missing_partitions"), "recommended_cmd",
+                        "reason", "priority", "task_map_stubbed")
+
+
 @register("bkf_partition_status", f"""
 WITH {LINEAGE_SQL.strip()}, {CONFIG_SQL.strip()}, {CANDIDATES_SQL.strip()}
 SELECT ds_target AS dataset, partition_exists FROM c2""")

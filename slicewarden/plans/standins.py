@@ -250,6 +250,15 @@ def object_inventory(events: DataFrame) -> DataFrame:
                          F.col("ts").cast("timestamp_ntz").alias("updated"), day.alias("ds"))
 
 
+def expected_folders(events: DataFrame) -> DataFrame:
+    """Landing folders from the first day to two days after the last, which
+    hold no objects."""
+    first, last = F.min(F.to_date("ts")), F.date_add(F.max(F.to_date("ts")), 2)
+    days = events.agg(first.alias("first"), last.alias("last")).where("first IS NOT NULL")
+    days = days.select(F.explode(F.sequence("first", "last")).alias("ds"))
+    return days.select(F.concat(F.lit("landing/date="), F.col("ds").cast("string"), F.lit("/")).alias("prefix"), "ds")
+
+
 def suite_runs(events: DataFrame) -> DataFrame:
     """Per day and suite mode: did the suite pass (basic: at most a fifth of
     events are errors; cross: fails on days divisible by 3), how many

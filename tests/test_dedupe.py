@@ -70,3 +70,21 @@ def test_hot_split_lookup_equals_join(spark):
     want = big.join(small, big["k"] == small["id"])
     assert bag(got.select("k", "pos", "id", "name")) == bag(want.select("k", "pos", "id", "name"))
     assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_salted_joins_with_hot_null_and_repeated_rows(spark):
+    from collections import Counter
+
+    from slicewarden.functions.joins import hot_keys, hot_split_lookup
+
+    rows = [("hot", i % 7) for i in range(900)] + [("warm", i) for i in range(40)] + [(None, i) for i in range(300)]
+    big = spark.createDataFrame(rows, "k string, v int")
+    small = spark.createDataFrame([("hot", "x"), ("hot", "y"), ("warm", "z"), ("cold", "w"), (None, "n")],
+                                  "id string, w string")
+    want = Counter(map(tuple, big.join(small, big["k"] == small["id"]).collect()))
+    for bound in (1, 100, 10_000):
+        assert Counter(map(tuple, hot_split_lookup(big, small, "k", "id", hot_rows=bound).collect())) == want
+    assert {r["__hk"]: r["__salts"] for r in hot_keys(big, "k", 100).collect()}["hot"] == 9
+    for bound in (1, 100, 10_000):
+        got = Counter((r.k, r.v, r["_dup"]) for r in dedupe.flag_duplicates(big, ["k"], hot_rows=bound).collect())
+        assert got == Counter((k, v, True) for k, v in rows)

@@ -48,3 +48,19 @@ def test_generator_is_clean_and_sized(spark):
     assert df.where(F.col("order_date") != F.lit("2024-01-15").cast("date")).count() == 0
     again = generate_orders(spark, "2024-01-15", rows=5000, partitions=2)
     assert sorted(map(repr, df.collect())) == sorted(map(repr, again.collect()))
+
+
+def test_gates_answer_for_folders_without_objects(spark):
+    import pytest
+
+    t = dt.datetime(2024, 1, 1, 10, 0)
+    df = inv(spark, [("a/", "a/_SUCCESS", t), ("a/", "a/_MANIFEST.json", t)])
+    want = spark.createDataFrame([("a/",), ("none/",), ("none/",)], "prefix string")
+    now = "2024-01-01 10:30:00"
+    rows = gates.landing_readiness(df, now=now, enforce_today_only=False, expected=want).collect()
+    assert {(r.prefix, r.outcome, r.n_objects) for r in rows} == {
+        ("a/", "READY_MARKER", 2), ("none/", "SKIP_TOO_FEW_FILES", 0)} and len(rows) == 2
+    st = {r.prefix: r.status for r in gates.publish_check(df, now=now, expected=want).collect()}
+    assert st == {"a/": "OK", "none/": "FAIL_MISSING"}
+    with pytest.raises(ValueError):
+        gates.landing_readiness(df, now=now)

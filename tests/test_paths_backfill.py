@@ -104,3 +104,30 @@ def test_job_io_chunks_exact_and_bounded(spark):
                 got = [d for c in sorted((x for x in rows if x.job_name == job and x.direction == direction),
                                          key=lambda x: x.chunk) for d in c.datasets]
                 assert got == list(want)
+
+
+def test_root_graph_plans_own_outputs_and_refuses_other_roots(spark):
+    import pytest
+
+    nodes, edges = lineage.root_graph(*graph(spark), "ns:root.job")
+    io = lineage.job_io_edges(nodes, edges)
+    assert {r.job_name for r in io.collect()} == {"root.job"}
+    cad, tm = spark.createDataFrame([], backfill.CADENCE_SCHEMA), spark.createDataFrame([], backfill.TASK_MAP_SCHEMA)
+    inv = spark.createDataFrame([], backfill.INVENTORY_SCHEMA)
+    items = backfill.build_plan_items(nodes, edges, cad, tm, inv, root="root.job", run_date="2024-03-02", plan_id="p",
+                                      created_at="2024-03-03 00:00:00").collect()
+    assert items and {r.producing_job for r in items} == {"root.job"}
+    for bad in ("no.such.job", "bootstrap.x"):
+        with pytest.raises(ValueError):
+            lineage.root_graph(*graph(spark), bad)
+
+
+def test_partition_status_reads_the_run_date_only(spark):
+    d, other = dt.date(2024, 3, 2), dt.date(2024, 3, 1)
+    inv = spark.createDataFrame([("a", "NATIVE", other), ("b", "NATIVE", d), ("b", "NATIVE", other),
+                                 ("c", "EXTERNAL", d), ("d", "EXTERNAL", other), ("e", "UNPARTITIONED", None),
+                                 ("f", "UNPARTITIONED", other), ("g/date=2024-03-02/", "FILES", d)],
+                                backfill.INVENTORY_SCHEMA)
+    for rows in (inv, backfill.dated_inventory(inv, "2024-03-02")):
+        got = {r["__inv_ds"] for r in backfill.partition_status(rows, "2024-03-02").where("__exists").collect()}
+        assert got == {"b", "c", "e", "f", "g/date=2024-03-02/"}
