@@ -16,6 +16,8 @@ or as a join that AQE's skew handling can split:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,7 +82,7 @@ def flag_duplicates(df: DataFrame, keys: list[str], scope: list[str] | None = No
                          F.coalesce(F.col("__hot"), F.col("__rep"), F.lit(False)).alias(name))
 
 
-def capped_sample(df: DataFrame, group: list[str], order: list, cap: int, fan_in: int = 64,
+def capped_sample(df: DataFrame, group: list[str], order: list, cap: int, fan_in: int | None = None,
                   name: str = "_sample_rank") -> DataFrame:
     """First ``cap`` rows of each group by ``order`` (a total order), exactly.
 
@@ -89,11 +91,15 @@ def capped_sample(df: DataFrame, group: list[str], order: list, cap: int, fan_in
     the optimizer puts a partial limit before each shuffle, so a map task ships
     at most ``cap`` rows per group, a level-one task sees at most
     ``cap × partitions / fan_in`` and a level-two task ``cap × fan_in`` rows,
-    whatever the group's size.
+    whatever the group's size.  ``fan_in`` defaults to the square root of the
+    shuffle partitions (64 at least), which are sized to the data, so both
+    levels grow alike.
     """
     order_cols = _cols(order)
     key = "spark.sql.optimizer.windowGroupLimitThreshold"
     spark = df.sparkSession
+    if fan_in is None:
+        fan_in = max(64, math.isqrt(int(spark.conf.get("spark.sql.shuffle.partitions"))))
     if int(spark.conf.get(key, "1000")) < cap:
         spark.conf.set(key, str(cap))
     staged = df.withColumn("__bucket", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
