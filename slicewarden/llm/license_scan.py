@@ -1,22 +1,27 @@
 """License scan by conditional compression.
 
-Blocks of lines that speak like a license are compressed with zstandard alone
-and with each template as raw dictionary.  Templates are ranked by the share
-of the size they save; the best ones are then compared word by word, and the
-first whose wording the block holds, with the words that tell licenses apart
-unchanged, is confirmed.
-
-Defined cases: null and empty texts have no block; a block that no template
-explains is counted but names no license; equal savings rank by template order;
-spans count code points, the end exclusive.
+Every hint word opens a stretch of words for each template, as far to both
+sides as a notice of that template can reach, whatever the lines are.  The
+stretch is compressed with zstandard alone and with the template as raw
+dictionary.  Every template is compared word by word, and confirmed where the
+stretch holds its wording with few words changed and the words that tell
+licenses apart unchanged.  The bytes saved rank the confirmed ones: of notices
+that overlap the one that saves the most counts.  They rule nothing out, as the
+shortest notices may save no byte.
+
+Defined cases: null and empty texts have no block; a block (hints widened by the
+longest reach, merged where they overlap) that no template explains is counted
+but names no license; equal savings rank by template order; spans count code
+points, the end exclusive.
 """
 
 from __future__ import annotations
 
-import difflib
+import bisect
 import functools
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -60,20 +65,9 @@ _WORD = regex.compile(r"[\p{L}]+|\p{N}+")
 _TELLING = frozenset("mit apache gnu lesser affero mozilla bsd isc cc0 nc sa nd not cc by v".split())
 
 
-def blocks(text: str) -> list[tuple[int, int]]:
-    """Spans of consecutive lines that each hold a hint."""
-    out, at, begin = [], 0, None
-    for line in text.split("\n"):
-        if _HINT.search(line):
-            begin = at if begin is None else begin
-            end = at + len(line)
-        elif begin is not None:
-            out.append((begin, end))
-            begin = None
-        at += len(line) + 1
-    if begin is not None:
-        out.append((begin, end))
-    return out
+# Share of a template's words that may be changed.
+MOST_CHANGED = 0.15
+_UNIT, _NEVER = 1 << 32, 1000       # place of the cost above the start; cost of a telling word
 
 
 def _plain(text: str) -> bytes:
@@ -81,6 +75,23 @@ def _plain(text: str) -> bytes:
     return " ".join(text.lower().split()).encode()
 
 
+@functools.lru_cache(maxsize=1)
+def _wanted() -> tuple[dict[str, int], list[tuple[list[int], list[int], int]]]:
+    """Word numbers, and per template its words, the cost of lacking each, and
+    how many words a notice can hold."""
+    numbers: dict[str, int] = {}
+    out = []
+    for _, text in TEMPLATES:
+        words = _WORD.findall(text.lower())
+        out.append(([numbers.setdefault(w, len(numbers)) for w in words], [_cost(w) for w in words],
+                    len(words) + int(MOST_CHANGED * len(words))))
+    return numbers, out
+
+
+def _cost(word: str) -> int:
+    return _NEVER if word in _TELLING or word.isdigit() else 1
+
+
 @functools.lru_cache(maxsize=1)
 def _packers(level: int):
     import zstandard
@@ -93,64 +104,70 @@ def _packers(level: int):
     return plain, by_template
 
 
-def savings(data: bytes, level: int = 3) -> list[tuple[float, int]]:
-    """(share saved, template), best first."""
+def wording(have: np.ndarray, adds: np.ndarray, want: list[int], lacks: list[int]) -> tuple[int, int, int]:
+    """(cost, start, end) of the words in ``have`` that hold ``want`` with the
+    least cost of template words lacking and other words put in between.
+
+    One row per template word over all ends at once; the start rides along in
+    the low bits, so of equal costs the earliest start counts."""
+    best = np.arange(len(have) + 1, dtype=np.int64)
+    added = np.concatenate(([0], np.cumsum(adds))) * _UNIT
+    for word, lack in zip(want, lacks):
+        row = best + lack * _UNIT
+        np.minimum(row[1:], best[:-1], out=row[1:], where=have == word)
+        best = np.minimum.accumulate(row - added) + added
+    end = int(best.argmin())
+    return int(best[end]) >> 32, int(best[end]) & (_UNIT - 1), end
+
+
+def _windows(hints: list[int], reach: int, n: int, longest: int) -> list[tuple[int, int]]:
+    """Word ranges that reach ``reach`` words to both sides of each hint; hints
+    at most ``longest`` words apart share one."""
+    out, i = [], 0
+    while i < len(hints):
+        j = bisect.bisect_right(hints, hints[i] + longest)
+        out.append((max(0, hints[i] - reach), min(n, hints[j - 1] + reach + 1)))
+        i = j
+    return out
+
+
+def scan_text(text: str, level: int = 3) -> tuple[int, list[tuple]]:
+    """Number of blocks, and (license, saved, changed, start, end) found: the
+    share saved of the compressed stretch, the number of changed words."""
+    found = [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
+    starts = [f[1] for f in found]
+    hints = sorted({bisect.bisect_right(starts, m.start()) - 1 for m in _HINT.finditer(text)})
+    if not hints:
+        return 0, []
+    numbers, wanted = _wanted()
     plain, by_template = _packers(level)
-    alone = len(plain.compress(data))
-    out = [(1 - len(p.compress(data)) / alone, i) for i, p in enumerate(by_template)]
-    return sorted(out, key=lambda s: (-s[0], s[1]))
-
-
-def wording(block: str, template: str) -> tuple[list[str], list[str], tuple[int, int]]:
-    """Template words the block lacks, block words put in between, and where
-    the block's share of the template begins and ends."""
-    want = [m[0].lower() for m in _WORD.finditer(template)]
-    found = [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(block)]
-    have = [w for w, _, _ in found]
-    same = [m for m in difflib.SequenceMatcher(None, want, have, autojunk=False).get_matching_blocks() if m.size]
-    if not same:
-        return want, have, (0, 0)
-    kept = {i for m in same for i in range(m.a, m.a + m.size)}
-    lo, hi = same[0].b, same[-1].b + same[-1].size
-    used = {i for m in same for i in range(m.b, m.b + m.size)}
-    return ([w for i, w in enumerate(want) if i not in kept], [have[i] for i in range(lo, hi) if i not in used],
-            (found[lo][1], found[hi - 1][2]))
-
-
-@functools.lru_cache(maxsize=20_000)
-def identify(block: str, top: int = 6, least: float = 0.05, most_changed: float = 0.15) -> tuple | None:
-    """(license, share saved, changed words, start, end) or None."""
-    for saved, i in savings(_plain(block))[:top]:
-        if saved < least:
-            return None
-        name, template = TEMPLATES[i]
-        lacks, added, (start, end) = wording(block, template)
-        changed = lacks + added
-        telling = any(w in _TELLING or w.isdigit() for w in changed)
-        if not telling and len(changed) <= most_changed * len(_WORD.findall(template)):
-            return name, saved, len(changed), start, end
-    return None
-
-
-def scan_text(text: str) -> tuple[int, list[tuple]]:
-    """Number of blocks, and (license, saved, changed, start, end) found; what
-    stands beside a notice in its block is looked at again."""
-    spans, found = blocks(text), []
-    for lo, hi in spans:
-        todo = [(lo, hi)]
+    ids = np.array([numbers.get(w, -1) for w, _, _ in found], np.int64)
+    adds = np.array([_cost(w) for w, _, _ in found], np.int64)
+    widest = max(reach for _, _, reach in wanted)
+    n_blocks = 1 + sum(b - a > 2 * widest for a, b in zip(hints, hints[1:]))
+    likely = []
+    for i, (want, lacks, reach) in enumerate(wanted):
+        todo = _windows(hints, reach, len(found), 2 * reach)
         while todo:
-            a, b = todo.pop()
-            got = identify(text[a:b]) if _HINT.search(text[a:b]) else None
-            if got:
-                name, saved, changed, start, end = got
-                found.append((name, saved, changed, a + start, a + end))
-                todo += [(a, a + start), (a + end, b)]
-            elif "\n" in text[a:b]:             # no notice in the whole: line by line
-                at = a
-                for line in text[a:b].split("\n"):
-                    todo.append((at, at + len(line)))
-                    at += len(line) + 1
-    return len(spans), sorted(found, key=lambda f: f[3:])
+            lo, hi = todo.pop()
+            here = set(ids[lo:hi].tolist())
+            # Words that are nowhere in the stretch are lacking in any wording.
+            if sum(lack for w, lack in zip(want, lacks) if w not in here) > MOST_CHANGED * len(want):
+                continue
+            cost, start, end = wording(ids[lo:hi], adds[lo:hi], want, lacks)
+            if end > start and cost <= MOST_CHANGED * len(want):
+                data = _plain(text[found[lo][1]:found[hi - 1][2]])
+                alone = len(plain.compress(data))
+                saved = max(0, alone - len(by_template[i].compress(data)))
+                likely.append((-saved, i, lo + start, lo + end, saved / alone, cost))
+                todo += [(a, b) for a, b in ((lo, lo + start), (lo + end, hi)) if a < b]
+    out: list[tuple] = []
+    taken = np.zeros(len(found), bool)
+    for _, i, lo, hi, share, cost in sorted(likely):
+        if not taken[lo:hi].any():
+            taken[lo:hi] = True
+            out.append((TEMPLATES[i][0], share, cost, found[lo][1], found[hi - 1][2]))
+    return n_blocks, sorted(out, key=lambda f: f[3:])
 
 
 def license_scan(df: DataFrame, text_col: str = "text") -> DataFrame:

@@ -238,6 +238,25 @@ def test_license_lines_of_documents(spark):
         assert r.licenses == ",".join(sorted({v for k, v in lines.items() if k in r.text})), r.text[:300]
 
 
+def test_license_inside_long_lines_of_prose(spark):
+    texts = [r.text for r in read_table(spark, SF_MID, "documents").where("n_chars > 400").limit(400).collect()]
+    prose = " ".join(" ".join(t.split()) for t in texts if not re.search(license_scan.HINT, t))
+    rnd, rows = random.Random(9), []
+    for n in (1_000, 5_000, 50_000):
+        for _, template in license_scan.TEMPLATES:
+            for _ in range(6 if n < 50_000 else 1):
+                at = rnd.randrange(len(prose) - n)
+                line = prose[at:at + n]
+                cut = line.index(" ", n // 2 - 50) + 1
+                rows.append((len(rows), line[:cut] + template + " " + line[cut:]))
+    names = [name for n in (6, 6, 1) for name, _ in license_scan.TEMPLATES for _ in range(n)]
+    places = [r[1].index(t) for r, t in zip(rows, [t for n in (6, 6, 1) for _, t in license_scan.TEMPLATES for _ in range(n)])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in license_scan.license_scan(df).collect():
+        assert r.licenses == names[r.doc_id], r.doc_id
+        assert int(r.spans.split(":")[1]) == places[r.doc_id]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert compression_bands.quality_rules(none).count() == 0
