@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import struct
+import textwrap
 import zlib
 
 import numpy as np
@@ -257,6 +258,17 @@ def test_license_inside_long_lines_of_prose(spark):
         assert int(r.spans.split(":")[1]) == places[r.doc_id]
 
 
+def test_license_wrapped_with_comment_prefixes(spark):
+    rows = []
+    for prefix in ("", "# ", " * ", "// ", "-- ", "; ", "dnl ", "REM "):
+        for _, template in license_scan.TEMPLATES:
+            lines = "\n".join(prefix + line for line in textwrap.wrap(template, 72))
+            rows.append((len(rows), f"Prose stands here.\n\n{lines}\n\nint main() {{\n}}\n"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in license_scan.license_scan(df).collect():
+        assert r.licenses == license_scan.TEMPLATES[r.doc_id % len(license_scan.TEMPLATES)][0], rows[r.doc_id]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert compression_bands.quality_rules(none).count() == 0
