@@ -1,9 +1,12 @@
 """Secret scan: base patterns and a randomness test battery, native.
 
 Base kinds (``assign``, ``access``, ``hex``) are found by fixed patterns.  The
-battery looks at the remaining runs of 20 or more key characters that mix
-letters and digits, infers an encoding (hex, base32, letters and digits,
-base64, URL-safe base64) and tests whether the symbols look drawn uniformly:
+battery looks at runs of 20 or more key characters.  A run is cut at ``=`` and
+at the symbols foreign to each of base64, URL-safe base64 and plain letters and
+digits; every part of 20 or more characters that mixes letters and digits and
+lies apart from the base spans is judged, the uncut run among them where it
+fits.  The battery infers an encoding (hex, base32, letters and digits, base64,
+URL-safe base64) and tests whether the symbols look drawn uniformly:
 
 * chi-squared uniformity of the symbol counts over the alphabet,
 * runs above and below the alphabet's middle,
@@ -18,7 +21,7 @@ the band's cutoff is the least one with a false-discovery share of at most
 ``fdr``.  Longer bands separate better and get lower cutoffs by themselves.
 
 Spans count code points, the end exclusive; an ``assign`` span is the whole
-match.  Defined cases: a null or empty text has no spans; equal starts are
+match.  A random span inside a longer random span is left out.  Defined cases: a null or empty text has no spans; equal starts are
 ordered by kind (assign, access, hex, random); a band without any likely
 random string lets nothing pass.
 """
@@ -34,6 +37,8 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
 RUN = "[A-Za-z0-9+/_=-]{20,}"
+# Parts of a run, padding at its end included.
+PARTS = ("[A-Za-z0-9+/]{20,}(?:=+$)?", "[A-Za-z0-9_-]{20,}(?:=+$)?", "[A-Za-z0-9]{20,}(?:=+$)?")
 ALPHABETS = (
     ("hex", "^(?:[0-9A-F]+|[0-9a-f]+)$", "0123456789ABCDEF"),
     ("base32", "^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
@@ -177,19 +182,37 @@ def battery(body: Column) -> Column:
 
 def with_candidates(df: DataFrame, text_col: str = "text") -> DataFrame:
     """(row, _text, _base, _tested): the input row, its base spans, and the
-    runs apart from those that the battery can judge (start, stop, t)."""
+    parts of runs apart from those that the battery can judge (start, stop, t)."""
     df = df.select(F.struct(*df.columns).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     df = df.withColumn("_base", base_spans(F.col("_text")))
-    runs = F.filter(matches(F.col("_text"), RUN), lambda m: m["hit"].rlike("[0-9]") & m["hit"].rlike("[A-Za-z]") & ~F.exists(
+    runs = F.filter(matches(F.col("_text"), RUN), lambda m: m["hit"].rlike("[0-9]") & m["hit"].rlike("[A-Za-z]"))
+    parts = F.flatten(F.transform(runs, lambda m: F.transform(
+        F.array_distinct(F.concat(*[matches(m["hit"], p) for p in PARTS])),
+        lambda s: F.struct((m["start"] + s["start"]).alias("start"), (m["start"] + s["stop"]).alias("stop"),
+                           s["hit"].alias("hit")))))
+    apart = F.filter(parts, lambda m: m["hit"].rlike("[0-9]") & m["hit"].rlike("[A-Za-z]") & ~F.exists(
         "_base", lambda b: (b["start"] < m["stop"]) & (m["start"] < b["stop"])))
-    runs = F.when(F.col("_text").rlike(RUN.replace(",", "")), runs).otherwise(
+    apart = F.when(F.col("_text").rlike(RUN.replace(",", "")), apart).otherwise(
         _no("array<struct<start:int,stop:int,hit:string>>"))
-    df = df.withColumn("_runs", runs).withColumn("_tested", F.transform("_runs", lambda m: F.struct(
+    df = df.withColumn("_runs", apart).withColumn("_tested", F.transform("_runs", lambda m: F.struct(
         m["start"].alias("start"), m["stop"].alias("stop"), battery(F.regexp_replace(m["hit"], "=+$", "")).alias("t"))))
     kept = F.filter("_tested", lambda m: m["t"]["encoding"].isNotNull())
     return df.withColumn("_tested", kept).drop("_runs")
 
 
+def _outermost(spans: Column) -> Column:
+    """Without the spans that lie inside another one."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["stop"]).alias("last"), s.alias("s"))))
+    zero = F.struct(F.lit(-1).alias("at"), _no().alias("out"))
+
+    def add(acc, o):
+        more = -o["last"] > acc["at"]
+        return F.struct(F.greatest(acc["at"], -o["last"]).alias("at"),
+                        F.when(more, F.array_append(acc["out"], o["s"])).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(ordered, zero, add, lambda a: a["out"])
+
+
 def cutoffs(df: DataFrame, fdr: float = 0.05, text_col: str = "text") -> dict[str, float]:
     """Least passing p per "encoding:band", from all rows of ``df``.
 
@@ -220,7 +243,7 @@ def scan(df: DataFrame, limits: dict[str, float], text_col: str = "text") -> Dat
         table = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
         ok = F.filter("_tested", lambda m: m["t"]["p"] >= F.try_element_at(
             table, F.concat_ws(":", m["t"]["encoding"], m["t"]["band"])))
-        passed = _spans(ok, "random")
+        passed = _outermost(_spans(ok, "random"))
     return work.select(*[F.col(f"row.{c}").alias(c) for c in df.columns if c != "found"],
                        F.array_sort(F.concat("_base", passed)).alias("found"))
 

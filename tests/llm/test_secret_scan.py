@@ -103,6 +103,48 @@ def test_battery_adds_random_keys_and_leaves_words(spark):
     assert hit >= 120 and wrong <= 0.1 * len(found)
 
 
+def test_secrets_in_assignments_queries_and_paths(spark):
+    rnd = random.Random(12)
+
+    def key(n):
+        return "".join(rnd.choice(string.ascii_letters + string.digits) for _ in range(n))
+
+    frames = ("auth={}", "sig={}", "session_id={}", "/live_key/{}", "https://x.org/a_b/c?sig={}&page_no=2",
+              "/v1/live_key/{}/items_of_2019", "sk_live_{}", "0123456789abcdef01234567/{}")
+    rows, places = [], []
+    for i in range(320):
+        text = f"see {frames[i % len(frames)]} here"
+        value = key(40)
+        places.append((text.index("{}"), text.index("{}") + 40))
+        rows.append((i, text.format(value)))
+    rows += [(1000 + i, f"see name={'zzzz1111' * 5}{'y' * (i % 3)} here") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    limits = ss.cutoffs(df)
+    covered = dict.fromkeys(range(len(frames)), 0)
+    for r in ss.scan(df, limits).collect():
+        spans = [(s.start, s.stop) for s in r.found if s.kind == 3]
+        if r.doc_id >= 1000:
+            assert not spans
+        else:
+            a, b = places[r.doc_id]
+            covered[r.doc_id % len(frames)] += any(x <= a and b <= y for x, y in spans)
+    assert all(n >= 34 for n in covered.values()), covered      # of 40
+    assert sum(r.text.count("[SECRET]") > 0 for r in ss.redact(df, limits).collect()) >= 280
+
+
+def test_random_spans_hold_no_smaller_ones(spark):
+    rnd = random.Random(13)
+    alphabet = ss.ALPHABETS[[a[0] for a in ss.ALPHABETS].index("base64")][2]
+    rows = [(i, "key " + "".join(rnd.choice(alphabet) for _ in range(120)) + "==") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole, limits = 0, {f"{name}:{band}": 0.05 for name, _, _ in ss.ALPHABETS for band in ss.BANDS}
+    for r in ss.scan(df, limits).collect():
+        spans = [(s.start, s.stop) for s in r.found if s.kind == 3]
+        assert not any(a != b and a[0] <= b[0] and b[1] <= a[1] for a in spans for b in spans)
+        whole += (4, 126) in spans
+    assert whole >= 85
+
+
 def test_redact_and_row_count(spark):
     df = spark.createDataFrame(rows(), "doc_id long, text string").withColumn("found", ss.F.lit(1))
     out = ss.redact(df, {})
