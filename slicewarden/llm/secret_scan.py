@@ -5,8 +5,9 @@ battery looks at runs of 20 or more key characters.  A run is cut at ``=`` and
 at the symbols foreign to each of base64, URL-safe base64 and plain letters and
 digits; every part of 20 or more characters that mixes letters and digits and
 lies apart from the base spans is judged, the uncut run among them where it
-fits.  The battery infers an encoding (hex, base32, letters and digits, base64,
-URL-safe base64) and tests whether the symbols look drawn uniformly:
+fits.  The battery infers an encoding (hex, base32 and base36 of either case,
+letters and digits, base64, URL-safe base64) and tests whether the symbols look
+drawn uniformly:
 
 * chi-squared uniformity of the symbol counts over the alphabet,
 * runs above and below the alphabet's middle,
@@ -42,6 +43,9 @@ PARTS = ("[A-Za-z0-9+/]{20,}(?:=+$)?", "[A-Za-z0-9_-]{20,}(?:=+$)?", "[A-Za-z0-9
 ALPHABETS = (
     ("hex", "^(?:[0-9A-F]+|[0-9a-f]+)$", "0123456789ABCDEF"),
     ("base32", "^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("base32lower", "^[a-z2-7]+$", "abcdefghijklmnopqrstuvwxyz234567"),
+    ("base36", "^[A-Z0-9]+$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    ("base36lower", "^[a-z0-9]+$", "0123456789abcdefghijklmnopqrstuvwxyz"),
     ("alnum", "^[A-Za-z0-9]+$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base64", "^[A-Za-z0-9+/]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "^[A-Za-z0-9_-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),

@@ -132,6 +132,31 @@ def test_secrets_in_assignments_queries_and_paths(spark):
     assert sum(r.text.count("[SECRET]") > 0 for r in ss.redact(df, limits).collect()) >= 280
 
 
+def test_recall_of_each_encoding_and_length(spark):
+    """Random keys of every encoding pass beside repetitive strings of the same band."""
+    rnd, rows, of = random.Random(14), [], {}
+    names = [a[0] for a in ss.ALPHABETS]
+    tails = {"base32": "ZZ2", "base32lower": "zz2", "base36": "Z19", "base36lower": "z19", "alnum": "zZ1"}
+    for name, alphabet in (("base32", string.ascii_uppercase + "234567"), ("base32lower", string.ascii_lowercase + "234567"),
+                           ("base36", string.digits + string.ascii_uppercase),
+                           ("base36lower", string.digits + string.ascii_lowercase),
+                           ("alnum", string.digits + string.ascii_letters)):
+        assert name in names
+        for n in (24, 32, 40, 64):
+            for i in range(900):
+                of[len(rows)] = (name, n, i < 600)
+                value = "".join(rnd.choice(alphabet) for _ in range(n)) if i < 600 else \
+                    (("".join(rnd.sample(alphabet, 2)) + tails[name]) * n)[:n]
+                rows.append((len(rows), f"see {value} here"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    hit, wrong = {}, 0
+    for r in ss.scan(df, ss.cutoffs(df)).where("exists(found, s -> s.kind = 3)").collect():
+        name, n, random_key = of[r.doc_id]
+        hit[name, n] = hit.get((name, n), 0) + random_key
+        wrong += not random_key
+    assert len(hit) == 20 and all(v >= 450 for v in hit.values()) and wrong <= 0.1 * sum(hit.values()), (hit, wrong)
+
+
 def test_random_spans_hold_no_smaller_ones(spark):
     rnd = random.Random(13)
     alphabet = ss.ALPHABETS[[a[0] for a in ss.ALPHABETS].index("base64")][2]
