@@ -75,6 +75,32 @@ def test_bands_verdict(spark):
     assert not got[4].kept and got[4].max_chunk_ratio > compression_bands.Bands().chunk[1]
 
 
+def test_bands_noise_in_every_band_and_at_odd_offsets(spark):
+    rnd = random.Random(21)
+
+    def noise(letters, n):
+        return " ".join("".join(rnd.choice(letters) for _ in range(12)) for _ in range(n // 13 + 1))[:n]
+
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    docs = read_table(spark, SF_MID, "documents").where("n_chars > 12000").limit(40).collect()
+    packer, bands = zstandard.ZstdCompressor(level=3), compression_bands.Bands()
+
+    def kept(text):
+        return compression_bands.measure(text.encode(), bands, packer)[-1]
+
+    prose = next(d.text for d in docs if kept(d.text))
+    for n in (280, 300, 400, 512, 600, 1000, 1024, 1500, 2000, 3000, 4000, 8000, 20_000):
+        assert not any(kept(noise(base64, n)) for _ in range(5)), n
+        if n >= 800:
+            assert not any(kept(noise("abcdefghijklmnopqrstuvwxyz", n)) for _ in range(5)), n
+    for letters in (base64, "abcdefghijklmnopqrstuvwxyz"):
+        for at in (0, 700, 2048, 3333, 6001, len(prose)):
+            for n in (2000, 4096):
+                assert not kept(prose[:at] + " " + noise(letters, n) + " " + prose[at:]), (at, n)
+    # 20 words of 9 letters: the shortest noise that the base rule lets through here.
+    assert not kept(" ".join("".join(rnd.choice(base64) for _ in range(9)) for _ in range(20)))
+
+
 def test_repeat_words_other_windows():
     rnd = random.Random(3)
     for window in (2, 3, 5, 6, 8):
