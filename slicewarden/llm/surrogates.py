@@ -1,7 +1,10 @@
 """Personal data: keyed surrogates that keep type, format and identity.
 
-Mail addresses, phone, card and social security numbers, IPv4 addresses and
-titled names are found by patterns.  Every distinct entity of the corpus gets
+Mail addresses, phone, card and social security numbers, IP addresses and
+titled names are found by patterns; each text is then looked through again for
+the family names, alone or after their given names, that a title showed in it.
+Names that no title in the same text shows, and given names standing alone, are
+not detected.  Every distinct entity of the corpus gets
 one surrogate, drawn from an HMAC of the key, type, value and attempt: digits
 for digits, letters for letters, the same separators, the card's brand digit
 and check digit, a name of the same script with the gender of its title.
@@ -10,7 +13,8 @@ Distinct entities keep distinct surrogates, and no surrogate is a value that
 occurs in the corpus: candidates that clash are drawn again with the next
 attempt (the smallest value of a clash keeps its own).  Mentions of one entity
 share its surrogate everywhere, also a family name with and without the given
-name, or a phone number in two formats.
+name or title, or a phone number in two formats.  A given name after a title
+without gender takes the gender that the same name has in its text, if any.
 
 Defined cases: null texts stay null, texts without entities stay as they are;
 repeated rows are treated alike; other columns pass unchanged.
@@ -20,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,23 +35,29 @@ from pyspark.sql import functions as F
 from slicewarden.llm.common import bound_batches, stored
 
 _TITLES = {"m": ("Mr", "Herr", "Señor", "Sr", "Monsieur", "Господин", "г-н", "Κύριος"),
-           "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Госпожа", "г-жа", "Κυρία")}
+           "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Госпожа", "г-жа", "Κυρία"),
+           "n": ("Dr", "Doctor", "Prof", "Professor", "Mx", "Rev", "Доктор", "Профессор", "Δρ", "Καθηγητής")}
 _TITLE = "|".join(sorted((regex.escape(t) for ts in _TITLES.values() for t in ts), key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+_NAME = r"\p{Lu}(?:\p{L}|['’-](?!s(?!\p{L}))(?=\p{L}))+"
+_H = "[0-9A-Fa-f]{1,4}"
 ENTITY = regex.compile(
     r"(?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
+    rf"|(?<![\w:.])(?P<ip6>(?:{_H}:){{7}}{_H}|(?:{_H}(?::{_H}){{0,6}})?::(?:{_H}(?::{_H}){{0,6}})?)(?![\w:]|\.\d)"
     rf"|(?<![\d.])(?P<ip>(?:{_OCTET}\.){{3}}{_OCTET})(?!\.?\d)"
-    r"|(?<!\d)(?P<card>[3-6]\d{3}(?:[ -]?\d{4}){3})(?!\d)"
+    r"|(?<!\d)(?P<card>[2-6]\d{3}(?:[ -]?\d{4}){3}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5})(?!\d)"
     r"|(?<![\d-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\d-])"
-    r"|(?<![\d+])(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4})(?!\d)"
-    rf"|(?<!\p{{L}})(?:{_TITLE})\.?\p{{Zs}}+(?P<name>\p{{Lu}}[\p{{L}}'-]+(?:\p{{Zs}}\p{{Lu}}[\p{{L}}'-]+)?)")
+    r"|(?<![\d+])(?P<phone>\+\d{1,3}[ .-]?\d{1,3}(?:[ .-]\d{2}){3,5}(?!\d)|0\d(?:[ .-]\d{2}){4}(?!\d)|\+\d{8,15}(?!\d)"
+    r"|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4})(?!\d)"
+    rf"|(?<!\p{{L}})(?:(?:{_TITLE})\.?\p{{Zs}}+)++(?P<name>{_NAME}(?:\p{{Zs}}{_NAME})?)")
+_CAPITAL = regex.compile(rf"(?<![\p{{L}}\p{{N}}_]){_NAME}(?![\p{{L}}\p{{N}}_])")
 # A text without any of these holds no entity.
-MAYBE = rf"[@0-9]|{_TITLE}"
+MAYBE = rf"[@0-9]|:[A-Fa-f]{{0,4}}:|{_TITLE}"
 # Sounds for invented names by script: consonants, vowels, endings by gender.
 _SOUNDS = {
-    "latin": ("bdfgklmnprstvz", "aeiou", {"f": "a", "m": "on", "": "er"}),
-    "cyrillic": ("бвгдзклмнпрст", "аеиоу", {"f": "а", "m": "ов", "": "ин"}),
-    "greek": ("βγδζκλμνπρστ", "αειου", {"f": "α", "m": "ος", "": "ης"}),
+    "latin": ("bdfgklmnprstvz", "aeiou", {"f": "a", "m": "on", "n": "y", "": "er"}),
+    "cyrillic": ("бвгдзклмнпрст", "аеиоу", {"f": "а", "m": "ов", "n": "и", "": "ин"}),
+    "greek": ("βγδζκλμνπρστ", "αειου", {"f": "α", "m": "ος", "n": "ι", "": "ης"}),
 }
 
 
@@ -55,10 +66,19 @@ def script_of(word: str) -> str:
     return "cyrillic" if "Ѐ" <= c <= "ԯ" else "greek" if "Ͱ" <= c <= "Ͽ" else "latin"
 
 
+def _address6(raw: str) -> str | None:
+    """The one spelling of an IPv6 address; None for other text with colons."""
+    try:
+        value = ipaddress.IPv6Address(raw).compressed
+    except ValueError:
+        return None
+    return value if regex.search(r"\d", raw) or len(regex.findall(_H, raw)) > 3 else None
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, value): value is what names the entity, whatever the
     mention's format.  A name yields one unit per part."""
-    out = []
+    out, names = [], []
     for m in ENTITY.finditer(text):
         kind = m.lastgroup
         start, end = m.span(kind)
@@ -68,20 +88,52 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             if kind == "card" and _luhn(digits[:-1]) != digits[-1]:
                 continue                    # some other long number
             value = raw.lower() if kind == "email" else raw if kind == "ip" else digits
+            if kind == "ip6":
+                value = _address6(raw)
             if kind == "phone":
                 value = digits[-10:] if len(digits) >= 10 else digits
-            out.append((start, end, kind, value))
+            if value:
+                out.append((start, end, kind, value))
             continue
-        title = text[m.start():start].strip().rstrip(".")
-        gender = next(g for g, ts in _TITLES.items() if title in ts)
-        at = start
-        parts = regex.split(r"(\p{Zs})", m["name"])
-        for i in range(0, len(parts), 2):
-            given = i == 0 and len(parts) > 1
-            out.append((at, at + len(parts[i]), "given" if given else "family",
-                        f"{gender}:{parts[i].lower()}" if given else parts[i].lower()))
-            at += len(parts[i]) + 1
-    return out
+        titles = regex.findall(_TITLE, text[m.start():start])
+        gender = next((g for g in "mf" for t in titles if t in _TITLES[g]), "n")
+        parts = [(p.start() + start, p.end() + start, p[0].lower()) for p in regex.finditer(r"\P{Zs}+", m["name"])]
+        names.append((gender, parts))
+    if not names:
+        return out
+    families, genders, taken = set(), {}, out[:]
+    for gender, parts in names:
+        families.add(parts[-1][2])
+        if len(parts) > 1:
+            pair = (parts[0][2], parts[1][2])
+            genders[pair] = gender if genders.get(pair, "n") == "n" else genders[pair]
+
+    def add(gender, parts):
+        if len(parts) > 1:
+            out.append((parts[0][0], parts[0][1], "given", f"{gender}:{parts[0][2]}"))
+        out.append((parts[-1][0], parts[-1][1], "family", parts[-1][2]))
+
+    for gender, parts in names:
+        add(genders[parts[0][2], parts[1][2]] if gender == "n" and len(parts) > 1 else gender, parts)
+        taken.append((parts[0][0], parts[-1][1]))
+    # The same names again, without a title.
+    covered = iter(sorted((t[0], t[1]) for t in taken))
+    begin, stop = next(covered)
+    before = None
+    for m in _CAPITAL.finditer(text):
+        while stop <= m.start():
+            begin, stop = next(covered, (len(text) + 1, len(text) + 1))
+        word = (m.start(), m.end(), m[0].lower())
+        if m.end() > begin:                 # part of a mention that is known
+            before = None
+            continue
+        if word[2] in families:
+            full = before and text[before[1]:word[0]].isspace() and genders.get((before[2], word[2]))
+            add(full, [before, word]) if full else add("", [word])
+            before = None if full else word
+        else:
+            before = word
+    return sorted(out)
 
 
 class _Draw:
@@ -122,12 +174,23 @@ def propose(kind: str, value: str, attempt: int, key: bytes) -> str:
         keep = 1 if o[0] == 10 else 2 if (o[0], o[1]) == (192, 168) or o[0] == 172 and 16 <= o[1] < 32 else 0
         first = o[:keep] or [1 + draw.below(9) if o[0] < 10 else 11 + draw.below(89) if o[0] < 100 else 100 + draw.below(27)]
         return ".".join(map(str, [*first, *[draw.below(256) for _ in range(4 - len(first))]]))
+    if kind == "ip6":
+        groups = value.split(":")
+        if attempt >= 8:
+            groups = [groups[0] or "x"] + ["x"] * 7
+        drawn = [g and f"{1 + draw.below(9)}{draw.below(4096):03x}" for g in groups]
+        if groups[0][:2] in ("fc", "fd", "fe") and any(groups[1:]):
+            drawn[0] = groups[0]            # private or of one link
+        return ":".join(drawn)
     if kind == "card":
-        body = value[0] + draw.like(value[1:-1])
+        brand = 2 if len(value) == 15 else 1
+        body = value[:brand] + draw.like(value[brand:-1])
         return body + _luhn(body)
     if kind == "ssn":
         return "9" + draw.like(value[1:])
     if kind == "phone":
+        if value[0] == "0":
+            return "0" + str(1 + draw.below(9)) + draw.like(value[2:])
         return str(2 + draw.below(8)) + draw.like(value[1:])
     gender, _, word = value.rpartition(":")
     consonants, vowels, endings = _SOUNDS[script_of(word)]
@@ -143,7 +206,7 @@ def written(kind: str, mention: str, surrogate: str) -> str:
         return word.upper() if mention.isupper() else word[:1].upper() + word[1:]
     if kind == "email":
         return surrogate.upper() if mention.isupper() else surrogate
-    if kind == "ip":
+    if kind in ("ip", "ip6"):
         return surrogate
     places = [i for i, c in enumerate(mention) if c.isdigit()][-len(surrogate):]
     out = list(mention)

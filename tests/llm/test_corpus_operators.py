@@ -187,6 +187,38 @@ def test_surrogates_keep_identity_and_format(spark):
     assert text[4] == [None] and text[5] == ["no digits at all"] and text[7] == [""]
 
 
+def test_bare_later_mentions_share_the_surrogate(spark):
+    text = ("Mr John Smith came. John Smith sat; then Smith said SMITH's dog slept, John\nSmith nodded. Smithson and smith "
+            "stay. Prof. Dr. Weber left; Weber's hat. Dr Anna Bell is Mrs Anna Bell.")
+    df = spark.createDataFrame([(1, text), (2, "Smith and Weber without a title")], "doc_id long, text string")
+    got = {r.doc_id: r for r in surrogates.pseudonymise(df, KEY).collect()}
+    out = got[1].text
+    for real in ("John", "Smith ", "SMITH", "Smith said", "Weber", "Anna", "Bell"):
+        assert real not in out.replace("Smithson", ""), (real, out)
+    given, family = out.split()[1:3]
+    assert out.startswith(f"Mr {given} {family} came. {given} {family} sat; then {family} said {family.upper()}'s dog slept, "
+                          f"{given}\n{family} nodded. Smithson and smith stay. Prof. Dr. ")
+    weber = out.split("Prof. Dr. ")[1].split()[0]
+    assert f"left; {weber}'s hat" in out
+    woman = out.split(". Dr ")[-1].split(" is Mrs ")
+    assert woman[0] + "." == woman[1] and woman[0].split()[0].endswith("a")
+    assert got[1].n_entities == 14 and got[2].n_entities == 0
+
+
+def test_more_formats_of_numbers_and_addresses(spark):
+    mentions = ["+15551234567", "+33 6 12 34 56 78", "06 12 34 56 78", "378282246310005", "3782 822463 10005",
+                "2223003122003222", "2001:db8::8a2e:370:7334", "fe80::1", "2001:DB8:0:0:0:0:0:1", "2001:db8::1"]
+    kinds = ["phone"] * 3 + ["card"] * 3 + ["ip6"] * 4
+    df = spark.createDataFrame([(i, f"see {m} now") for i, m in enumerate(mentions)] +
+                               [(99, "std::ab at 12:30:45 from aa:bb:cc:dd:ee:ff")], "doc_id long, text string")
+    got = {r.doc_id: r for r in surrogates.pseudonymise(df, KEY).collect()}
+    for i, (mention, kind) in enumerate(zip(mentions, kinds)):
+        assert got[i].entities == f"{kind}:4:{4 + len(mention)}" and mention not in got[i].text
+        assert [f[2] for f in surrogates.find(got[i].text)] == [kind], got[i].text
+    assert got[3].text[4:-4] == got[4].text[4:-4].replace(" ", "") and got[8].text == got[9].text
+    assert got[99].entities == "" and got[7].text.startswith("see fe80::")
+
+
 def test_clashing_candidates_are_drawn_again(spark, monkeypatch):
     monkeypatch.setattr(surrogates, "propose", lambda kind, value, attempt, key: str((int(value) // 3 + attempt * 7) % 500))
     ids = spark.createDataFrame([("phone", str(600 + i)) for i in range(60)] + [("phone", "3")], "kind string, value string")
