@@ -163,7 +163,8 @@ def _luhn(digits: str) -> str:
 
 
 def propose(kind: str, value: str, attempt: int, key: bytes) -> str:
-    """Candidate surrogate value; a longer one once many attempts clashed."""
+    """Candidate surrogate value; a longer one, or an address from a wider range,
+    once many attempts clashed."""
     draw, more = _Draw(key, kind, value, attempt), attempt // 8
     if kind == "email":
         local, _, domain = value.partition("@")
@@ -172,6 +173,10 @@ def propose(kind: str, value: str, attempt: int, key: bytes) -> str:
     if kind == "ip":
         o = [int(x) for x in value.split(".")]
         keep = 1 if o[0] == 10 else 2 if (o[0], o[1]) == (192, 168) or o[0] == 172 and 16 <= o[1] < 32 else 0
+        if attempt >= 16:                   # whatever is left: reserved addresses for private ones
+            keep, o = 1, [240 + draw.below(16) if keep else 1 + draw.below(223)]
+        elif attempt >= 8 and keep == 2:    # its range may be full of real values
+            keep, o = 1, [10]
         first = o[:keep] or [1 + draw.below(9) if o[0] < 10 else 11 + draw.below(89) if o[0] < 100 else 100 + draw.below(27)]
         return ".".join(map(str, [*first, *[draw.below(256) for _ in range(4 - len(first))]]))
     if kind == "ip6":

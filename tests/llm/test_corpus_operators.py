@@ -226,6 +226,19 @@ def test_clashing_candidates_are_drawn_again(spark, monkeypatch):
     assert len(got) == 61 == len({r.surrogate for r in got}) and not {r.surrogate for r in got} & {r.value for r in got}
 
 
+def test_full_private_ranges_get_surrogates(spark):
+    real = {f"192.168.{i // 256}.{i % 256}" for i in range(40_000)} | {f"172.20.{i}.1" for i in range(256)}
+    ids = spark.createDataFrame([("ip", v) for v in sorted(real)], "kind string, value string").repartition(4)
+    got = surrogates.mapping(ids, KEY, rounds=24).collect()
+    assert {r.value for r in got} == real and len({r.surrogate for r in got}) == len(got) == len(real)
+    assert not real & {r.surrogate for r in got}
+    assert all(r.surrogate.startswith(("192.168.", "172.20.", "10.")) for r in got)
+    for attempt in (0, 8, 16, 30):
+        for v in ("10.1.2.3", "192.168.0.7", "44.7.9.250"):
+            new = surrogates.propose("ip", v, attempt, KEY)
+            assert [f[2:] for f in surrogates.find(new)] == [("ip", new)]
+
+
 def test_surrogates_of_documents_are_distinct(spark):
     docs = read_table(spark, SF_SMALL, "documents")
     before = {r.doc_id: r.text for r in docs.collect()}
