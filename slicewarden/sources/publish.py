@@ -142,7 +142,8 @@ def manifest_frame(spark: SparkSession, manifest: dict) -> DataFrame:
 def verify_manifest(spark: SparkSession, manifest: dict, partition: str, strict: bool = True) -> DataFrame:
     """FILE-3/JOIN-9: each listed file against the files actually present.
 
-    status: ok, missing, size_mismatch, checksum_mismatch.  Strict mode
+    status: ok, missing, size_mismatch, checksum_mismatch, modified (no checksum
+    listed, and written again since: the modification time differs).  Strict mode
     raises on anything but ok; loose mode drops missing files and keeps the
     rest.  Sorted by name.
     """
@@ -154,6 +155,7 @@ def verify_manifest(spark: SparkSession, manifest: dict, partition: str, strict:
     status = (F.when(F.col("a.path").isNull(), F.lit("missing"))
               .when(F.col("m.size").isNotNull() & (F.col("m.size") != F.col("a.size")), F.lit("size_mismatch"))
               .when(F.col("m.md5").isNotNull() & (F.col("m.md5") != F.col("a.md5")), F.lit("checksum_mismatch"))
+              .when(F.col("m.md5").isNull() & (F.try_to_timestamp(F.col("m.updated")) != F.col("a.updated")), F.lit("modified"))
               .otherwise(F.lit("ok")))
     out = j.select(F.col("m.uri").alias("uri"), F.coalesce(F.col("m.name"), F.col("m.uri")).alias("name"),
                    F.col("a.size").alias("size"), F.col("a.md5").alias("md5"), status.alias("status"))

@@ -1,9 +1,11 @@
 """Staged publish, manifest, verification and tampering."""
 
+import inspect
 import os
 
 import pytest
 
+from slicewarden.plans import jobs
 from slicewarden.sources import files, publish
 
 
@@ -86,3 +88,22 @@ def test_same_size_content_tamper_is_a_checksum_mismatch(spark, tmpdir_path):
     st = {r.uri: r.status for r in publish.verify_manifest(spark, m, final, strict=False).collect()}
     assert st[m["files"][0]["uri"]] == "checksum_mismatch"
     assert sorted(set(st.values())) == ["checksum_mismatch", "ok"]
+
+
+def test_same_size_rewrite_is_seen_by_default(spark, tmpdir_path):
+    final = os.path.join(tmpdir_path, "date=2024-02-02")
+    out = publish.publish_partition(spark, good_rows(spark), final_prefix=final, run_date="2024-02-02",
+                                    run_id="c2", mode="basic", success=True, export_good_on_failure=True)
+    m = out.manifest
+    assert {r.status for r in publish.verify_manifest(spark, m, final, strict=False).collect()} == {"ok"}
+    victim = m["files"][0]["uri"].replace("file:", "")
+    with open(victim, "r+b") as f:
+        f.seek(os.path.getsize(victim) // 2)
+        b = f.read(1)
+        f.seek(-1, 1)
+        f.write(bytes([b[0] ^ 0xFF]))
+    st = {r.uri: r.status for r in publish.verify_manifest(spark, m, final, strict=False).collect()}
+    assert st.pop(m["files"][0]["uri"]) == "modified" and set(st.values()) <= {"ok"}
+    with pytest.raises(ValueError, match="modified"):
+        publish.read_published(spark, final)
+    assert inspect.signature(jobs.validate_day).parameters["checksums"].default is False
