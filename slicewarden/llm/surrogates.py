@@ -43,7 +43,7 @@ _NAME = r"\p{Lu}(?:\p{L}|['’-](?!s(?!\p{L}))(?=\p{L}))+"
 _H = "[0-9A-Fa-f]{1,4}"
 ENTITY = regex.compile(
     r"(?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
-    rf"|(?<![\w:.])(?P<ip6>(?:{_H}:){{7}}{_H}|(?:{_H}(?::{_H}){{0,6}})?::(?:{_H}(?::{_H}){{0,6}})?)(?![\w:]|\.\d)"
+    rf"|(?<![\w:.])(?=[0-9A-Fa-f]{{0,4}}:)(?P<ip6>(?:{_H}:){{7}}{_H}|(?:{_H}(?::{_H}){{0,6}})?::(?:{_H}(?::{_H}){{0,6}})?)(?![\w:]|\.\d)"
     rf"|(?<![\d.])(?P<ip>(?:{_OCTET}\.){{3}}{_OCTET})(?!\.?\d)"
     r"|(?<!\d)(?P<card>[2-6]\d{3}(?:[ -]?\d{4}){3}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5})(?!\d)"
     r"|(?<![\d-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\d-])"
@@ -52,7 +52,8 @@ ENTITY = regex.compile(
     rf"|(?<!\p{{L}})(?:(?:{_TITLE})\.?\p{{Zs}}+)++(?P<name>{_NAME}(?:\p{{Zs}}{_NAME})?)")
 _CAPITAL = regex.compile(rf"(?<![\p{{L}}\p{{N}}_]){_NAME}(?![\p{{L}}\p{{N}}_])")
 # A text without any of these holds no entity.
-MAYBE = rf"[@0-9]|:[A-Fa-f]{{0,4}}:|{_TITLE}"
+_FIRST = "".join(sorted({t[0] for ts in _TITLES.values() for t in ts}))
+MAYBE = rf"[@0-9]|:[A-Fa-f]{{0,4}}:|(?=[{_FIRST}])(?:{_TITLE})"
 # Sounds for invented names by script: consonants, vowels, endings by gender.
 _SOUNDS = {
     "latin": ("bdfgklmnprstvz", "aeiou", {"f": "a", "m": "on", "n": "y", "": "er"}),
