@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slicewarden.llm import arc_to_warc, boosted_quality, bpe_automaton, compression_bands
-from slicewarden.llm import decontaminate, external_shuffle, license_scan, secret_scan, simhash_dedup, surrogates
+from slicewarden.llm import decontaminate, external_shuffle, license_scan, merkle_manifest, secret_scan
+from slicewarden.llm import simhash_dedup, surrogates
 from slicewarden.llm.common import read_table
 from slicewarden.session import ensure_checkpoint_dir
 
@@ -152,3 +153,63 @@ def op6(spark, sf_dir):
 def op9(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return license_scan.license_scan(docs).drop("text")
+
+
+_VALUE = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR END"
+_LEAF = " || ".join(f"({_VALUE.format(c)})" for c in ("doc_id", "source", "lang", "{n}", "text"))
+# CRC-32 (its reversed polynomial is 3988292384) over the characters of a number's text.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))),
+    4294967295)"""
+
+
+@query("op13_merkle_manifest", f"""
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, sha256({_LEAF.format(n='n_chars')}) AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND {_CRC32.format('doc_id')} % 7 = 0
+      THEN sha256({_LEAF.format(n='(n_chars::HUGEINT + 1)')}) END AS tampered
+  FROM documents),
+leaves AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, count(*) OVER (PARTITION BY lang) AS n,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i FROM rows),
+nodes(g, l, i, n, h) AS (
+  SELECT g, 0, i, n, leaf FROM leaves
+  UNION ALL
+  SELECT g, l + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM nodes WHERE n > 1 GROUP BY g, l, i // 2, n),
+subroots AS (SELECT g, l AS depth, h, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(l, i, n, h) AS (
+  SELECT 0, g, n, h FROM subroots
+  UNION ALL
+  SELECT l + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY l, i // 2, n),
+steps AS (
+  SELECT o.r, o.l, (v.i >> o.l) & 1 AS side, s.h
+  FROM (SELECT DISTINCT e.r, p.l FROM leaves e JOIN nodes p ON p.g = e.g AND p.n > 1 AND p.i = 0) o
+  JOIN leaves v ON v.r = o.r
+  LEFT JOIN nodes s ON s.g = v.g AND s.l = o.l AND s.i = xor(v.i >> o.l, 1)
+  UNION ALL
+  SELECT v.r, 1000 + p.l, (v.g >> p.l) & 1, s.h
+  FROM leaves v JOIN tops p ON p.n > 1 AND p.i = 0
+  LEFT JOIN tops s ON s.l = p.l AND s.i = xor(v.g >> p.l, 1)),
+proofs AS (
+  SELECT r, string_agg(coalesce(h, ''), '' ORDER BY l) AS proof,
+    list(CASE side WHEN 1 THEN 'L' ELSE 'R' END || coalesce(h, '') ORDER BY l) AS path FROM steps GROUP BY r),
+folded AS (
+  SELECT v.doc_id, v.leaf, u.h AS subroot, t.h AS root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+    list_reduce(list_prepend(coalesce(v.tampered, v.leaf), coalesce(p.path, [])),
+      lambda a, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || a ELSE a || s[2:] END)) AS folded_root
+  FROM leaves v JOIN subroots u ON u.g = v.g JOIN tops t ON t.n = 1 LEFT JOIN proofs p ON p.r = v.r)
+SELECT *, folded_root = root AS verified FROM folded
+""")
+def op13(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("decimal(20,0)")
+    changed = merkle_manifest.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), more, F.col("text"))
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    found = merkle_manifest.manifest(docs, "doc_id", "lang", ["doc_id", "source", "lang", "n_chars", "text"],
+                                     keep={"tampered": F.when(hit, changed)})
+    back = merkle_manifest.fold(F.coalesce("tampered", "leaf"), F.col("proof"))
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+                        F.sha2(merkle_manifest.proof_text(F.col("proof")), 256).alias("proof_sha256"),
+                        back.alias("folded_root"), (back == F.col("root")).alias("verified"))
