@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from slicewarden.llm import arc_to_warc, boosted_quality, bpe_automaton, compression_bands
 from slicewarden.llm import decontaminate, external_shuffle, license_scan, merkle_manifest, secret_scan
-from slicewarden.llm import simhash_dedup, surrogates
+from slicewarden.llm import simhash_dedup, surrogates, token_alignment
 from slicewarden.llm.common import read_table
 from slicewarden.session import ensure_checkpoint_dir
 
@@ -19,10 +19,14 @@ ORACLE: dict[str, str] = {}
 SURROGATE_KEY = b"slicewarden surrogate key"
 
 
-def word_bpe_path() -> str:
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
+
+
+def word_bpe_path() -> str:
+    return tokenizer_path("word_bpe_49k.json")
 
 
 def query(name: str, sql: str | None = None):
@@ -213,3 +217,11 @@ def op13(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root",
                         F.sha2(merkle_manifest.proof_text(F.col("proof")), 256).alias("proof_sha256"),
                         back.alias("folded_root"), (back == F.col("root")).alias("verified"))
+
+
+@query("op12_token_alignment")
+def op12(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    found = token_alignment.align(docs, ("byte_bpe", tokenizer_path("byte_bpe_50k.json")),
+                                  ("pieces", tokenizer_path("piece_bpe_32k.model")), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")

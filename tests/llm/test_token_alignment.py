@@ -1,0 +1,133 @@
+import hashlib
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+import public_tokenizers
+
+from slicewarden.llm import token_alignment as ta
+
+A = ("byte_bpe", public_tokenizers.path("byte_bpe_50k.json"))
+B = ("pieces", public_tokenizers.path("piece_bpe_32k.model"))
+SCHEMA = "doc_id long, text string, chunk string, groups int, n_a string"
+
+
+@pytest.fixture(scope="module")
+def plain_tokens():
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(A[1])
+    tok.encode_special_tokens = True
+    sp = SentencePieceProcessor(model_file=B[1])
+    letters = ta.byte_letters()
+
+    def tokens(text):
+        """[(id, bytes)] of both tokenizers, or None."""
+        if not text:
+            return None
+        a = [(i, bytes(letters[c] for c in tok.id_to_token(i)))
+             for i in tok.encode(" " + text, add_special_tokens=False).ids]
+        b = []
+        for i in sp.encode(text):
+            piece = sp.id_to_piece(i)
+            b.append((i, bytes.fromhex(piece[3:5]) if sp.is_byte(i) else piece.replace("▁", " ").encode()))
+        whole = (" " + text).encode()
+        return (a, b) if all(b"".join(t for _, t in x) == whole for x in (a, b)) else None
+
+    return tokens
+
+
+def plain(rows, tokens):
+    """Every pair of tokens compared by byte range."""
+    docs, corpus = [], Counter()
+    for doc, text in rows:
+        got, links, groups = tokens(text), [], []
+        if got:
+            spans = []
+            for side in got:
+                at, out = 0, []
+                for i, piece in side:
+                    out.append((at, at + len(piece), i))
+                    at += len(piece)
+                spans.append(out)
+            links = [(x[2], y[2]) for x in spans[0] for y in spans[1] if x[0] < y[1] and y[0] < x[1]]
+            ends = sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]})
+            for lo, hi in zip([0, *ends], ends):
+                groups.append("|".join(",".join(str(i) for s, e, i in side if s >= lo and e <= hi) for side in spans))
+        corpus.update(links)
+        docs.append((doc, got, links, groups))
+    top = Counter()
+    for (_, b), n in corpus.items():
+        top[b] = max(top[b], n)
+    return sorted((str(doc), len(got[0]) if got else 0, len(got[1]) if got else 0, len(groups), len(links),
+                   sum(corpus[x] == top[x[1]] for x in links), sum(corpus[x] for x in links), ";".join(groups))
+                  for doc, got, links, groups in docs)
+
+
+def odd_rows(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+            if r["text"] and len(r["text"]) < 1500][:40]
+    rows += [(1, None), (2, ""), (3, " "), (4, "\n\n \t"), (5, "x"), (6, "x"), (None, "no id here"), (6, "x"),
+             (7, "naïve café — 東京 \U0001f600 \U0001f468‍\U0001f469‍\U0001f467 ﬁ"), (8, "a▁b"), (9, "<s> </s> <|endoftext|> <0x41>"),
+             (10, "    indented   code\t\tx = 1;\r\n"), (11, "z" * 700), (12, "don't we'll  I'M"), (13, "\x00\x01\x7f")]
+    return rows
+
+
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
+
+
+def run(spark, rows, **more):
+    df = spark.createDataFrame([(*r, "clash", 1, "clash") for r in rows], SCHEMA).repartition(3)
+    return sorted((str(r[0]), *r[1:]) for r in ta.align(df, A, B, **more).select(*COLUMNS).collect())
+
+
+@pytest.mark.parametrize("chunk_bytes", [1, 3000, 16 << 20])
+def test_alignment_matches_brute_force(spark, plain_tokens, chunk_bytes):
+    rows = odd_rows(spark)
+    want = plain(rows, plain_tokens)
+    assert run(spark, rows, chunk_bytes=chunk_bytes) == want
+    assert any(w[3] == 0 and w[0] == "8" for w in want)          # a piece that is no space
+    if chunk_bytes == 3000:
+        digests = [(*w[:-1], hashlib.sha256(w[-1].encode()).hexdigest() if w[3] else "") for w in want]
+        assert run(spark, rows, chunk_bytes=chunk_bytes, digest=True) == digests
+
+
+def test_empty_table_and_tables_without_tokens(spark):
+    assert run(spark, []) == []
+    assert run(spark, [(1, None), (2, "")]) == [("1", 0, 0, 0, 0, 0, 0, ""), ("2", 0, 0, 0, 0, 0, 0, "")]
+
+
+def test_long_texts_in_parts_give_the_same_ids(monkeypatch):
+    text = ("one two  three don't 4 5\n six, seven " * 3000 + "é word　x 7 a b ") * 3
+    tools = [ta.load(*A), ta.load(*B)]
+    whole = [ta.token_ids(t, [text.encode()])[0] for t in tools]
+    monkeypatch.setattr(ta, "PART_CHARS", 57)
+    assert len(ta.parts(text)) > 1000
+    assert all(np.array_equal(w, ta.token_ids(t, [text.encode()])[0]) for w, t in zip(whole, tools))
+
+
+def test_pieces_never_join_a_word_and_the_next_space():
+    """What cutting long texts relies on."""
+    assert not [t for spec in (A, B) for t in ta.load(*spec).table if re.search(rb"[0-9A-Za-z] ", t)]
+
+
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    tools = [ta.load(*A), ta.load(*B)]
+    texts = [t.encode() for t in ("alpha beta alpha", "beta gamma", "a bb ccc dddd")]
+    want = ta.align_chunk(texts, *tools, {}, False)
+    monkeypatch.setattr(ta, "_mixed", lambda ids, place, side: np.zeros(len(ids), np.uint64))
+    got = ta.align_chunk(texts, *tools, {}, False)
+    assert all(list(got[c]) == list(want[c]) for c in want)
+
+
+def test_texts_that_are_not_utf8_have_no_tokens():
+    assert ta.token_ids(ta.load(*A), [b"\xff\xfe", b"ok"])[0] is None
+
+
+def test_hot_text_and_memo_limit(spark, plain_tokens, monkeypatch):
+    monkeypatch.setattr(ta, "MEMO", 2)
+    texts = [b"one two three"] * 50 + [b"four five"]
+    got = ta.align_chunk(texts, ta.load(*A), ta.load(*B), {}, False)
+    assert got["pair_times"].sum() == got["n_links"].sum()
