@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slicewarden.llm import arc_to_warc, boosted_quality, bpe_automaton, compression_bands
-from slicewarden.llm import decontaminate, external_shuffle, license_scan, merkle_manifest, secret_scan
-from slicewarden.llm import simhash_dedup, surrogates, token_alignment
+from slicewarden.llm import decontaminate, external_shuffle, lattice_dedup, license_scan, merkle_manifest
+from slicewarden.llm import secret_scan, simhash_dedup, surrogates, token_alignment
 from slicewarden.llm.common import read_table
 from slicewarden.session import ensure_checkpoint_dir
 
@@ -225,3 +225,8 @@ def op12(spark, sf_dir):
     found = token_alignment.align(docs, ("byte_bpe", tokenizer_path("byte_bpe_50k.json")),
                                   ("pieces", tokenizer_path("piece_bpe_32k.model")), digest=True)
     return found.withColumnRenamed("groups", "groups_sha256")
+
+
+@query("op11_lattice_dedup")
+def op11(spark, sf_dir):
+    return lattice_dedup.vector_links(read_table(spark, sf_dir, "embeddings"))
