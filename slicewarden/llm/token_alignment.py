@@ -4,8 +4,9 @@ Every whole text is tokenised by two tokenizers, A and B.  Byte offsets where
 tokens of both end cut the tokens into groups.  Shared ends before a
 space-marked token are anchors: they are verified on the byte offsets, never
 assumed, and split a document into windows.  What happens inside a window
-depends on its two tuples of ids alone, so a window's alignment is found once
-and kept by those tuples.
+depends on its two tuples of ids alone, so a chunk's windows are reduced to the
+distinct tuples, each of those is aligned once, and every occurrence takes its
+alignment from there.
 
 Corpus-wide link counts take three steps.  Tasks align chunks of documents of
 bounded size and write a row for each chunk: its documents, its distinct
@@ -39,9 +40,8 @@ from pyspark.sql import types as T
 
 from slicewarden.llm.common import stored, utf8
 
-CHUNK_BYTES = 16 << 20           # text of a chunk, one longer document apart
+CHUNK_BYTES = 2 << 20            # text of a chunk, one longer document apart
 PART_CHARS = 1 << 19             # text handed to a tokenizer at once
-MEMO = 200_000                   # windows whose alignment a task keeps
 CUT = re.compile(r"(?<=[0-9A-Za-z]) (?=[0-9A-Za-z])")
 
 
@@ -66,6 +66,42 @@ class Tool:
     def __post_init__(self):
         self.size = np.array([len(t) for t in self.table], np.int64)
         self.spaced = np.array([t[:1] == b" " for t in self.table])
+        self.flat = np.frombuffer(b"".join(self.table), np.uint8)
+        self.at = np.cumsum(self.size) - self.size
+        width = len(str(len(self.table)))
+        # Each id's decimal digits and a comma, filled up with zero bytes.
+        self.digits = np.array([b"%d," % k for k in range(len(self.table))], f"S{width + 1}").view(np.uint8).reshape(
+            len(self.table), width + 1)
+        self.comma = (self.digits > 0).sum(1) - 1
+
+
+# Fixed value: how byte-level vocabularies of this kind split texts.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Letters, digits and white space that every Unicode version knows alike.
+COMMON = re.compile("[\x00-\u024f\u2010-\u2027]*")
+
+
+def _ranked(path: str, table: list[bytes], special: set[int]):
+    """A faster encoder over the same vocabulary for texts of common letters,
+    if ids follow the order of the merges and texts are split by ``SPLIT``;
+    None if not."""
+    import json
+
+    from tiktoken import Encoding
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    split, merges = spec.get("pre_tokenizer") or {}, spec["model"].get("merges") or []
+    vocab = spec["model"]["vocab"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+    order = [vocab.get(x + y, -1) for x, y in pairs]
+    ranks = {t: k for k, t in enumerate(table) if k not in special}
+    if (spec.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space")
+            or not split.get("use_regex", True) or order != sorted(set(order)) or order[:1] == [-1]
+            or any(bytes([x]) not in ranks for x in range(256))
+            or len(ranks) != len(order) + 256 or ranks.keys() & {b""}):
+        return None
+    return Encoding("ranked", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
 def _byte_bpe(path: str) -> Tool:
@@ -79,8 +115,16 @@ def _byte_bpe(path: str) -> Tool:
     for entry, k in tok.get_vocab().items():
         known = all(c in letters for c in entry)
         table[k] = bytes(letters[c] for c in entry) if known else entry.encode()
-    return Tool(lambda texts: [e.ids for e in tok.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)],
-                table)
+    fast = _ranked(path, table, set(tok.get_added_tokens_decoder()))
+
+    def encode(texts: list[str]) -> list:
+        out = [fast.encode_to_numpy(" " + t, disallowed_special=()) if fast and (t.isascii() or COMMON.fullmatch(t)) else None for t in texts]
+        rest = [k for k, ids in enumerate(out) if ids is None]
+        for k, e in zip(rest, tok.encode_batch_fast([" " + texts[k] for k in rest], add_special_tokens=False)):
+            out[k] = e.ids
+        return out
+
+    return Tool(encode, table)
 
 
 def _pieces(path: str) -> Tool:
@@ -110,67 +154,112 @@ def parts(text: str) -> list[str]:
     return [*out, text[at:]]
 
 
-def token_ids(tool: Tool, texts: list[bytes]) -> list[np.ndarray | None]:
-    """Ids of each UTF-8 text after a space; None where it has no tokens."""
-    cut = []
-    for data in texts:
-        try:
-            cut.append(parts(data.decode()) if data else [])
-        except UnicodeDecodeError:
-            cut.append([])
-    out: list[list[int]] = [[] for _ in texts]
+def token_ids(tool: Tool, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the UTF-8 texts, each after a space, and their number in each
+    text; none where a text is empty or not UTF-8."""
+    found, count = [], np.zeros(len(texts), np.int64)
     wait, size = [], 0
 
     def flush():
         for k, ids in zip([k for k, _ in wait], tool.encode([p for _, p in wait]) if wait else []):
-            out[k].extend(ids)
+            found.append(np.asarray(ids, np.int32))
+            count[k] += len(ids)
         wait.clear()
 
-    for k, pieces in enumerate(cut):
-        for p in pieces:
+    for k, data in enumerate(texts):
+        try:
+            text = data.decode()
+        except UnicodeDecodeError:
+            continue
+        for p in parts(text) if text else []:
             wait.append((k, p))
             size += len(p)
             if size >= PART_CHARS:
                 flush()
                 size = 0
     flush()
-    table = tool.table
-    return [np.array(ids, np.int64) if ids and b"".join([table[i] for i in ids]) == b" " + data else None
-            for ids, data in zip(out, texts)]
+    return np.concatenate([np.zeros(0, np.int32), *found]), count
+
+
+def _sums(values: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Sums of consecutive stretches of ``count`` values."""
+    upto, end = np.concatenate([[0], np.cumsum(values, dtype=np.int64)]), np.cumsum(count)
+    return upto[end] - upto[end - count]
+
+
+def _ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length, end to end."""
+    return np.arange(length.sum()) + np.repeat(start - (np.cumsum(length) - length), length)
+
+
+def verified(texts: list[bytes], tools) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Which texts both tokenizers give back byte by byte, a space before
+    them, and their ids and numbers of ids in A and in B."""
+    ids, count = (list(x) for x in zip(*[token_ids(t, texts) for t in tools]))
+    size = np.array([len(t) + 1 for t in texts], np.int64)
+    live = np.logical_and.reduce([(n > 0) & (_sums(t.size[i], n) == size) for t, i, n in zip(tools, ids, count)])
+    for s in (0, 1):
+        ids[s], count[s] = ids[s][np.repeat(live, count[s])], count[s][live]
+    want = np.frombuffer(b" ".join([b"", *[t for t, ok in zip(texts, live) if ok]]), np.uint8)
+    same = np.ones(int(live.sum()), bool)
+    for t, i in zip(tools, ids):
+        same &= _sums(t.flat[_ragged(t.at[i], t.size[i])] != want, size[live]) == 0
+    for s in (0, 1):
+        ids[s], count[s] = ids[s][np.repeat(same, count[s])], count[s][same]
+    live[live] = same
+    return live, ids, count
 
 
 # -- alignment -----------------------------------------------------------------
 
-def align_ids(a: list[int], b: list[int], size_a, size_b) -> tuple[bytes, np.ndarray]:
-    """Groups (text) and links (A id << 32 | B id) of two token sequences over
-    the same bytes."""
-    groups, links, i, j, from_a, from_b = [], [], 0, 0, 0, 0
-    end_a, end_b = size_a[a[0]], size_b[b[0]]
-    while True:
-        links.append(a[i] << 32 | b[j])
-        if end_a == end_b:
-            groups.append(f"{','.join(map(str, a[from_a:i + 1]))}|{','.join(map(str, b[from_b:j + 1]))}")
-            i, j = i + 1, j + 1
-            if i == len(a):
-                return ";".join(groups).encode(), np.array(links, np.int64)
-            from_a, from_b = i, j
-            end_a, end_b = end_a + size_a[a[i]], end_b + size_b[b[j]]
-        elif end_a < end_b:
-            i += 1
-            end_a += size_a[a[i]]
-        else:
-            j += 1
-            end_b += size_b[b[j]]
-
-
-def anchors(a: np.ndarray, b: np.ndarray, tool_a: Tool, tool_b: Tool) -> tuple[np.ndarray, np.ndarray, int]:
-    """Window ends (as token counts of A and B) and the number of groups."""
-    ends_a, ends_b = np.cumsum(tool_a.size[a]), np.cumsum(tool_b.size[b])
-    at = np.searchsorted(ends_b, ends_a)
-    i = np.flatnonzero(ends_b[at] == ends_a)          # verified: both end there
-    marked = tool_a.spaced[a[np.minimum(i + 1, len(a) - 1)]]
-    marked[-1] = True
-    return i[marked] + 1, at[i[marked]] + 1, len(i)
+def _marks(sides, tools) -> tuple[list[np.ndarray], np.ndarray]:
+    """Ends of the tokens of A and of B in bytes, and for each byte offset 1 if
+    a token of A ends there plus 2 if one of B does."""
+    ends = [np.cumsum(t.size[i]) for t, i in zip(tools, sides)]
+    mark = np.zeros(int(ends[0][-1]) + 1, np.uint8)
+    mark[ends[0]] = 1
+    mark[ends[1]] += 2
+    return ends, mark
+
+
+def align_windows(sides, tools) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Alignment of windows laid end to end, each over the same bytes in A and
+    B: the text of each window's groups, each closed by ``;``, its number of
+    links, and all links (A id << 32 | B id).  ``sides`` has the ids of A and of
+    B and the windows' ends in them."""
+    (a, stop_a), (b, stop_b) = sides
+    ends, mark = _marks((a, b), tools)
+    # Each stretch between two neighbouring ends lies in one token of A and one of B: a link.
+    at = np.flatnonzero(mark)
+    is_a, is_b = (mark[at] & 1).astype(np.int64), (mark[at] >> 1).astype(np.int64)
+    of_a, of_b = np.cumsum(is_a) - is_a, np.cumsum(is_b) - is_b
+    links = a[of_a].astype(np.int64) << 32 | b[of_b]
+    n_links = np.diff(np.flatnonzero(is_a)[stop_a - 1], prepend=-1)
+    # Groups end where both do; A's ids of a group come before B's.
+    closes = (is_a & is_b) > 0
+    last_a, last_b = of_a[closes], of_b[closes]
+    n_a, n_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+    place_a = np.arange(len(a)) + np.repeat(np.cumsum(n_b) - n_b, n_a)
+    place_b = np.arange(len(b)) + np.repeat(np.cumsum(n_a), n_b)
+    width = max(t.digits.shape[1] for t in tools)
+    letters = np.zeros((len(a) + len(b), width), np.uint8)
+    for ids, place, last, tool, close in ((a, place_a, last_a, tools[0], b"|"), (b, place_b, last_b, tools[1], b";")):
+        letters[place, :tool.digits.shape[1]] = tool.digits[ids]
+        letters[place[last], tool.comma[ids[last]]] = close[0]
+    used = letters > 0
+    whole, cut = letters[used].tobytes(), np.cumsum(used.sum(1))[stop_a + stop_b - 1].tolist()
+    return [whole[lo:hi] for lo, hi in zip([0, *cut], cut)], n_links, links
+
+
+def anchors(sides, tools) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Window ends, as token counts of A and of B, and the tokens of A that
+    close a group.  Texts lie end to end; each begins with a space, so an anchor
+    ends each."""
+    ends, mark = _marks(sides, tools)
+    shared = np.flatnonzero(mark[ends[0]] == 3)                       # verified: a token of B ends there too
+    spaced = np.append(tools[0].spaced[sides[0][1:]], True)[shared]   # the next token is marked by a space
+    of_b = np.cumsum(mark >> 1, dtype=np.int64)[ends[0][shared[spaced]]]
+    return shared[spaced] + 1, of_b, shared
 
 
 def _mixed(ids: np.ndarray, place: np.ndarray, side: int) -> np.ndarray:
@@ -184,15 +273,11 @@ def distinct_windows(sides) -> tuple[np.ndarray, np.ndarray]:
     """Number of each window among the distinct ones, and a window with each
     number.  ``sides``: ids, window starts and window lengths of A and of B.
     Windows meet by a hash; each is then compared with the one it was taken for."""
-    import pandas as pd
-
     n = len(sides[0][1])
     total = np.zeros(n, np.uint64)
     for k, (ids, start, length) in enumerate(sides):
         total += np.add.reduceat(_mixed(ids, np.arange(len(ids)) - np.repeat(start, length), k + 1), start)
-    codes, _ = pd.factorize(total)
-    first = np.zeros(codes.max() + 1, np.int64)
-    first[codes[::-1]] = np.arange(n)[::-1]
+    _, first, codes = np.unique(total, return_index=True, return_inverse=True)
     for ids, start, length in sides:
         like = first[codes]
         if not (length == length[like]).all() or not (
@@ -207,51 +292,39 @@ def distinct_windows(sides) -> tuple[np.ndarray, np.ndarray]:
     return codes, first
 
 
-def align_chunk(texts: list[bytes], tool_a: Tool, tool_b: Tool, memo: dict, digest: bool) -> dict:
+def align_chunk(texts: list[bytes], tool_a: Tool, tool_b: Tool, digest: bool) -> dict:
     """Columns of a chunk's row for ``texts``."""
-    both = [(a, b) if a is not None and b is not None else None
-            for a, b in zip(token_ids(tool_a, texts), token_ids(tool_b, texts))]
-    n = len(texts)
+    tools, n = (tool_a, tool_b), len(texts)
     out = {c: np.zeros(n, np.int64) for c in ("n_a", "n_b", "n_groups", "n_links")}
     out |= {c: np.zeros(0, np.int64) for c in ("windows", "times", "window_links", "links", "pairs", "pair_times")}
     out |= {"doc_windows": np.zeros(n, np.int64), "groups": [""] * n}
-    live = [k for k in range(n) if both[k]]
-    if not live:
+    has, ids, count = verified(texts, tools)
+    live = np.flatnonzero(has)
+    if not len(live):
         return out
-    ends, at = ([], []), [0, 0]
-    for k in live:
-        *cut, out["n_groups"][k] = anchors(*both[k], tool_a, tool_b)
-        for s in (0, 1):
-            ends[s].append(cut[s] + at[s])
-            at[s] += len(both[k][s])
-        out["n_a"][k], out["n_b"][k] = map(len, both[k])
-        out["n_links"][k] = out["n_a"][k] + out["n_b"][k] - out["n_groups"][k]
-    sides = []
-    for s in (0, 1):
-        end = np.concatenate(ends[s])
-        start = np.concatenate([[0], end[:-1]])
-        sides.append((np.concatenate([both[k][s] for k in live]), start, end - start))
+    *stops, closes = anchors(ids, tools)
+    sides = [(i, np.concatenate([[0], stop[:-1]]), np.diff(stop, prepend=0)) for i, stop in zip(ids, stops)]
+    last = np.cumsum(count[0])
+    out["n_a"][live], out["n_b"][live] = count
+    out["n_groups"][live] = np.diff(np.searchsorted(closes, last), prepend=0)
+    out["n_links"][live] = out["n_a"][live] + out["n_b"][live] - out["n_groups"][live]
+    n_windows = np.diff(np.searchsorted(stops[0], last, side="right"), prepend=0)
     codes, first = distinct_windows(sides)
 
-    found = []
-    for w in first:
-        key = tuple(ids[start[w]:start[w] + length[w]].tobytes() for ids, start, length in sides)
-        if key not in memo:
-            if len(memo) >= MEMO:
-                memo.clear()
-            memo[key] = align_ids(*[np.frombuffer(k, np.int64).tolist() for k in key], tool_a.size, tool_b.size)
-        found.append(memo[key])
-    text = [t for t, _ in found]
-    of_doc = np.repeat(np.arange(len(live)), [len(e) for e in ends[0]])
-    for k, own in zip(live, np.split(codes, np.cumsum([len(e) for e in ends[0]])[:-1])):
-        joined = b";".join([text[c] for c in own])
+    # The distinct windows, end to end.
+    laid = [(i[_ragged(start[first], length[first])], np.cumsum(length[first])) for i, start, length in sides]
+    text, out["window_links"], links = align_windows(laid, tools)
+    numbers, at = codes.tolist(), 0
+    for k, m in zip(live.tolist(), n_windows.tolist()):
+        joined = b"".join([text[c] for c in numbers[at:at + m]])[:-1]
         out["groups"][k] = hashlib.sha256(joined).hexdigest() if digest else joined.decode()
+        at += m
+    of_doc = np.repeat(np.arange(len(live)), n_windows)
     # Which windows a document holds, and how often.
     held, out["times"] = np.unique(of_doc * len(first) + codes, return_counts=True)
     out["windows"] = held % len(first)
     out["doc_windows"][live] = np.bincount(held // len(first), minlength=len(live))
-    out["window_links"] = np.array([len(p) for _, p in found])
-    links, times = np.concatenate([p for _, p in found]), np.bincount(codes, minlength=len(first))
+    times = np.bincount(codes, minlength=len(first))
     out["pairs"], out["links"] = np.unique(links, return_inverse=True)
     out["pair_times"] = np.zeros(len(out["pairs"]), np.int64)
     np.add.at(out["pair_times"], out["links"], np.repeat(times, out["window_links"]))
@@ -273,11 +346,11 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, a: tuple[str, str], b: t
     ddl = "chunk long, " + ", ".join(f"{c} array<{kind or id_type}>" for c, kind in CHUNK.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tools, memo = (load(*a), load(*b)), {}
+        tools = load(*a), load(*b)
         ids, texts, size, number = [], [], 0, TaskContext.get().partitionId() << 32
 
         def row(id_kind):
-            cols = align_chunk(texts, *tools, memo, digest) | {"ids": ids}
+            cols = align_chunk(texts, *tools, digest) | {"ids": ids}
             arrays = [pa.array([number], pa.int64())]
             for c, kind in CHUNK.items():
                 values = pa.array(cols[c], KINDS.get(kind, id_kind))

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -116,18 +117,33 @@ def test_pieces_never_join_a_word_and_the_next_space():
 def test_windows_of_one_hash_are_told_apart(monkeypatch):
     tools = [ta.load(*A), ta.load(*B)]
     texts = [t.encode() for t in ("alpha beta alpha", "beta gamma", "a bb ccc dddd")]
-    want = ta.align_chunk(texts, *tools, {}, False)
+    want = ta.align_chunk(texts, *tools, False)
     monkeypatch.setattr(ta, "_mixed", lambda ids, place, side: np.zeros(len(ids), np.uint64))
-    got = ta.align_chunk(texts, *tools, {}, False)
-    assert all(list(got[c]) == list(want[c]) for c in want)
+    got = ta.align_chunk(texts, *tools, False)
+    assert all(list(got[c]) == list(want[c]) for c in ("groups", "n_groups", "n_links", "doc_windows", "pairs", "pair_times"))
+    assert sorted(got["window_links"]) == sorted(want["window_links"])
 
 
 def test_texts_that_are_not_utf8_have_no_tokens():
-    assert ta.token_ids(ta.load(*A), [b"\xff\xfe", b"ok"])[0] is None
+    has, _, count = ta.verified([b"\xff\xfe", b"ok", b"", "▁".encode()], (ta.load(*A), ta.load(*B)))
+    assert has.tolist() == [False, True, False, False] and len(count[0]) == 1
 
 
-def test_hot_text_and_memo_limit(spark, plain_tokens, monkeypatch):
-    monkeypatch.setattr(ta, "MEMO", 2)
+def test_repeated_windows_count_every_occurrence():
     texts = [b"one two three"] * 50 + [b"four five"]
-    got = ta.align_chunk(texts, ta.load(*A), ta.load(*B), {}, False)
-    assert got["pair_times"].sum() == got["n_links"].sum()
+    got = ta.align_chunk(texts, ta.load(*A), ta.load(*B), False)
+    assert got["pair_times"].sum() == got["n_links"].sum() and len(got["window_links"]) == 5
+
+
+def test_the_faster_encoder_gives_the_same_ids():
+    from tokenizers import Tokenizer
+
+    tool, tok = ta.load(*A), Tokenizer.from_file(A[1])
+    tok.encode_special_tokens = True
+    rnd = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzABC   \t\n\r\x0b\x0c\x1c\x85\xa0'.,;-0123456789éüñßÀ£ªº¼²¹\u2019\u2013\u201c\u01c5\u0140"
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randrange(200))) for _ in range(3000)]
+    texts += ["a" * 500, "'s't're've'm'll'd 'S 'LL", " \n \n  x", "<|endoftext|>", "東京 é ﬁ \U0001f468\u200d\U0001f469"]
+    want = [e.ids for e in tok.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    assert [np.asarray(x).tolist() for x in tool.encode(texts)] == want
+    assert ta._ranked(A[1], tool.table, {50256}) is not None
