@@ -6,7 +6,7 @@ is_current, hash_diff.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,6 +172,111 @@ def build_history(snapshots: DataFrame) -> DataFrame:
     )
 
 
+# -- versions that know the days they were observed on ------------------------------
+#
+# A version says from when to when a value held, not on which days it was seen:
+# from 3 to 5 may mean seen on 3, 4 and 5, or on 3 alone.  A late day needs to
+# know, so stored versions carry ``seen``: runs of calendar days, in order.
+SEEN = T.StructField("seen", T.ArrayType(T.StructType([T.StructField("lo", T.DateType()),
+                                                       T.StructField("hi", T.DateType())])))
+SEEN_SCHEMA = T.StructType(DIM_SCHEMA.fields + [SEEN])
+SEEN_COLUMNS = [f.name for f in SEEN_SCHEMA.fields]
+
+
+def _run(lo, hi):
+    return F.struct(F.to_date(lo).alias("lo"), F.to_date(hi).alias("hi"))
+
+
+def seen_on(day: Column) -> Column:
+    """Whether a version was observed on ``day``."""
+    return F.exists("seen", lambda r: (r["lo"] <= day) & (r["hi"] >= day))
+
+
+def fold_day(current: DataFrame, snapshot: DataFrame, process_date: str) -> DataFrame:
+    """:func:`merge_day` over current rows with ``seen``, for a day after all
+    days folded before: a key that arrives with the hash it has is observed
+    once more."""
+    d = F.to_date(F.lit(process_date))
+    j = current.alias("t").join(snapshot.alias("s"), F.col("t.customer_id") == F.col("s.customer_id"), "full_outer")
+    has_t, has_s = F.col("t.customer_id").isNotNull(), F.col("s.customer_id").isNotNull()
+    changed = has_t & has_s & (F.col("t.hash_diff") != F.col("s.hash_diff"))
+    last = F.element_at("t.seen", -1)
+    longer = F.when(last["hi"] == F.date_sub(d, 1), F.concat(
+        F.slice("t.seen", F.lit(1), F.size("t.seen") - 1), F.array(_run(last["lo"], d)))).otherwise(
+        F.concat("t.seen", F.array(_run(d, d))))
+    kept = F.when(has_t, F.struct(
+        *[F.col(f"t.{c}").alias(c) for c in DIM_COLUMNS[:5]],
+        F.when(changed, F.date_sub(d, 1)).otherwise(F.col("t.eff_to")).alias("eff_to"),
+        (~changed).alias("is_current"), F.col("t.hash_diff").alias("hash_diff"),
+        F.when(has_s & ~changed, longer).otherwise(F.col("t.seen")).alias("seen")))
+    opened = F.when(has_s & (~has_t | changed), F.struct(
+        *[F.col(f"s.{c}").alias(c) for c in DIM_COLUMNS[:4]], d.alias("eff_from"),
+        F.to_date(F.lit(OPEN_END_DATE)).alias("eff_to"), F.lit(True).alias("is_current"),
+        F.col("s.hash_diff").alias("hash_diff"), F.array(_run(d, d)).alias("seen")))
+    return (j.select(F.explode(F.array(kept, opened)).alias("__v")).where(F.col("__v").isNotNull()).select("__v.*"))
+
+
+def chain(runs: DataFrame) -> DataFrame:
+    """Versions (with ``seen``) from observation runs (customer_id, region,
+    hash_diff, lo, hi) that do not overlap within a key.
+
+    Neighbouring runs of equal hash are one version; it holds until the day
+    before the next one starts, the last one for ever.  A key's window holds at
+    most a run for each day.
+    """
+    w = Window.partitionBy("customer_id").orderBy("lo")
+    before = F.lag("hash_diff").over(w)
+    first = before.isNull() | (before != F.col("hash_diff"))
+    gap = first | (F.date_add(F.lag("hi").over(w), 1) != F.col("lo"))
+    marked = runs.select("*", first.alias("__first"), gap.alias("__gap"))
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = marked.select("*", F.sum(F.col("__first").cast("int")).over(so_far).alias("__version"),
+                             F.sum(F.col("__gap").cast("int")).over(so_far).alias("__island"))
+    # Clustered by the key already: neither step shuffles again.
+    islands = numbered.groupBy("customer_id", "__version", "__island").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("region").alias("region"),
+        F.min("hash_diff").alias("hash_diff"))
+    found = islands.groupBy("customer_id", "__version").agg(
+        F.min("lo").alias("eff_from"), F.min("region").alias("region"), F.min("hash_diff").alias("hash_diff"),
+        F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("seen"))
+    nxt = F.lead("eff_from").over(Window.partitionBy("customer_id").orderBy("eff_from"))
+    none = F.lit(None).cast("string")
+    return found.select(
+        "customer_id", none.alias("name"), none.alias("email"), "region", "eff_from",
+        F.coalesce(F.date_sub(nxt, 1), F.to_date(F.lit(OPEN_END_DATE))).alias("eff_to"),
+        nxt.isNull().alias("is_current"), "hash_diff", "seen")
+
+
+def splice_day(versions: DataFrame, snapshot: DataFrame, process_date: str) -> DataFrame:
+    """Put a past day's snapshot into the version chains it falls in.
+
+    ``versions`` holds, of every key that the snapshot has or that was observed
+    on that day, the versions from the one before the day's to the current one
+    (with ``seen``).  What was observed on the day before is forgotten; the
+    snapshot's observation splits the version it falls in, joins a neighbour of
+    equal hash, or stands alone.  Returns the chains as they are now; keys that
+    are left without any observation have none.
+    """
+    d = F.to_date(F.lit(process_date))
+    kept = (versions.select("customer_id", "region", "hash_diff", F.explode("seen").alias("r"))
+            .select("customer_id", "region", "hash_diff", F.explode(F.array(
+                F.struct(F.col("r.lo").alias("lo"), F.least("r.hi", F.date_sub(d, 1)).alias("hi")),
+                F.struct(F.greatest("r.lo", F.date_add(d, 1)).alias("lo"), F.col("r.hi").alias("hi")))).alias("r"))
+            .where("r.lo <= r.hi").select("customer_id", "region", "hash_diff", "r.lo", "r.hi"))
+    new = snapshot.select("customer_id", "region", "hash_diff", d.alias("lo"), d.alias("hi"))
+    return chain(kept.unionByName(new))
+
+
+def chain_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Versions that differ between two states of the same chains: rows with
+    ``old`` and ``new`` structs, one of them null for a version that came or went."""
+    o = old.select(F.struct(*SEEN_COLUMNS).alias("old"))
+    n = new.select(F.struct(*SEEN_COLUMNS).alias("new"))
+    both = o.join(n, (F.col("old.customer_id") == F.col("new.customer_id"))
+                  & (F.col("old.eff_from") == F.col("new.eff_from")), "full_outer")
+    return both.where(~F.col("old").eqNullSafe(F.col("new")))
+
+
 def closed_versions(dim: DataFrame, snapshot: DataFrame, process_date: str) -> DataFrame:
     """SCD2-2 alone: current rows whose key arrives with another hash, closed
     (eff_to = day - 1, is_current = false).  An EXISTS with a residual:

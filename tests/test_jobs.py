@@ -79,11 +79,9 @@ def test_fold_equals_rebuild(spark, tmpdir_path):
     a = sorted(map(repr, jobs.read_dimension(spark, dim).collect()))
     b = sorted(map(repr, jobs.read_dimension(spark, full).collect()))
     assert a == b and len(a) > 50
-    cur = spark.read.parquet(os.path.join(dim, "current"))
+    cur = jobs.read_dimension(spark, dim).where("is_current")
     assert cur.count() == cur.select("customer_id").distinct().count() == 50
-    import pytest
-    with pytest.raises(ValueError):
-        jobs.fold_dimension_day(spark, root, dim, "2024-01-02")
+    assert jobs.folded_days(spark, dim) == jobs.folded_days(spark, full) == ["2024-01-01", "2024-01-02", "2024-01-03"]
 
 
 def test_plan_backfill_writes_ops_tables(spark, tmpdir_path):
