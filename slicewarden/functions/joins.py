@@ -21,7 +21,7 @@ def hottest(counts: DataFrame, n_col: str, hot_rows: int) -> DataFrame:
 def row_hash(df: DataFrame) -> Column:
     """Hash of a row's columns, apart from maps, which have none.  Unlike a
     random number it is the same when a lost task runs again."""
-    plain = [F.col(c) for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+    plain = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t and "variant" not in t]
     return F.xxhash64(F.lit(7), *plain)
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slicewarden.functions.joins import HOT_ROWS, hottest, row_hash
+from slicewarden.functions.names import quoted
 from slicewarden.session import materialize
 
 
@@ -39,9 +40,10 @@ def keep_first(df: DataFrame, keys: list[str], order: list, row_cols: list[str]
     """
     row_cols = row_cols or [c for c in df.columns if c not in keys]
     order_struct = [c.alias(f"__o{i}") for i, c in enumerate(_cols(order))]
-    packed = F.struct(*order_struct, F.struct(*[F.col(c) for c in row_cols]).alias("__row"))
-    best = df.groupBy(*keys).agg(F.min(packed).alias("__best"))
-    return best.select(*keys, *[F.col("__best.__row")[c].alias(c) for c in row_cols]).select(*df.columns)
+    packed = F.struct(*order_struct, F.struct(*[F.col(q).alias(f"c{i}") for i, q in enumerate(quoted(row_cols))]).alias("__row"))
+    best = df.groupBy(*quoted(keys)).agg(F.min(packed).alias("__best"))
+    row = [F.col("__best.__row")[f"c{i}"].alias(c) for i, c in enumerate(row_cols)]
+    return best.select(*quoted(keys), *row).select(*quoted(df.columns))
 
 
 def key_counts(df: DataFrame, keys: list, name: str = "__copies") -> DataFrame:
@@ -76,9 +78,9 @@ def flag_duplicates(df: DataFrame, keys: list[str], scope: list[str] | None = No
                                                           F.lit(True).alias("__rep"))
     salt = F.when(F.col("__hot"), 1 + F.pmod(row_hash(df), F.lit(1 << 20)).cast("int")).otherwise(F.lit(0))
     tagged = df.join(F.broadcast(hot), on=on(df, "__h"), how="left").select(
-        *[df[c] for c in df.columns], "__hot", salt.alias("__salt"))
+        *[df[c] for c in quoted(df.columns)], "__hot", salt.alias("__salt"))
     joined = tagged.join(repeated, on=[*on(tagged, "__k"), F.col("__salt") == F.col("__part")], how="left")
-    return joined.select(*[tagged[c] for c in df.columns],
+    return joined.select(*[tagged[c] for c in quoted(df.columns)],
                          F.coalesce(F.col("__hot"), F.col("__rep"), F.lit(False)).alias(name))
 
 
@@ -132,4 +134,4 @@ def global_positions(df: DataFrame, order: list, name: str = "position", start:
     )
     out = ordered.join(F.broadcast(offsets), "__pid", "left")
     pos = F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local") + F.lit(start)
-    return out.select(*df.columns, pos.cast("long").alias(name))
+    return out.select(*quoted(df.columns), pos.cast("long").alias(name))

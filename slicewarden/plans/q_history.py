@@ -129,14 +129,17 @@ def scd2_insert_new(spark, sf_dir):
     return scd2.new_versions(dim, snap, last)
 
 
-@register("scd2_history", f"""
+_HISTORY_SQL = f"""
 WITH {SNAP_SQL.strip()},
 m AS (SELECT *, LAG(hash_diff) OVER (PARTITION BY customer_id ORDER BY day) AS prev FROM h),
 s AS (SELECT * FROM m WHERE prev IS NULL OR prev <> hash_diff)
 SELECT customer_id, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS email, region, day AS eff_from,
        COALESCE(LEAD(day) OVER w - 1, DATE '9999-12-31') AS eff_to, LEAD(day) OVER w IS NULL AS is_current,
        hash_diff
-FROM s WINDOW w AS (PARTITION BY customer_id ORDER BY day)""")
+FROM s WINDOW w AS (PARTITION BY customer_id ORDER BY day)"""
+
+
+@register("scd2_history", _HISTORY_SQL)
 def scd2_history(spark, sf_dir):
     """SCD2-5: the whole history from all daily snapshots in one pass."""
     return scd2.build_history(_snapshots(spark, sf_dir))
@@ -150,6 +153,11 @@ def scd2_history_by_fold(spark, sf_dir):
     return scd2.fold_days(spark, snaps, _days(snaps))
 
 
+def _bronze(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("customer_id"), F.col("event_type").alias("region"), F.to_date("ts").alias("date"))
+
+
 @register("scd2_stored_dimension", _fold_sql(FOLD_DAYS))
 def scd2_stored_dimension(spark, sf_dir):
     """SCD2-4/SRC-1/SNK-13 as the stored daily job: events written as a
@@ -161,11 +169,37 @@ def scd2_stored_dimension(spark, sf_dir):
     from slicewarden.session import scratch_path
 
     base = scratch_path(spark, f"scd2-{uuid.uuid4().hex}")
-    ev = table(spark, sf_dir, "events")
     # The whole table is written; each day's fold reads its own partition.
-    bronze = ev.select(F.col("user_id").alias("customer_id"), F.col("event_type").alias("region"),
-                       F.to_date("ts").alias("date"))
-    bronze.write.mode("overwrite").partitionBy("date").parquet(f"{base}/bronze")
+    _bronze(spark, sf_dir).write.mode("overwrite").partitionBy("date").parquet(f"{base}/bronze")
     for d in FOLD_DAYS:
         jobs.fold_dimension_day(spark, f"{base}/bronze", f"{base}/dim", d)
     return jobs.read_dimension(spark, f"{base}/dim")
+
+
+# Days that arrive after later ones, and one first delivered wrong.
+LATE_DAYS, WRONG_DAY = ("2024-01-19", "2024-01-07"), "2024-01-12"
+
+
+@register("scd2_late_days", _HISTORY_SQL)
+def scd2_late_days(spark, sf_dir):
+    """SCD2-4 out of order: all days but two late ones make the stored
+    dimension, one of them with wrong values and under other keys as well; the
+    corrected day, the late days and the newest day again are then folded.  The
+    result is the history over all days in order."""
+    import uuid
+
+    from slicewarden.plans import jobs
+    from slicewarden.session import scratch_path
+
+    base = scratch_path(spark, f"late-{uuid.uuid4().hex}")
+    rows = _bronze(spark, sf_dir)
+    rows.write.mode("overwrite").partitionBy("date").parquet(f"{base}/bronze")
+    wrong = F.col("date") == F.lit(WRONG_DAY).cast("date")
+    first = rows.where(~F.col("date").isin(*[F.lit(d).cast("date") for d in LATE_DAYS])).withColumn(
+        "region", F.when(wrong, F.reverse("region")).otherwise(F.col("region")))
+    other_keys = first.where(wrong).withColumn("customer_id", -F.col("customer_id") - 1)
+    first.unionByName(other_keys).write.mode("overwrite").partitionBy("date").parquet(f"{base}/first")
+    jobs.rebuild_dimension(spark, f"{base}/first", f"{base}/dim")
+    for d in (WRONG_DAY, *LATE_DAYS, FOLD_DAYS[-1]):
+        jobs.fold_dimension_day(spark, f"{base}/bronze", f"{base}/dim", d)
+    return jobs.read_dimension(spark, f"{base}/dim")

@@ -221,6 +221,7 @@ def job_validate_day_summary(spark, sf_dir):
     base = scratch_path(spark, f"validate-{uuid.uuid4().hex}")
     orders = _orders(spark, sf_dir).select(*ORDER_COLS).withColumn("date", F.trunc("order_date", "year"))
     orders.write.mode("overwrite").partitionBy("date").parquet(f"{base}/orders")
-    jobs.validate_day(spark, f"{base}/orders", JOB_DATE, "basic", ready_root=f"{base}/ready",
-                      error_root=f"{base}/error", results_path=f"{base}/results", run_id="job")
-    return spark.read.parquet(f"{base}/results").drop("run_ts")
+    for _ in range(2):               # the rerun's row takes the place of the first one's
+        jobs.validate_day(spark, f"{base}/orders", JOB_DATE, "basic", ready_root=f"{base}/ready",
+                          error_root=f"{base}/error", results_path=f"{base}/results", run_id="job")
+    return jobs.run_summaries(spark, f"{base}/results").drop("run_ts")

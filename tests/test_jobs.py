@@ -36,7 +36,8 @@ def test_validate_day_partial_publish(spark, tmpdir_path):
                            results_path=res, run_id="r2")
     assert ok["summary"]["success"] is True and ok["counts"]["rows_bad"] == 0
     assert not files.exists(spark, os.path.join(err, "date=2024-01-01"))
-    assert spark.read.parquet(res).count() == 2
+    jobs.validate_day(spark, root, "2024-01-01", "cross", ready_root=ready, error_root=err, results_path=res, run_id="r2")
+    assert sorted(r.run_date for r in jobs.run_summaries(spark, res).collect()) == ["2024-01-01", "2024-01-02"]
     from slicewarden.sources.partitions import has_partition, read_table
     assert has_partition(read_table(spark, root), "2024-01-02")
     assert not has_partition(read_table(spark, root), "2024-01-05")
@@ -52,19 +53,47 @@ def test_csv_to_dedup_table(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "out")
     r = jobs.csv_to_dedup_table(spark, raw, out, rows_per_part=1)
     assert r["partition"] == "ingest_dt=2024-01-02"
-    good = spark.read.parquet(os.path.join(out, "parquet", "ingest_dt=2024-01-02"))
+    good = jobs.csv_output(spark, out, "parquet", "ingest_dt=2024-01-02")
     assert sorted(x.order_id for x in good.collect()) == ["1"]
-    assert spark.read.parquet(os.path.join(out, "orders_dedup")).count() == 1
-    q = spark.read.option("header", True).csv(os.path.join(out, "quarantine", "ingest_dt=2024-01-02"))
+    assert jobs.csv_output(spark, out, "orders_dedup").count() == 1
+    q = jobs.csv_output(spark, out, "quarantine", "ingest_dt=2024-01-02")
     assert q.count() == 6 and "_failed_rules" in q.columns
-    counts = spark.read.json(os.path.join(out, "reports", "rule_counts")).count()
-    assert counts == 3
-    suite = spark.read.parquet(os.path.join(out, "reports", "file_suite"))
+    assert jobs.csv_output(spark, out, "rule_counts").count() == 3
+    suite = jobs.csv_output(spark, out, "file_suite")
     c_views = suite.where("_file LIKE '%c.csv' AND `column` = 'views'").collect()
     assert [(r.expectation_type, r.success) for r in c_views] == [("expect_column_to_exist", False)]
     assert suite.where("_file LIKE '%a.csv' AND expectation_type LIKE '%unique'").first().unexpected_count == 2
 
 
+def test_reports_of_earlier_days_stay(spark, tmpdir_path):
+    """Two days with odd headers, one of them ingested twice."""
+    raw, out = os.path.join(tmpdir_path, "raw"), os.path.join(tmpdir_path, "out")
+    day1 = make_feed(raw)
+    with open(os.path.join(day1, "d.csv"), "w") as f:
+        f.write("order_id,amount,views,source,source,,a.b,source.1\n71,1,1,Apple,x,y,z,w\n72,-1,1,Apple,x,y,z,w\n")
+    jobs.csv_to_dedup_table(spark, raw, out)
+    day2 = os.path.join(raw, "ingest_dt=2024-01-03")
+    os.makedirs(day2)
+    with open(os.path.join(day2, "e.csv"), "w") as f:
+        f.write("order_id,amount,views,source\n81,1,1,Apple\n82,1,1,Nobody\n")
+    for _ in range(2):
+        got = jobs.csv_to_dedup_table(spark, raw, out)
+    assert got["partition"] == "ingest_dt=2024-01-03" and got["summary"][0]["rows_bad"] == 1
+    summary = {(os.path.basename(r._file), r.rows_total, r.rows_bad): r
+               for r in jobs.csv_output(spark, out, "file_summary").collect()}
+    assert sorted(summary) == [("a.csv", 3, 2), ("b.csv", 2, 2), ("c.csv", 2, 2), ("d.csv", 2, 1), ("e.csv", 2, 1)]
+    # The addresses lead to the day's own reports.
+    for name, reader in (("bad_sample_uri", spark.read.option("header", "true").csv),
+                         ("quarantine_uri", spark.read.option("header", "true").csv)):
+        assert reader(summary[("d.csv", 2, 1)][name]).where("_file like '%d.csv'").count() == 1
+        assert reader(summary[("e.csv", 2, 1)][name]).count() == 1
+    good = jobs.csv_output(spark, out, "parquet", "ingest_dt=2024-01-02").where("order_id = '71'").first().asDict()
+    assert {k: good[k] for k in ("source", "source.2", "Unnamed: 5", "a.b", "source.1")} == {
+        "source": "Apple", "source.2": "x", "Unnamed: 5": "y", "a.b": "z", "source.1": "w"}
+    assert sorted(r.order_id for r in jobs.csv_output(spark, out, "orders_dedup").collect()) == ["81"]
+    assert files.exists(spark, summary[("a.csv", 3, 2)]["rule_counts_uri"])
+
+
 def test_fold_equals_rebuild(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "bronze")
     for i, d in enumerate(["2024-01-01", "2024-01-02", "2024-01-03"]):
@@ -92,10 +121,31 @@ def test_plan_backfill_writes_ops_tables(spark, tmpdir_path):
     items = jobs.plan_backfill(spark, nodes, edges, ops_root=ops, inventory=inv, root="root.job",
                                run_date="2024-03-02", created_by="test").collect()
     assert [r.priority for r in items] == [100, 110, 120]
-    assert spark.read.parquet(os.path.join(ops, "backfill_plan_items")).count() == 3
-    assert spark.read.parquet(os.path.join(ops, "backfill_plan")).first().status == "PLANNED"
-    tm = spark.read.parquet(os.path.join(ops, "task_map")).collect()
-    assert {r.job_name for r in tm} == {"root.job", "etl.b"}
+    assert jobs.read_ops(spark, ops, "backfill_plan_items").count() == 3
+    assert jobs.read_ops(spark, ops, "backfill_plan").first().status == "PLANNED"
+    assert {r.job_name for r in jobs.read_ops(spark, ops, "task_map").collect()} == {"root.job", "etl.b"}
+
+
+def test_a_stopped_plan_leaves_nothing(spark, tmpdir_path, monkeypatch):
+    import pytest
+
+    ops = os.path.join(tmpdir_path, "ops")
+    nodes, edges = graph(spark)
+    inv = spark.createDataFrame([], "dataset string, kind string, partition_date date")
+
+    def plan():
+        return jobs.plan_backfill(spark, nodes, edges, ops_root=ops, inventory=inv, root="root.job",
+                                  run_date="2024-03-02", created_by="test").count()
+
+    real = files.create_new
+    monkeypatch.setattr(files, "create_new", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        plan()
+    assert all(jobs.read_ops(spark, ops, t).count() == 0 for t in jobs.OPS_TABLES)
+    monkeypatch.setattr(files, "create_new", real)
+    assert plan() == 3
+    counts = {t: jobs.read_ops(spark, ops, t).count() for t in jobs.OPS_TABLES}
+    assert counts == {"config_job_cadence": 0, "task_map": 2, "backfill_plan": 1, "backfill_plan_items": 3}
 
 
 def test_slices_overwrite_and_inventories(spark, tmpdir_path):
