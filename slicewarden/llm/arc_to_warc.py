@@ -11,8 +11,10 @@ once: the record with the smallest page id (then archive name and offset, ids
 that are null last) is the ``response``, the others are ``revisit`` records
 without payload that name it.
 
-Files are gzip text files; each holds at most ``records`` records, so a file
-fits in memory when read.  Defined cases: null or empty html is an empty
+Files are gzip text files, written at the codec's fastest level; each holds at
+most ``records`` records, as many as come to about ``FILE_BYTES`` at the mean
+payload size unless the caller says otherwise, so a file fits in memory when
+read.  Defined cases: null or empty html is an empty
 payload; a null url is written as ``-``; white space in a url is percent-coded;
 a null page id has no header and comes back null; an ARC date that is no date
 becomes 1970-01-01; a wrong declared length or header raises ``ValueError``.
@@ -32,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewarden.llm.common import bound_batches, shared_path, stored
+from slicewarden.llm.common import shared_path, stored
 
 # Fixed by the ARC file format: field names of the two URL-record versions.
 FIELDS = {
@@ -41,7 +43,9 @@ FIELDS = {
         "Filename", "Archive-length"),
 }
 MIN_REVISIT = 100
-RECORDS = 20_000
+FILE_BYTES = 128 << 20           # raw bytes of a file, about
+HEAD_BYTES = 600                 # of a record beside its payload
+FASTEST = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 ARC_SCHEMA = ("archive string, place long, url string, ip string, date string, mime string, status int, head binary, "
               "payload binary, digest string, size long, page_id long")
 WARC_SCHEMA = ("page_id long, record_id string, type string, url string, date string, payload_bytes long, "
@@ -70,6 +74,12 @@ def _spaceless(s: str | None) -> str:
     return s or "-"
 
 
+def records_for(rows: DataFrame, size) -> int:
+    """Records of a file of about ``FILE_BYTES``, from the mean payload size."""
+    mean = rows.agg(F.avg(size).alias("mean")).first()["mean"] or 0
+    return max(1, int(FILE_BYTES // (mean + HEAD_BYTES)))
+
+
 # -- writing ARC ---------------------------------------------------------------
 
 def version_block(name: str, version: int, date: str) -> bytes:
@@ -90,10 +100,10 @@ def arc_record(page_id, url, payload: bytes, name: str, version: int, date: str)
 
 
 def write_arc(pages: DataFrame, path: str, date: str = "20240101000000", versions: tuple[int, ...] = (1, 2),
-              records: int = RECORDS) -> None:
+              records: int | None = None) -> None:
     """Pages (page_id, url, html) as ARC files under ``path``; the tasks take
     turns in the format version.  Each file opens with its version block."""
-    bound_batches(pages.sparkSession)
+    records = records or records_for(pages, F.coalesce(F.octet_length("html"), F.lit(0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -115,7 +125,7 @@ def write_arc(pages: DataFrame, path: str, date: str = "20240101000000", version
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     (pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), html.alias("html"))
      .mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
-     .write.option("compression", "gzip").option("lineSep", "\n").option("maxRecordsPerFile", records + 1).text(path))
+     .write.options(**FASTEST).option("lineSep", "\n").option("maxRecordsPerFile", records + 1).text(path))
 
 
 # -- reading ARC ---------------------------------------------------------------
@@ -173,7 +183,6 @@ def _stream(content: bytes):
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    bound_batches(spark, 1)          # one file's bytes at a time
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
@@ -231,9 +240,11 @@ def warc_record(r: dict) -> bytes:
     return "\r\n".join(lines).encode("utf-8", "surrogateescape") + b"\r\n\r\n" + block
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, records: int = RECORDS) -> None:
+def convert(spark: SparkSession, arc_path: str, warc_path: str, records: int | None = None) -> None:
     """Write the ARC files under ``arc_path`` as WARC files to ``warc_path``."""
-    index = read_arc(spark, arc_path, payloads=False).where(F.col("size") >= MIN_REVISIT)
+    index = stored(read_arc(spark, arc_path, payloads=False).drop("head", "payload"), "index")
+    records = records or records_for(index, F.col("size"))
+    index = index.where(F.col("size") >= MIN_REVISIT)
     order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "archive", "place", "url", "date")
     firsts = stored(index.groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("n"))
                     .where("n > 1").select("digest", "first"), "firsts")
@@ -263,10 +274,9 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, records: int = R
 
         yield from _batches(out(), "value binary")
 
-    bound_batches(spark, 200)
     # The text writer ends every record with the separator, WARC's record end.
     (rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
-     .write.option("compression", "gzip").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records + 1)
+     .write.options(**FASTEST).option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records + 1)
      .text(warc_path))
 
 
@@ -320,7 +330,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
     return _files(spark, path).mapInArrow(run, WARC_SCHEMA)
 
 
-def archive_pages(pages: DataFrame, records: int = RECORDS) -> tuple[str, str]:
+def archive_pages(pages: DataFrame, records: int | None = None) -> tuple[str, str]:
     """Write pages as ARC files and convert those; returns both folders."""
     spark = pages.sparkSession
     arc, warc = shared_path(spark, "arc"), shared_path(spark, "warc")
