@@ -194,6 +194,55 @@ def pub_published_good_rows(spark, sf_dir):
     return publish.read_published(spark, final, strict=True).select(*ORDER_COLS)
 
 
+def _published_versions(spark, sf_dir):
+    """All good rows published to a store of versions, files by amount."""
+    import uuid
+
+    from slicewarden.session import scratch_path
+    from slicewarden.sources import published
+
+    root = scratch_path(spark, f"versions-{uuid.uuid4().hex}")
+    good = _split(spark, sf_dir).good.repartitionByRange(8, "order_amount")
+    out = published.publish(spark, good, root=root, run_date=RUN_DATE, run_id="query", success=True, files_per_shard=3)
+    if not out.published:
+        raise RuntimeError(f"publish did not happen: {out.action}")
+    return root, good.schema
+
+
+SCAN_FROM = 60_000.0
+
+
+@register("pub_manifest_scan", f"""
+WITH {S.ORDERS_LIKE.strip()}
+SELECT {S.ORDER_COLUMNS} FROM orders_like WHERE NOT {S.BAD_PREDICATE} AND order_amount >= {SCAN_FROM}""")
+def pub_manifest_scan(spark, sf_dir):
+    """SRC-7/SRC-8/FILE-1/FILE-2: good rows published in one commit and scanned
+    by the sharded manifest; files whose largest amount is too small stay shut."""
+    from slicewarden.sources import published
+
+    root, schema = _published_versions(spark, sf_dir)
+    return published.read(spark, root, schema, [("order_amount", ">=", SCAN_FROM)], files_per_task=1).select(*ORDER_COLS)
+
+
+@register("pub_manifest_status", f"""
+WITH {S.ORDERS_LIKE.strip()}
+SELECT COUNT(*) AS listed_rows, CAST(1 AS BIGINT) AS missing, CAST(1 AS BIGINT) AS size_mismatch,
+       CAST(1 AS BIGINT) AS modified FROM orders_like WHERE NOT {S.BAD_PREDICATE}""")
+def pub_manifest_status(spark, sf_dir):
+    """FILE-3/JOIN-9 with files gone and changed after the publish: one deleted,
+    one cut to another size, one written again at the same size."""
+    from slicewarden.sources import files, published
+
+    root, _ = _published_versions(spark, sf_dir)
+    gone, cut, again = [r["uri"] for r in published.manifest_table(spark, root).orderBy("uri").limit(3).collect()]
+    files.delete(spark, gone)
+    files.write_text(spark, cut, "cut")
+    files.touch(spark, again, 1_000_000_000_000)
+    found = published.check(spark, root)
+    return found.agg(F.sum("rows").alias("listed_rows"), *[
+        F.count_if(F.col("status") == s).alias(s) for s in ("missing", "size_mismatch", "modified")])
+
+
 JOB_DATE = "1996-01-01"
 
 

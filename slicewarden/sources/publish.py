@@ -81,7 +81,7 @@ def publish_partition(spark: SparkSession, good: DataFrame, *, final_prefix: str
     """SNK-9/SNK-10/GATE-4/FILE-1: stage, decide, publish or mark failed.
 
     ``dry_run`` writes nothing and returns the file plan.  A run that may not
-    publish stages nothing.  ``_SUCCESS`` is written only when the manifest
+    publish, or finds the partition published, stages nothing.  ``_SUCCESS`` is written only when the manifest
     lists exactly the staged files with their sizes.
     """
     final = final_prefix.rstrip("/") + "/"
@@ -93,6 +93,9 @@ def publish_partition(spark: SparkSession, good: DataFrame, *, final_prefix: str
                 {"op": "write", "to": _join(final, SUCCESS_MARKER)}]
         return PublishOutcome(run_date, False, False, "dry_run", 0, staging, final, None, plan)
 
+    if (success or (export_good_on_failure and min_files <= 0)) and not allow_republish and files.exists(
+            spark, _join(final, SUCCESS_MARKER)):
+        return PublishOutcome(run_date, True, False, "skip_already_published", 0, staging, final)
     if success or export_good_on_failure:
         writer = good.write.mode("overwrite")
         if max_records_per_file:
@@ -111,9 +114,7 @@ def publish_partition(spark: SparkSession, good: DataFrame, *, final_prefix: str
     # Readers must not trust the partition while it changes.
     files.delete(spark, _join(final, SUCCESS_MARKER), recursive=False)
     files.delete_children(spark, final, PART_PREFIX)
-    for p in staged:
-        name = p.rsplit("/", 1)[-1]
-        files.rename(spark, p, _join(final, name))
+    files.rename_all(spark, [(p, _join(final, p.rsplit("/", 1)[-1])) for p in staged])
     run_meta = {"run_date": run_date, "run_id": run_id, "mode": mode, "source_staging": staging,
                 "published_at": _now(), "validation_success": bool(success), "partial_publish": not success,
                 "staged_file_count": len(staged)}

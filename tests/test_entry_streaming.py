@@ -68,3 +68,18 @@ def test_landing_stream_incremental(spark, tmpdir_path):
     runs = spark.read.parquet(os.path.join(out, "runs")).collect()
     assert sorted((str(r.date), r.rows_good, r.rows_bad) for r in runs) == [
         ("2024-01-01", 100, 0), ("2024-01-02", 0, 40)]
+
+
+def test_queries_without_the_training_data_operators(monkeypatch):
+    """A library that those operators need is missing: the others stay."""
+    import sys
+
+    import __spark_entry__ as entry
+
+    everything = set(entry.queries())
+    for gone in ("slicewarden.llm.queries", "corpus_pipeline"):
+        monkeypatch.delitem(sys.modules, gone, raising=False)
+        monkeypatch.setitem(sys.modules, gone, None)
+    left = set(entry.queries())
+    assert left == {q for q in everything if not q.startswith("op") and q != "pipeline"} and len(left) > 60
+    assert set(entry.oracle_sql()) <= left

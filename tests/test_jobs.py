@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from slicewarden.plans import jobs
-from slicewarden.sources import files, publish
+from slicewarden.sources import files, publish, published
 from slicewarden.sources.generate import generate_orders
 
 from test_csv_source import make_feed
@@ -41,6 +41,13 @@ def test_validate_day_partial_publish(spark, tmpdir_path):
     from slicewarden.sources.partitions import has_partition, read_table
     assert has_partition(read_table(spark, root), "2024-01-02")
     assert not has_partition(read_table(spark, root), "2024-01-05")
+    versioned = os.path.join(tmpdir_path, "versioned")
+    for action in ("publish", "skip_already_published"):
+        out = jobs.validate_day(spark, root, "2024-01-02", "basic", ready_root=versioned, error_root=err,
+                                results_path=res, run_id="r3", layout="versions")
+        assert out["publish"].action == action
+    schema = read_table(spark, root).drop("date").schema
+    assert published.read(spark, versioned, schema, dates=["2024-01-02"]).count() == 180
     whole = jobs.validate_day(spark, root, "2024-01-01", "basic", ready_root=ready, error_root=err,
                               results_path=res, scope="table", dry_run=True)
     assert whole["summary"]["slice_row_count"] == 200 and whole["publish"].action == "dry_run"
