@@ -3,22 +3,27 @@
 Every hint word opens a stretch of words for each template, as far to both
 sides as a notice of that template can reach, whatever the lines are.  The
 stretch is compressed with zstandard alone and with the template as raw
-dictionary.  Every template is compared word by word, and confirmed where the
-stretch holds its wording with few words changed and the words that tell
-licenses apart unchanged.  The bytes saved rank the confirmed ones: of notices
-that overlap the one that saves the most counts.  They rule nothing out, as the
-shortest notices may save no byte.
+dictionary.  The bytes saved decide: templates that save none are out, the
+others are ranked by what they save, and in that order compared with the
+stretch word by word.  A template is confirmed where its wording is there with
+few words changed and the words that tell licenses apart unchanged; the words
+it covers are taken, and what is left of the stretch is compressed and ranked
+again.  So of notices that overlap the one that saves the most counts.
+
+Templates are a parameter: short notices and whole license bodies alike.
 
 Defined cases: null and empty texts have no block; a block (hints widened by the
 longest reach, merged where they overlap) that no template explains is counted
 but names no license; equal savings rank by template order; spans count code
-points, the end exclusive.
+points, the end exclusive; columns named like a result are replaced; repeated
+rows each get a row; very long texts cost a stretch for each run of hints.
 """
 
 from __future__ import annotations
 
 import bisect
 import functools
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +41,16 @@ TEMPLATES = (
             "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
             "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
             "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+            "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+            "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+            "The above copyright notice and this permission notice shall be included in all copies or substantial portions "
+            "of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, "
+            "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+            "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+            "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+            "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
                    "compliance with the License. You may obtain a copy of the License at "
@@ -75,13 +90,16 @@ def _plain(text: str) -> bytes:
     return " ".join(text.lower().split()).encode()
 
 
-@functools.lru_cache(maxsize=1)
-def _wanted() -> tuple[dict[str, int], list[tuple[list[int], list[int], int]]]:
+Templates = tuple[tuple[str, str], ...]
+
+
+@functools.lru_cache(maxsize=4)
+def _wanted(templates: Templates) -> tuple[dict[str, int], list[tuple[list[int], list[int], int]]]:
     """Word numbers, and per template its words, the cost of lacking each, and
     how many words a notice can hold."""
     numbers: dict[str, int] = {}
     out = []
-    for _, text in TEMPLATES:
+    for _, text in templates:
         words = _WORD.findall(text.lower())
         out.append(([numbers.setdefault(w, len(numbers)) for w in words], [_cost(w) for w in words],
                     len(words) + int(MOST_CHANGED * len(words))))
@@ -92,16 +110,16 @@ def _cost(word: str) -> int:
     return _NEVER if word in _TELLING or word.isdigit() else 1
 
 
-@functools.lru_cache(maxsize=1)
-def _packers(level: int):
+@functools.lru_cache(maxsize=4)
+def _packers(templates: Templates, level: int):
     import zstandard
 
     plain = zstandard.ZstdCompressor(level=level, write_checksum=False)
     by_template = []
-    for _, text in TEMPLATES:
+    for _, text in templates:
         d = zstandard.ZstdCompressionDict(_plain(text), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         by_template.append(zstandard.ZstdCompressor(level=level, dict_data=d, write_checksum=False))
-    return plain, by_template
+    return plain.compress, [c.compress for c in by_template]
 
 
 def wording(have: np.ndarray, adds: np.ndarray, want: list[int], lacks: list[int]) -> tuple[int, int, int]:
@@ -131,7 +149,7 @@ def _windows(hints: list[int], reach: int, n: int, longest: int) -> list[tuple[i
     return out
 
 
-def scan_text(text: str, level: int = 3) -> tuple[int, list[tuple]]:
+def scan_text(text: str, templates: Templates = TEMPLATES, level: int = 3) -> tuple[int, list[tuple]]:
     """Number of blocks, and (license, saved, changed, start, end) found: the
     share saved of the compressed stretch, the number of changed words."""
     found = [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
@@ -139,38 +157,51 @@ def scan_text(text: str, level: int = 3) -> tuple[int, list[tuple]]:
     hints = sorted({bisect.bisect_right(starts, m.start()) - 1 for m in _HINT.finditer(text)})
     if not hints:
         return 0, []
-    numbers, wanted = _wanted()
-    plain, by_template = _packers(level)
+    numbers, wanted = _wanted(templates)
+    plain, by_template = _packers(templates, level)
     ids = np.array([numbers.get(w, -1) for w, _, _ in found], np.int64)
     adds = np.array([_cost(w) for w, _, _ in found], np.int64)
     widest = max(reach for _, _, reach in wanted)
     n_blocks = 1 + sum(b - a > 2 * widest for a, b in zip(hints, hints[1:]))
-    likely = []
-    for i, (want, lacks, reach) in enumerate(wanted):
-        todo = _windows(hints, reach, len(found), 2 * reach)
-        while todo:
-            lo, hi = todo.pop()
-            here = set(ids[lo:hi].tolist())
-            # Words that are nowhere in the stretch are lacking in any wording.
-            if sum(lack for w, lack in zip(want, lacks) if w not in here) > MOST_CHANGED * len(want):
-                continue
-            cost, start, end = wording(ids[lo:hi], adds[lo:hi], want, lacks)
-            if end > start and cost <= MOST_CHANGED * len(want):
-                data = _plain(text[found[lo][1]:found[hi - 1][2]])
-                alone = len(plain.compress(data))
-                saved = max(0, alone - len(by_template[i].compress(data)))
-                likely.append((-saved, i, lo + start, lo + end, saved / alone, cost))
-                todo += [(a, b) for a, b in ((lo, lo + start), (lo + end, hi)) if a < b]
+    alone: dict[tuple[int, int], int] = {}
+    ranked: list[tuple[int, int, int, int]] = []
+
+    def rank(i: int, lo: int, hi: int) -> None:
+        data = _plain(text[found[lo][1]:found[hi - 1][2]])
+        if (lo, hi) not in alone:
+            alone[lo, hi] = len(plain(data))
+        saved = alone[lo, hi] - len(by_template[i](data))
+        if saved > 0:
+            heapq.heappush(ranked, (-saved, i, lo, hi))
+
+    for i, (_, _, reach) in enumerate(wanted):
+        for lo, hi in _windows(hints, reach, len(found), 2 * reach):
+            rank(i, lo, hi)
     out: list[tuple] = []
     taken = np.zeros(len(found), bool)
-    for _, i, lo, hi, share, cost in sorted(likely):
-        if not taken[lo:hi].any():
-            taken[lo:hi] = True
-            out.append((TEMPLATES[i][0], share, cost, found[lo][1], found[hi - 1][2]))
+    while ranked:
+        saved, i, lo, hi = heapq.heappop(ranked)
+        want, lacks, _ = wanted[i]
+        if taken[lo:hi].any():                      # others took part of it meanwhile: rank what is left
+            edges = np.flatnonzero(np.diff(np.concatenate([[1], taken[lo:hi], [1]])))
+            for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                rank(i, lo + a, lo + b)
+            continue
+        here = set(ids[lo:hi].tolist())
+        # Words that are nowhere in the stretch are lacking in any wording.
+        if sum(lack for w, lack in zip(want, lacks) if w not in here) > MOST_CHANGED * len(want):
+            continue
+        cost, start, end = wording(ids[lo:hi], adds[lo:hi], want, lacks)
+        if end > start and cost <= MOST_CHANGED * len(want):
+            taken[lo + start:lo + end] = True
+            out.append((templates[i][0], -saved / alone[lo, hi], cost, found[lo + start][1], found[lo + end - 1][2]))
+            for a, b in ((lo, lo + start), (lo + end, hi)):
+                if a < b:
+                    rank(i, a, b)
     return n_blocks, sorted(out, key=lambda f: f[3:])
 
 
-def license_scan(df: DataFrame, text_col: str = "text") -> DataFrame:
+def license_scan(df: DataFrame, text_col: str = "text", templates: Templates = TEMPLATES) -> DataFrame:
     """``df`` with ``n_blocks``, ``licenses`` (distinct names, sorted, comma-
     joined), ``spans`` ("license:start:end") and ``best_saving``."""
     bound_batches(df.sparkSession)
@@ -182,7 +213,7 @@ def license_scan(df: DataFrame, text_col: str = "text") -> DataFrame:
         for texts in batches:
             rows = []
             for text in texts.to_pylist():
-                n, found = scan_text(text) if text else (0, [])
+                n, found = scan_text(text, templates) if text else (0, [])
                 rows.append({"n_blocks": n, "licenses": ",".join(sorted({f[0] for f in found})),
                              "spans": ",".join(f"{f[0]}:{f[3]}:{f[4]}" for f in found),
                              "best_saving": max((f[1] for f in found), default=None)})

@@ -2,6 +2,7 @@
 quality classifier, license scan."""
 
 import hashlib
+import pathlib
 import random
 import re
 import struct
@@ -302,3 +303,70 @@ def test_empty_tables(spark):
     assert license_scan.license_scan(none).count() == 0
     model = bq.train(none, spark.createDataFrame([], "doc_id long, quality int"))
     assert bq.score(none, model).count() == 0
+
+
+def plain_wording(have, want):
+    """Least cost and span of ``want`` in ``have`` by the textbook table, one
+    cell at a time."""
+    cost = license_scan._cost
+    table = [(0, s) for s in range(len(have) + 1)]
+    for word in want:
+        row = [(table[0][0] + cost(word), table[0][1])]
+        for k, other in enumerate(have, 1):
+            ways = [(table[k][0] + cost(word), table[k][1]), (row[k - 1][0] + cost(other), row[k - 1][1])]
+            ways += [table[k - 1]] if other == word else []
+            row.append(min(ways))
+        table = row
+    end = min(range(len(table)), key=lambda k: (table[k], k))
+    return table[end][0], table[end][1], end
+
+
+def test_license_wording_matches_the_plain_table():
+    rnd = random.Random(9)
+    vocabulary = "the software is provided as mit bsd 2 3 notice copy not any".split()
+    for _ in range(300):
+        want = [rnd.choice(vocabulary) for _ in range(rnd.randrange(1, 9))]
+        have = [rnd.choice(vocabulary) for _ in range(rnd.randrange(0, 14))]
+        at = rnd.randrange(len(have) + 1)
+        have[at:at] = [w for w in want if rnd.random() < 0.8]
+        numbers = {w: k for k, w in enumerate(vocabulary)}
+        got = license_scan.wording(np.array([numbers[w] for w in have], np.int64),
+                                   np.array([license_scan._cost(w) for w in have], np.int64),
+                                   [numbers[w] for w in want], [license_scan._cost(w) for w in want])
+        assert got == plain_wording(have, want)
+
+
+def test_compression_decides_which_licenses_are_found(monkeypatch):
+    text = "Some words. " + license_scan.TEMPLATES[1][1] + " More words follow the license here."
+    assert [f[0] for f in license_scan.scan_text(text)[1]] == ["MIT"]
+    real = license_scan._packers
+    constant = lambda data: b"x" * 50
+    monkeypatch.setattr(license_scan, "_packers", lambda t, level: (constant, [constant] * len(t)))
+    assert license_scan.scan_text(text)[1] == []                    # no template saves a byte
+    # The one that saves the most is compared first and takes the words.
+    two = (("short", "Permission is hereby granted, free of charge"), ("long", license_scan.TEMPLATES[1][1]))
+    monkeypatch.setattr(license_scan, "_packers", lambda t, level: (constant, [lambda d: b"x" * 10, lambda d: b"x" * 40]))
+    assert license_scan.scan_text(text, two)[1][0][0] == "short"
+    monkeypatch.setattr(license_scan, "_packers", real)
+    assert [f[0] for f in license_scan.scan_text(text, two)[1]] == ["long"]
+
+
+def test_whole_license_bodies_as_templates(spark):
+    folder = pathlib.Path("/usr/share/common-licenses")
+    names = [n for n in ("Apache-2.0", "GPL-2", "MPL-2.0", "BSD") if (folder / n).exists()]
+    if not names:
+        pytest.skip("no license texts on this machine")
+    templates = tuple((n, (folder / n).read_text()) for n in names)
+    words = "plain prose about a license that nobody has ever read to its end ".split()
+    rows = []
+    for k, (n, body) in enumerate(templates):
+        changed = body.split()
+        for at in range(50, len(changed), 60):
+            if changed[at].isalpha() and license_scan._cost(changed[at].lower()) == 1:
+                changed[at] = "changed"
+        rows.append((k, " ".join(words * 30) + "\n" + body.replace("\n", "\n * ") + "\n" + " ".join(words * 30)))
+        rows.append((100 + k, " ".join(changed)))
+    rows.append((999, " ".join(words * 300)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in license_scan.license_scan(df, templates=templates).collect()}
+    assert got == {k + more: n for more in (0, 100) for k, n in enumerate(names)} | {999: ""}
