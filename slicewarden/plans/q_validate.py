@@ -11,6 +11,7 @@ from slicewarden.operators import validate
 from slicewarden.plans import sqltext as S
 from slicewarden.plans.registry import register
 from slicewarden.plans.standins import orders_like, table
+from slicewarden.sources import files
 from slicewarden.sources.partitions import day_slice
 
 ORDER_COLS = [c.strip() for c in S.ORDER_COLUMNS.split(",")]
@@ -86,6 +87,29 @@ def val_basic_suite(spark, sf_dir):
     return validate.run_suite(_cross(spark, sf_dir), suites.BASIC_SUITE)
 
 
+@register("val_incremental_suite", f"""
+WITH {S.ORDERS_LIKE.strip()}, {S.CROSS_CHECKS.strip()}
+{S.suite_sql(suites.BASIC_SUITE, 'cross_checks')}""")
+def val_incremental_suite(spark, sf_dir):
+    """VAL-3/VAL-8 with table scope: the table arrives year by year, one year
+    first without its keys and then corrected; results from the state."""
+    import uuid
+
+    from slicewarden.operators import suite_state
+    from slicewarden.session import scratch_path
+
+    root = scratch_path(spark, f"state-{uuid.uuid4().hex}")
+    rows = _cross(spark, sf_dir).withColumn("year", F.coalesce(F.year("order_date").cast("string"), F.lit("none")))
+    rows.write.partitionBy("year").parquet(f"{root}/rows")
+    years = sorted(f.rsplit("=", 1)[-1] for f in files.list_folders(spark, f"{root}/rows"))
+    stored = spark.read.schema(rows.schema).parquet(f"{root}/rows")
+    wrong = stored.where(F.col("year") == years[0]).withColumn("order_id", F.lit(None).cast("long"))
+    suite_state.fold_day(spark, f"{root}/state", wrong, years[0], suites.BASIC_SUITE)
+    for y in reversed(years):
+        suite_state.fold_day(spark, f"{root}/state", stored.where(F.col("year") == y), y, suites.BASIC_SUITE)
+    return suite_state.results(spark, f"{root}/state", suites.BASIC_SUITE)
+
+
 @register("val_cross_suite", f"""
 WITH {S.ORDERS_LIKE.strip()}, {S.CROSS_CHECKS.strip()}
 {S.suite_sql(suites.CROSS_SUITE, 'cross_checks')}""")
@@ -231,7 +255,7 @@ SELECT COUNT(*) AS listed_rows, CAST(1 AS BIGINT) AS missing, CAST(1 AS BIGINT)
 def pub_manifest_status(spark, sf_dir):
     """FILE-3/JOIN-9 with files gone and changed after the publish: one deleted,
     one cut to another size, one written again at the same size."""
-    from slicewarden.sources import files, published
+    from slicewarden.sources import published
 
     root, _ = _published_versions(spark, sf_dir)
     gone, cut, again = [r["uri"] for r in published.manifest_table(spark, root).orderBy("uri").limit(3).collect()]
