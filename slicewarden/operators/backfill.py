@@ -10,7 +10,7 @@ One plan of joins replaces the per-dataset loop of remote probes:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,6 +131,39 @@ def plan_candidates(nodes: DataFrame, edges: DataFrame, cadence: DataFrame, inve
                     F.coalesce(F.col("__exists"), F.lit(False)).alias("partition_exists"))
 
 
+def _undated(dataset: Column) -> Column:
+    """A folder's name without its date, so that all its dates meet."""
+    return F.regexp_replace(dataset, r"(?i)date=\d{4}-\d{2}-\d{2}", "date=*")
+
+
+def missing_ranges(datasets: DataFrame, inventory: DataFrame, start: str, end: str) -> DataFrame:
+    """Gaps of a whole calendar: for each dataset (columns ``ds_norm``,
+    ``producing_job``) the runs of neighbouring days from ``start`` to ``end`` that
+    it misses: dataset, producing_job, from_date, to_date, missing_partitions.
+
+    Unpartitioned tables miss nothing, datasets the inventory does not know
+    miss every day; folders of one name that differ in their date are one
+    dataset.  The calendar is unfolded per dataset and one equality join with
+    the inventory finds the days that are there; a dataset's window holds at
+    most a row a day.
+    """
+    days = F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
+    wanted = (datasets.groupBy(_undated(F.col("ds_norm")).alias("dataset"))
+              .agg(F.max("producing_job").alias("producing_job")))
+    held = inventory.where(F.col("kind") == "UNPARTITIONED").select(F.col("dataset").alias("whole")).distinct()
+    wanted = wanted.join(held, wanted["dataset"] == held["whole"], "left_anti")
+    there = (inventory.where(F.col("partition_date").between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
+             .select(_undated(F.col("dataset")).alias("ds"), F.col("partition_date").alias("held_on")).distinct())
+    missing = (wanted.select("*", F.explode(days).alias("day"))
+               .join(there, (F.col("dataset") == F.col("ds")) & (F.col("day") == F.col("held_on")), "left_anti"))
+    order = Window.partitionBy("dataset").orderBy("day")
+    island = F.date_sub(F.col("day"), F.row_number().over(order))
+    return (missing.withColumn("island", island).groupBy("dataset", "island")
+            .agg(F.max("producing_job").alias("producing_job"), F.min("day").alias("from_date"),
+                 F.max("day").alias("to_date"), F.array_sort(F.collect_list("day")).alias("missing_partitions"))
+            .drop("island"))
+
+
 def missing_with_mapping(candidates: DataFrame, task_map: DataFrame, auto_stub: bool = True) -> DataFrame:
     """Candidates missing the run date, with the producer's dag and task and
     whether a task-map stub is attempted (no dag known)."""

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slicewarden.functions.joins import HOT_ROWS, hot_keys, hot_split_lookup
+from slicewarden.session import materialize
 
 # Fixed value: jobs whose name starts with this are system jobs and ignored.
 SYSTEM_JOB_PREFIX = "bootstrap."
@@ -84,6 +85,31 @@ def neighbourhood(nodes: DataFrame, edges: DataFrame, root: str) -> tuple[DataFr
     return hood_nodes, touching
 
 
+def downstream(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """(id, depth): every node that the edges (source, target) lead to from
+    ``roots`` (column ``id``, depth 0), with the fewest hops it takes.
+
+    One hop a round: the newest nodes meet the edges, and nodes seen before drop
+    out, so cycles end.  Each round's nodes are written once; the work of all
+    rounds is that of one join with the edges for each node reached.  Ends after
+    ``max_depth`` hops, or when a round finds nothing new.
+    """
+    hops = edges.select("source", "target").distinct()
+    newest = materialize(roots.select("id").distinct().withColumn("depth", F.lit(0)))
+    seen, depth = newest, 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
+        reached = (hops.join(newest.select("id"), hops["source"] == newest["id"], "left_semi")
+                   .select(F.col("target").alias("id")).distinct())
+        newest = materialize(reached.join(seen, "id", "left_anti").withColumn("depth", F.lit(depth)))
+        if newest.isEmpty():
+            break
+        seen = seen.unionByName(newest)
+        if depth % 8 == 0:               # one table again: the union does not grow with the depth
+            seen = materialize(seen)
+    return seen
+
+
 def root_graph(nodes: DataFrame, edges: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
     """The root's neighbourhood as the graph to plan from.  A system job or a
     job that is not in the graph raises ``ValueError``."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from slicewarden.functions import paths
 from slicewarden.operators import backfill, lineage
+from slicewarden.operators.dedupe import global_positions
 from slicewarden.plans.registry import register
 from slicewarden.plans.standins import (cadence_table, lineage_graph, partition_inventory, table,
                                         task_map_table)
@@ -332,3 +333,64 @@ def lin_job_io_chunks(spark, sf_dir):
     chunks = lineage.job_io_chunks(lineage.job_io_edges(nodes, edges), chunk_size=CHUNK)
     return chunks.select("job_name", "direction", "chunk", F.array_join("datasets", "|").alias("datasets"),
                          F.size("datasets").cast("long").alias("n_datasets"))
+
+
+RANGE = ("1995-01-01", "1995-01-30")
+
+
+def _undated_sql(x: str) -> str:
+    return f"regexp_replace({x}, '(?i)date=\\d{{4}}-\\d{{2}}-\\d{{2}}', 'date=*')"
+
+
+@register("bkf_missing_ranges", f"""
+WITH {LINEAGE_SQL.strip()}, {CONFIG_SQL.strip()}, {CANDIDATES_SQL.strip()},
+wanted AS (SELECT {_undated_sql('ds_norm')} AS dataset, MAX(producing_job) AS producing_job FROM cand GROUP BY 1),
+kept AS (SELECT * FROM wanted WHERE dataset NOT IN (SELECT dataset FROM inv WHERE kind = 'UNPARTITIONED')),
+days AS (SELECT CAST(d AS DATE) AS day FROM range(DATE '{RANGE[0]}', DATE '{RANGE[1]}' + 1, INTERVAL 1 DAY) t(d)),
+held AS (SELECT DISTINCT {_undated_sql('dataset')} AS dataset, partition_date AS day FROM inv),
+gaps AS (SELECT k.*, d.day FROM kept k, days d
+         WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.dataset = k.dataset AND h.day = d.day)),
+runs AS (SELECT *, day - CAST(ROW_NUMBER() OVER (PARTITION BY dataset ORDER BY day) AS INTEGER) AS island FROM gaps)
+SELECT dataset, MAX(producing_job) AS producing_job, MIN(day) AS from_date, MAX(day) AS to_date,
+       STRING_AGG(CAST(day AS VARCHAR), ',' ORDER BY day) AS missing_partitions
+FROM runs GROUP BY dataset, island""")
+def bkf_missing_ranges(spark, sf_dir):
+    """BKF-5/JOIN-7 over 30 days: every missing date of every produced dataset,
+    as runs of neighbouring days."""
+    nodes, edges = _graph(spark, sf_dir)
+    cad, _, inv = _config(spark, sf_dir)
+    made = backfill.plan_candidates(nodes, edges, cad, inv, root=ROOT, run_date=RUN_DATE)
+    found = backfill.missing_ranges(made, inv, *RANGE)
+    return found.withColumn("missing_partitions", F.array_join(
+        F.transform("missing_partitions", lambda d: d.cast("string")), ","))
+
+
+# Jobs (suppliers) that read a part's table where a line is the first of its
+# order and write it elsewhere: a graph of several hops with cycles.
+_HOPS_SQL = """
+hops AS (
+  SELECT DISTINCT CASE WHEN l_linenumber = 1 THEN 'part:' || l_partkey ELSE 'job:' || l_suppkey END AS source,
+         CASE WHEN l_linenumber = 1 THEN 'job:' || l_suppkey ELSE 'part:' || l_partkey END AS target
+  FROM lineitem WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL),
+start AS (SELECT 'job:' || MIN(l_suppkey) AS id FROM lineitem)"""
+
+
+@register("lin_downstream", f"""
+WITH RECURSIVE {_HOPS_SQL.strip()},
+walk(id, depth) AS (
+  SELECT id, 0 FROM start
+  UNION
+  SELECT h.target, w.depth + 1 FROM walk w JOIN hops h ON h.source = w.id WHERE w.depth < 12),
+near AS (SELECT id, MIN(depth) AS depth FROM walk GROUP BY id)
+SELECT id, depth, CAST(90 + 10 * ROW_NUMBER() OVER (ORDER BY depth, id) AS BIGINT) AS priority FROM near""")
+def lin_downstream(spark, sf_dir):
+    """LIN-2/BKF-5 over all hops: what can be reached from a root job through
+    a graph with cycles, priorities in dependency order."""
+    rows = table(spark, sf_dir, "lineitem").where("l_partkey is not null and l_suppkey is not null")
+    job, part = F.concat(F.lit("job:"), F.col("l_suppkey")), F.concat(F.lit("part:"), F.col("l_partkey"))
+    reads = F.col("l_linenumber") == 1
+    edges = rows.select(F.when(reads, part).otherwise(job).alias("source"), F.when(reads, job).otherwise(part).alias("target"))
+    start = rows.agg(F.concat(F.lit("job:"), F.min("l_suppkey")).alias("id"))
+    found = lineage.downstream(edges, start, max_depth=12)
+    ranked = global_positions(found, [F.col("depth"), F.col("id")], name="position")
+    return ranked.select("id", "depth", (90 + 10 * F.col("position")).alias("priority"))

@@ -131,3 +131,44 @@ def test_partition_status_reads_the_run_date_only(spark):
     for rows in (inv, backfill.dated_inventory(inv, "2024-03-02")):
         got = {r["__inv_ds"] for r in backfill.partition_status(rows, "2024-03-02").where("__exists").collect()}
         assert got == {"b", "c", "e", "f", "g/date=2024-03-02/"}
+
+
+def plain_downstream(edges, root, limit=None):
+    depth, todo = {root: 0}, [root]
+    while todo:
+        at = todo.pop(0)
+        if limit is None or depth[at] < limit:
+            for s, t in edges:
+                if s == at and t not in depth:
+                    depth[t] = depth[at] + 1
+                    todo.append(t)
+    return depth
+
+
+def test_downstream_over_all_hops_with_cycles(spark):
+    from slicewarden.operators import lineage
+
+    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("a", "c"), ("x", "y"), ("d", "d"), ("a", "b"), ("d", None)]
+    edges += [(f"n{k}", f"n{k + 1}") for k in range(12)] + [("d", "n0")]
+    df = spark.createDataFrame(edges, "source string, target string")
+    for root, limit in (("a", None), ("a", 2), ("a", 0), ("y", None), ("unknown", None)):
+        got = lineage.downstream(df, spark.createDataFrame([(root,)], "id string"), limit)
+        want = {k: v for k, v in plain_downstream(edges, root, limit).items() if k is not None}
+        assert {r.id: r.depth for r in got.where("id is not null").collect()} == want
+
+
+def test_missing_ranges(spark):
+    import datetime as dt
+
+    from slicewarden.operators import backfill
+
+    made = spark.createDataFrame([("t.days", "j1"), ("t.days", "j0"), ("t.whole", "j2"), ("t.unknown", None),
+                                  ("lake/a/date=2024-01-01/", "j3")], "ds_norm string, producing_job string")
+    held = [("t.days", "NATIVE", d) for d in (1, 2, 5, 9)] + [("t.whole", "UNPARTITIONED", None)]
+    held += [(f"lake/a/date=2024-01-{d:02d}/", "FILES", d) for d in (2, 3, 4, 5, 6, 7)]
+    inv = spark.createDataFrame([(n, k, d and dt.date(2024, 1, d)) for n, k, d in held], backfill.INVENTORY_SCHEMA)
+    got = backfill.missing_ranges(made, inv, "2024-01-01", "2024-01-08").collect()
+    assert sorted((r.dataset, r.producing_job, r.from_date.day, r.to_date.day, [d.day for d in r.missing_partitions])
+                  for r in got) == [
+        ("lake/a/date=*/", "j3", 1, 1, [1]), ("lake/a/date=*/", "j3", 8, 8, [8]), ("t.days", "j1", 3, 4, [3, 4]),
+        ("t.days", "j1", 6, 8, [6, 7, 8]), ("t.unknown", None, 1, 8, list(range(1, 9)))]
