@@ -370,3 +370,41 @@ def test_whole_license_bodies_as_templates(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.licenses for r in license_scan.license_scan(df, templates=templates).collect()}
     assert got == {k + more: n for more in (0, 100) for k, n in enumerate(names)} | {999: ""}
+
+
+def plain_verdict(text, bands):
+    """The bands' verdict, limit by limit, with fresh compressors."""
+    def share(part):
+        return len(zstandard.ZstdCompressor(level=bands.level).compress(part)) / len(part)
+
+    data = text.encode()
+    if not data:
+        return True
+    below = [w for w in bands.whole if w[0] <= len(data)][-1]
+    above = next((w for w in bands.whole if w[0] > len(data)), None)
+    high = below[2]
+    if above and below[0]:
+        high += (above[2] - below[2]) * np.log(len(data) / below[0]) / np.log(above[0] / below[0])
+    if not below[1] <= share(data) <= high + 1e-12:
+        return False
+    for size, step, least, most in bands.chunks:
+        at = 0
+        while len(data) > size and at < len(data):
+            part = data[min(at, len(data) - size):][:size]
+            if not least <= share(part) <= most:
+                return False
+            at += step
+    return True
+
+
+def test_verdicts_match_plain_code_and_real_texts_are_kept(spark):
+    folder = pathlib.Path("/usr/share/common-licenses")
+    real = [(k, p.read_text()) for k, p in enumerate(sorted(folder.glob("*")))] if folder.exists() else []
+    docs = read_table(spark, SF_SMALL, "documents").where("n_chars < 60000").collect()
+    rows = real + [(1000 + d.doc_id, d.text) for d in docs]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in compression_bands.quality_rules(df).collect()}
+    bands = compression_bands.Bands()
+    for k, text in rows:
+        assert got[k].kept == (not got[k].base_failed and plain_verdict(text or "", bands)), k
+    assert all(got[k].kept for k, _ in real if not got[k].base_failed) and len(real) != 1
