@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from slicewarden.operators import gates
+from slicewarden.functions import suites
 from slicewarden.plans.registry import register
 from slicewarden.plans.standins import expected_folders, object_inventory, suite_runs, table
+from slicewarden.sources import generate
 from slicewarden.sources.generate import orders_from_ids
 from slicewarden.sources.partitions import latest_partition
 
@@ -202,10 +204,36 @@ def src_latest_partition(spark, sf_dir):
     return latest_partition(ev, "ds")
 
 
-@register("src_generated_orders")
+def _pick_sql(values, draw: int) -> str:
+    items = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+    return f"list_extract([{items}], u{draw} * {len(values)} // 4294967296 + 1)"
+
+
+@register("src_generated_orders", f"""
+WITH o AS (
+  SELECT CAST(o_orderkey AS BIGINT) AS order_id, CAST(o_orderdate AS DATE) AS order_date FROM orders),
+d AS (SELECT *, {' || '.join(f"md5(CAST(order_id AS VARCHAR) || '|{k}|{generate.SEED}')" for k in range(3))} AS digest FROM o),
+u AS (SELECT order_id, order_date, {', '.join(f"CAST('0x' || substr(digest, {8 * k + 1}, 8) AS BIGINT) AS u{k}"
+                                               for k in range(12))} FROM d),
+a AS (SELECT *, {generate.AMOUNT_CENTS[0]} + u1 * {generate.AMOUNT_CENTS[1] - generate.AMOUNT_CENTS[0] + 1} // 4294967296
+             AS amount FROM u),
+t AS (SELECT *, (amount * ({generate.TAX_BASIS_POINTS[0]} + u2 * {generate.TAX_BASIS_POINTS[1] - generate.TAX_BASIS_POINTS[0] + 1}
+             // 4294967296) + 5000) // 10000 AS tax FROM a),
+x AS (SELECT *, ((amount + tax) * {_pick_sql(generate.DISCOUNT_PERCENTS, 3)} + 50) // 100 AS discount FROM t)
+SELECT order_id, CAST({generate.CUSTOMER_RANGE[0]} + u4 * {generate.CUSTOMER_RANGE[1] - generate.CUSTOMER_RANGE[0] + 1}
+         // 4294967296 AS BIGINT) AS customer_id, order_date,
+       CAST(order_date AS TIMESTAMP) + to_seconds(u0 * 86400 // 4294967296) AS order_timestamp,
+       {_pick_sql(suites.ORDER_STATUS_VALUES, 5)} AS order_status,
+       {_pick_sql(suites.PAYMENT_METHOD_VALUES, 6)} AS payment_method, 'INR' AS currency, amount / 100.0::DOUBLE AS order_amount,
+       tax / 100.0::DOUBLE AS tax_amount, discount / 100.0::DOUBLE AS discount_amount,
+       (amount + tax - discount) / 100.0::DOUBLE AS net_amount, u7 * 2 // 4294967296 = 0 AS is_first_order,
+       {_pick_sql(suites.REGION_VALUES, 8)} AS region, {_pick_sql(suites.CATEGORY_VALUES, 9)} AS category,
+       CAST({generate.ITEM_RANGE[0]} + u10 * {generate.ITEM_RANGE[1] - generate.ITEM_RANGE[0] + 1} // 4294967296 AS BIGINT)
+         AS item_count
+FROM x""")
 def src_generated_orders(spark, sf_dir):
     """SRC-10: seeded synthetic orders, one per driver order key on its
-    order date (checked in tests: row count, value sets, balances)."""
+    order date."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"),
                                               F.to_date("o_orderdate").alias("d"))
     return orders_from_ids(o, F.col("d"))
