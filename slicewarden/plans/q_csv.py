@@ -91,6 +91,17 @@ def win_duplicate_flags(spark, sf_dir):
     return dedupe.flag_duplicates(li, ["l_orderkey", "l_linenumber"])
 
 
+@register("win_duplicate_flags_hot", f"""
+SELECT {', '.join(LINEITEM_COLS)}, COUNT(*) OVER (PARTITION BY l_returnflag, l_suppkey) > 1 AS _dup,
+       COUNT(*) OVER (PARTITION BY l_linestatus) > 1 AS _dup_status FROM lineitem""")
+def win_duplicate_flags_hot(spark, sf_dir):
+    """WIN-2 on its branch for hot keys: of the first keys some are hot and some
+    are not, each of the others holds about half of all rows."""
+    li = table(spark, sf_dir, "lineitem").select(*LINEITEM_COLS)
+    some = dedupe.flag_duplicates(li, ["l_suppkey"], scope=["l_returnflag"], hot_rows=50)
+    return dedupe.flag_duplicates(some, ["l_linestatus"], name="_dup_status", hot_rows=50)
+
+
 _LI_REST = [c for c in LINEITEM_COLS if c not in ("l_orderkey", "l_linenumber")]
 
 

@@ -196,6 +196,16 @@ def lin_job_io(spark, sf_dir):
                         F.size("outputs").cast("long").alias("n_outputs"))
 
 
+@register("lin_job_io_hot", f"""
+WITH {LINEAGE_SQL.strip()}
+SELECT DISTINCT job_name, direction, dataset FROM io""")
+def lin_job_io_hot(spark, sf_dir):
+    """JOIN-8 on its branch for hot keys: node ids with more than ten edges are
+    dealt to salts."""
+    nodes, edges = _graph(spark, sf_dir)
+    return lineage.job_io_edges(nodes, edges, hot_rows=10)
+
+
 @register("lin_produced_datasets", f"""
 WITH {LINEAGE_SQL.strip()}
 SELECT DISTINCT dataset FROM io WHERE direction = 'out'""")
