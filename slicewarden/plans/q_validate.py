@@ -298,3 +298,54 @@ def job_validate_day_summary(spark, sf_dir):
         jobs.validate_day(spark, f"{base}/orders", JOB_DATE, "basic", ready_root=f"{base}/ready",
                           error_root=f"{base}/error", results_path=f"{base}/results", run_id="job")
     return jobs.run_summaries(spark, f"{base}/results").drop("run_ts")
+
+
+@register("job_error_rows", f"""
+WITH {S.ORDERS_LIKE.strip()}, {S.CROSS_CHECKS.strip()},
+day AS (SELECT *, {S.BAD_PREDICATE} AS bad FROM orders_like WHERE date_trunc('year', order_date) = DATE '{JOB_DATE}')
+SELECT {S.ORDER_COLUMNS}, CASE WHEN bad THEN 'bad' ELSE 'undecided' END AS kind
+FROM day WHERE bad OR bad IS NULL""")
+def job_error_rows(spark, sf_dir):
+    """SNK-5 through the daily job: the bad and undecided rows it exported,
+    read back from the error folders."""
+    import uuid
+
+    from slicewarden.plans import jobs
+    from slicewarden.session import scratch_path
+
+    base = scratch_path(spark, f"errors-{uuid.uuid4().hex}")
+    orders = _orders(spark, sf_dir).select(*ORDER_COLS).withColumn("date", F.trunc("order_date", "year"))
+    orders.write.mode("overwrite").partitionBy("date").parquet(f"{base}/orders")
+    jobs.validate_day(spark, f"{base}/orders", JOB_DATE, "basic", ready_root=f"{base}/ready", layout="versions",
+                      error_root=f"{base}/error", results_path=f"{base}/results", run_id="job")
+    kinds = {"bad": f"{base}/error/date={JOB_DATE}", "undecided": f"{base}/error_undecided/date={JOB_DATE}"}
+    schema = orders.drop("date").schema
+    parts = [spark.read.schema(schema).parquet(path).withColumn("kind", F.lit(kind))
+             for kind, path in kinds.items() if files.exists(spark, path)]
+    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
+
+
+_PROBED = [f"{y}-01-01" for y in range(1990, 2001)]
+
+
+@register("src_partition_probes", "\nUNION ALL\n".join(f"""
+SELECT '{d}' AS partition_date, COUNT(*) AS held_rows, COUNT(*) > 0 AS there
+FROM lineitem WHERE date_trunc('year', l_shipdate) = DATE '{d}'""" for d in _PROBED))
+def src_partition_probes(spark, sf_dir):
+    """SRC-5/LIM-1: a stored table registered under a name, and for each year
+    whether it holds that partition (first row found) and how many rows."""
+    import uuid
+
+    from slicewarden.session import scratch_path
+    from slicewarden.sources.partitions import has_partition, read_table, register_table
+
+    name = f"lines_{uuid.uuid4().hex}"
+    root = scratch_path(spark, name)
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.trunc("l_shipdate", "year").alias("date"))
+    rows.write.partitionBy("date").parquet(root)
+    register_table(read_table(spark, root), name)
+    held = spark.table(name)
+    counts = held.groupBy(F.col("date").cast("string").alias("held")).agg(F.count(F.lit(1)).alias("n"))
+    probes = spark.createDataFrame([(d, has_partition(held, d)) for d in _PROBED], "partition_date string, there boolean")
+    found = probes.join(counts, F.col("partition_date") == F.col("held"), "left")
+    return found.select("partition_date", F.coalesce("n", F.lit(0)).alias("held_rows"), "there")
