@@ -4,7 +4,7 @@ The pipeline works on daily ``orders`` slices, raw order CSV feeds, customer
 snapshots and lineage graphs.  The driver's tables are TPC-H-like, so each
 operator is exercised on a deterministic projection of them.  Each projection
 is a pure DataFrame expression over a whole table, with a SQL twin in
-:mod:`slicewarden.plans.oracle` that uses the same operand order, so the
+:mod:`slicewarden.plans.sqltext` that uses the same operand order, so the
 doubles agree bit for bit.
 """
 
