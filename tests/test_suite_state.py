@@ -57,3 +57,21 @@ def test_daily_job_reads_its_day_only(spark, tmpdir_path):
         out[d] = jobs.validate_day(spark, table, d, "basic", state_root=state, layout="versions", **args)["summary"]
     full = jobs.validate_day(spark, table, "2024-01-02", "basic", dry_run=True, **args)["summary"]
     assert {k: v for k, v in out["2024-01-02"].items() if k != "run_ts"} == {k: v for k, v in full.items() if k != "run_ts"}
+
+
+def test_a_day_leaves_the_keys_of_other_days_where_they_are(spark, tmpdir_path):
+    root, data = os.path.join(tmpdir_path, "state"), {}
+    tables, sizes = [], []
+    for i, d in enumerate(["01", "02", "01", "03", "04", "02", "05"]):          # two days come again
+        data[d] = [(k, 1, "a") for k in (None, 1, i, 10 + i)]
+        suite_state.fold_day(spark, root, spark.createDataFrame(data[d], "k long, v long, s string"), f"2024-01-{d}",
+                             RULES, buckets=2, merge_every=3)
+        at = versions.Store(spark, root).latest()
+        tables.append(at.slots.get("keys"))
+        sizes.append(len(at.slots.get("key_changes", ())))
+        whole = spark.createDataFrame([r for rows_ in data.values() for r in rows_], "k long, v long, s string")
+        assert rows(suite_state.results(spark, root, RULES)) == rows(validate.run_suite(whole, RULES)), d
+    assert sizes == [1, 2, 0, 1, 2, 0, 1]
+    assert tables[2] == tables[3] == tables[4] != tables[5] == tables[6]          # written again by a merge only
+    keys = versions.Store(spark, root).read("keys", suite_state.KEY_SCHEMA)
+    assert keys.where("copies <= 0").count() == 0 and keys.count() == keys.select("key", "rule_index").distinct().count() > 0
