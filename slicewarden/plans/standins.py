@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewarden.session import materialize
+from slicewarden.session import stored
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -150,32 +150,44 @@ def lineage_graph(lineitem: DataFrame, supplier: DataFrame, part: DataFrame) ->
     (written without slashes for sizes under 5, to exercise the path fix), a
     table otherwise.  Suppliers of nation 0 are system (``bootstrap.``) jobs.
     """
-    li = lineitem.select("l_suppkey", "l_partkey")
-    sup = supplier.select("s_suppkey", "s_nationkey")
-    prt = part.select("p_partkey", "p_brand", "p_size")
-    job_name = F.concat(F.when(F.col("s_nationkey") == 0, F.lit("bootstrap.")).otherwise(F.lit("etl.")),
-                        F.lit("supplier_"), F.col("s_suppkey").cast("string"))
-    brand = F.concat(F.regexp_replace(F.lower(F.col("p_brand")), "#", "_"), F.lit("_n"),
-                     F.col("s_nationkey").cast("string"))
-    out_name = (F.when(F.col("p_size") < 5, F.concat(F.lit("gcs:lake"), brand, F.lit("date=1995-01-01")))
-                .when(F.col("p_size") < 25, F.concat(F.lit("gcs:lake/silver//"), brand, F.lit("/date=1995-01-01")))
-                .otherwise(F.concat(F.lit("bigquery:proj.silver."), brand)))
-    in_name = F.concat(F.lit("bigquery:proj.bronze.part_"), F.col("l_partkey").cast("string"))
-    j = li.join(sup, li["l_suppkey"] == sup["s_suppkey"]).join(prt, li["l_partkey"] == prt["p_partkey"])
-    # Materialised once: nodes and edges below both read it (a stored graph
-    # would be two tables; a reliable checkpoint stands in for them).
-    pairs = materialize(j.select(job_name.alias("job"), in_name.alias("input"), out_name.alias("output"))
-                        .distinct())
-    job_id = F.concat(F.lit("JOB:ns:"), F.col("job"))
-    in_id = F.concat(F.lit("DATASET:"), F.col("input"))
-    out_id = F.concat(F.lit("DATASET:"), F.col("output"))
-    node = lambda i, t, n: F.struct(i.alias("id"), F.lit(t).alias("type"), F.col(n).alias("name"))
-    nodes = (pairs.select(F.explode(F.array(node(job_id, "JOB", "job"), node(in_id, "DATASET", "input"),
-                                            node(out_id, "DATASET", "output"))).alias("n"))
-             .select("n.*").distinct())
-    edge = lambda a, b: F.struct(a.alias("source"), b.alias("target"))
-    edges = (pairs.select(F.explode(F.array(edge(in_id, job_id), edge(job_id, out_id))).alias("e"))
-             .select("e.*").distinct())
+    # Names are put together where they are used; what is shuffled and stored are keys.
+    system = F.coalesce(F.col("s_nationkey") == 0, F.lit(False)).alias("system")
+    sup = supplier.select("s_suppkey", "s_nationkey", system)
+    kind = F.when(F.col("p_size") < 5, 0).when(F.col("p_size") < 25, 1).otherwise(2)
+    prt = part.select("p_partkey", F.regexp_replace(F.lower(F.col("p_brand")), "#", "_").alias("brand"),
+                      kind.alias("kind"))
+    # Stored once: nodes and edges below both read them.  Pairs of keys are distinct, and meet each key once.
+    reads = (lineitem.select("l_suppkey", "l_partkey").distinct()
+             .join(sup.select("s_suppkey", "system").distinct(), F.col("l_suppkey") == F.col("s_suppkey"))
+             .join(prt.select("p_partkey").distinct(), F.col("l_partkey") == F.col("p_partkey"))
+             .select("l_suppkey", "system", "l_partkey"))
+    reads = stored(reads, "reads")
+    writes = (reads.join(sup.withColumnRenamed("system", "s_system").distinct(),
+                         (F.col("l_suppkey") == F.col("s_suppkey")) & (F.col("system") == F.col("s_system")))
+              .join(prt.distinct(), F.col("l_partkey") == F.col("p_partkey"))
+              .select("l_suppkey", "system", "s_nationkey", "brand", "kind").distinct())
+    writes = stored(writes, "writes")
+    job = F.concat(F.when(F.col("system"), F.lit("bootstrap.")).otherwise(F.lit("etl.")), F.lit("supplier_"),
+                   F.col("l_suppkey").cast("string"))
+    table_in = F.concat(F.lit("bigquery:proj.bronze.part_"), F.col("l_partkey").cast("string"))
+    made = F.concat(F.col("brand"), F.lit("_n"), F.col("s_nationkey").cast("string"))
+    out = (F.when(F.col("kind") == 0, F.concat(F.lit("gcs:lake"), made, F.lit("date=1995-01-01")))
+           .when(F.col("kind") == 1, F.concat(F.lit("gcs:lake/silver//"), made, F.lit("/date=1995-01-01")))
+           .otherwise(F.concat(F.lit("bigquery:proj.silver."), made)))
+
+    def node(df: DataFrame, prefix: str, kind: str, name) -> DataFrame:
+        return df.select(F.concat(F.lit(prefix), name).alias("id"), F.lit(kind).alias("type"), name.alias("name"))
+
+    # Ids of the three sorts differ, and so do edges into and out of a job; keys
+    # make names one to one, but for outputs without a brand or nation.
+    outs = writes.select("brand", "s_nationkey", "kind").distinct()
+    nodes = (node(reads.select("l_suppkey", "system").distinct(), "JOB:ns:", "JOB", job)
+             .unionByName(node(reads.select("l_partkey").distinct(), "DATASET:", "DATASET", table_in))
+             .unionByName(node(outs, "DATASET:", "DATASET", out).distinct()))
+    job_id, in_id, out_id = (F.concat(F.lit("JOB:ns:"), job), F.concat(F.lit("DATASET:"), table_in),
+                             F.concat(F.lit("DATASET:"), out))
+    edges = (reads.select(in_id.alias("source"), job_id.alias("target"))
+             .unionByName(writes.select(job_id.alias("source"), out_id.alias("target")).distinct()))
     return nodes, edges
 
 
@@ -210,17 +222,20 @@ def partition_inventory(lineitem: DataFrame, part: DataFrame, supplier: DataFram
     (date-partitioned) for even brand numbers and UNPARTITIONED for odd ones.
     Dates come from the ship dates of the line items, so holes are natural.
     """
+    # What follows from a part alone is worked out once a part, not once a line.
+    brand = F.regexp_replace(F.lower(F.col("p_brand")), "#", "_")
+    native = F.regexp_extract(F.col("p_brand"), r"#(\d+)", 1).cast("int") % 2 == 0
     j = (lineitem.select("l_partkey", "l_suppkey", "l_shipdate")
-         .join(part.select("p_partkey", "p_brand", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
+         .join(part.select("p_partkey", "p_size", brand.alias("brand"), native.alias("native")),
+               F.col("l_partkey") == F.col("p_partkey"))
          .join(supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")))
-    brand = F.concat(F.regexp_replace(F.lower(F.col("p_brand")), "#", "_"), F.lit("_n"),
-                     F.col("s_nationkey").cast("string"))
+    brand = F.concat(F.col("brand"), F.lit("_n"), F.col("s_nationkey").cast("string"))
     day = F.to_date(F.col("l_shipdate"))
     size = F.col("p_size")
     folder = F.concat(F.when(size < 5, F.lit("lake")).otherwise(F.lit("lake/silver/")), brand,
                       F.lit("/date="), day.cast("string"), F.lit("/"))
     dataset = F.when(size < 25, folder).otherwise(F.concat(F.lit("proj.silver."), brand))
-    native = F.regexp_extract(F.col("p_brand"), r"#(\d+)", 1).cast("int") % 2 == 0
+    native = F.col("native")
     kind = F.when(size < 25, F.lit("FILES")).when(native, F.lit("NATIVE")).otherwise(F.lit("UNPARTITIONED"))
     return j.select(dataset.alias("dataset"), kind.alias("kind"),
                     F.when((size < 25) | native, day).alias("partition_date")).distinct()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -116,3 +117,12 @@ def materialize(df):
     instead of recomputing the lineage.
     """
     return df.checkpoint(eager=True)
+
+
+def stored(df, name: str):
+    """Write ``df`` as Parquet to a new folder under the shared checkpoint folder
+    and read it back: like :func:`materialize` without the rows' order, but
+    columns nobody reads stay on disk and repeated values take little room."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
