@@ -10,6 +10,16 @@ HOT_ROWS = 1_000_000
 # At most this many keys are salted, the largest ones: a key beyond them holds
 # at most 1 / MAX_HOT of all rows.  Bounds the broadcast of the hot keys.
 MAX_HOT = 10_000
+# Hot keys are looked for in the parts of so many, by hash, that are large enough to hold one.
+HOT_PARTS = 1 << 16
+# A lookup table of at most this many keys is broadcast once its rows were counted.
+FEW_KEYS = 100_000
+
+
+def broadcast_if_few(keys: DataFrame) -> DataFrame:
+    """``keys`` (stored, so that counting them is cheap), broadcast if they are
+    at most ``FEW_KEYS``: the big side then stays where it is."""
+    return F.broadcast(keys) if keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS else keys
 
 
 def hottest(counts: DataFrame, n_col: str, hot_rows: int) -> DataFrame:
@@ -27,8 +37,14 @@ def row_hash(df: DataFrame) -> Column:
 
 def hot_keys(big: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(__hk, __salts): hot keys of ``big`` and the number of parts each is
-    cut into.  Reads the key column only, combined map-side."""
-    counts = big.groupBy(F.col(key).alias("__hk")).agg(F.count(F.lit(1)).alias("__n"))
+    cut into.  Reads the key column only: once to count the rows of
+    ``HOT_PARTS`` parts of all keys, which leaves a few rows a task to shuffle,
+    and once for the keys of parts with more than ``hot_rows``."""
+    part = F.pmod(F.xxhash64(F.col(key)), F.lit(HOT_PARTS))
+    large = big.groupBy(part.alias("__hp")).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows)
+    keys = big.select(F.col(key).alias("__hk"), part.alias("__p"))
+    keys = keys.join(F.broadcast(large.select("__hp")), F.col("__p") == F.col("__hp"), "left_semi")
+    counts = keys.groupBy("__hk").agg(F.count(F.lit(1)).alias("__n"))
     return hottest(counts, "__n", hot_rows).select("__hk", F.ceil(F.col("__n") / hot_rows).cast("int").alias("__salts"))
 
 

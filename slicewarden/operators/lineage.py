@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slicewarden.functions.joins import HOT_ROWS, hot_keys, hot_split_lookup
-from slicewarden.session import materialize
+from slicewarden.functions.joins import HOT_ROWS, broadcast_if_few, hot_keys, hot_split_lookup
+from slicewarden.session import materialize, stored
 
 # Fixed value: jobs whose name starts with this are system jobs and ignored.
 SYSTEM_JOB_PREFIX = "bootstrap."
@@ -27,21 +27,22 @@ def job_io_edges(nodes: DataFrame, edges: DataFrame, hot_rows: int = HOT_ROWS) -
     Both endpoints are resolved by inner joins on the node id (edges with an
     unknown endpoint drop out); edges touching a system job are ignored.
     """
-    src = nodes.select(F.col("id").alias("__sid"), F.col("type").alias("src_type"), F.col("name").alias("src_name"))
-    dst = nodes.select(F.col("id").alias("__tid"), F.col("type").alias("dst_type"), F.col("name").alias("dst_name"))
+    ends_of = nodes.where(F.col("type").isin("JOB", "DATASET"))
+    src, dst = [ends_of.select(F.col("id").alias(f"__{e[0]}id"), (F.col("type") == "JOB").alias(f"{e}_job"),
+                               F.col("name").alias(f"{e}_name")) for e in ("src", "tgt")]
     # A job may own a large share of all edges: hot node ids are salted.  Both
     # ends' hot ids are counted on the edges, not on the first lookup's result.
     ends = edges.select("source", "target")
     hot_targets = hot_keys(ends, "target", hot_rows)
-    e = hot_split_lookup(ends, src, "source", "__sid", hot_rows)
+    # An id that was resolved is not carried on: the next shuffle holds what is needed.
+    e = hot_split_lookup(ends, src, "source", "__sid", hot_rows).select("target", "src_job", "src_name")
     e = hot_split_lookup(e, dst, "target", "__tid", hot_rows, hot=hot_targets)
     # One pass: JOB→DATASET is an output of the job, DATASET→JOB an input.
-    is_out = (F.col("src_type") == "JOB") & (F.col("dst_type") == "DATASET")
-    is_in = (F.col("src_type") == "DATASET") & (F.col("dst_type") == "JOB")
-    io = e.where(is_out | is_in).select(
-        F.when(is_out, F.col("src_name")).otherwise(F.col("dst_name")).alias("job_name"),
+    is_out = F.col("src_job")
+    io = e.where(F.col("src_job") != F.col("tgt_job")).select(
+        F.when(is_out, F.col("src_name")).otherwise(F.col("tgt_name")).alias("job_name"),
         F.when(is_out, F.lit("out")).otherwise(F.lit("in")).alias("direction"),
-        F.when(is_out, F.col("dst_name")).otherwise(F.col("src_name")).alias("dataset"))
+        F.when(is_out, F.col("tgt_name")).otherwise(F.col("src_name")).alias("dataset"))
     return io.where(~is_system_job("job_name")).distinct()
 
 
@@ -70,18 +71,21 @@ def root_job_name(root: str) -> str:
 def neighbourhood(nodes: DataFrame, edges: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
     """Nodes and edges one hop around the root job (its inputs and outputs).
 
-    Filters on the root's node ids through semi joins, so nothing about the
-    graph is brought to the driver.
+    Filters on the root's node ids through semi joins.  The ids are few (one a
+    namespace) and broadcast, so the edges are filtered where they lie; so are
+    the nodes unless the root has very many neighbours.
     """
     job = root_job_name(root)
-    root_ids = nodes.where((F.col("type") == "JOB") & (F.col("name") == job)).select(F.col("id").alias("__rid"))
+    root_ids = F.broadcast(nodes.where((F.col("type") == "JOB") & (F.col("name") == job))
+                           .select(F.col("id").alias("__rid")))
     # Two equi semi joins (outputs, inputs) rather than one OR condition,
     # which would not be an equi-join.
     touching = (edges.join(root_ids, edges["source"] == root_ids["__rid"], "left_semi")
                 .unionByName(edges.join(root_ids, edges["target"] == root_ids["__rid"], "left_semi"))
                 .distinct())
+    touching = materialize(touching)
     ends = touching.select(F.col("source").alias("id")).unionByName(touching.select(F.col("target").alias("id"))).distinct()
-    hood_nodes = nodes.join(ends, "id", "left_semi")
+    hood_nodes = materialize(nodes.join(broadcast_if_few(materialize(ends)), "id", "left_semi"))
     return hood_nodes, touching
 
 
@@ -90,16 +94,18 @@ def downstream(edges: DataFrame, roots: DataFrame, max_depth: int | None = None)
     ``roots`` (column ``id``, depth 0), with the fewest hops it takes.
 
     One hop a round: the newest nodes meet the edges, and nodes seen before drop
-    out, so cycles end.  Each round's nodes are written once; the work of all
-    rounds is that of one join with the edges for each node reached.  Ends after
-    ``max_depth`` hops, or when a round finds nothing new.
+    out, so cycles end.  The edges are made distinct and written once, each
+    round's nodes too; a round reads the edges and shuffles them only if it
+    starts from more nodes than are broadcast.  Ends after ``max_depth`` hops,
+    or when a round finds nothing new.
     """
-    hops = edges.select("source", "target").distinct()
+    hops = stored(edges.select("source", "target").distinct(), "hops")
     newest = materialize(roots.select("id").distinct().withColumn("depth", F.lit(0)))
     seen, depth = newest, 0
     while max_depth is None or depth < max_depth:
         depth += 1
-        reached = (hops.join(newest.select("id"), hops["source"] == newest["id"], "left_semi")
+        start = broadcast_if_few(newest.select("id"))
+        reached = (hops.join(start, hops["source"] == start["id"], "left_semi")
                    .select(F.col("target").alias("id")).distinct())
         newest = materialize(reached.join(seen, "id", "left_anti").withColumn("depth", F.lit(depth)))
         if newest.isEmpty():

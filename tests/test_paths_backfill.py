@@ -172,3 +172,34 @@ def test_missing_ranges(spark):
                   for r in got) == [
         ("lake/a/date=*/", "j3", 1, 1, [1]), ("lake/a/date=*/", "j3", 8, 8, [8]), ("t.days", "j1", 3, 4, [3, 4]),
         ("t.days", "j1", 6, 8, [6, 7, 8]), ("t.unknown", None, 1, 8, list(range(1, 9)))]
+
+
+def shuffled(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_neighbourhood_and_hot_keys_leave_the_edges_where_they_lie(spark, monkeypatch):
+    from slicewarden.functions import joins
+
+    nodes, edges = graph(spark)
+    monkeypatch.setattr(lineage, "materialize", lambda df: df)          # the plans themselves
+    hood_nodes, hood = lineage.neighbourhood(nodes, edges, "ns:root.job")
+    assert "SortMergeJoin" not in shuffled(hood) and shuffled(hood).count("BroadcastHashJoin") == 2
+    assert "SortMergeJoin" not in shuffled(hood_nodes)
+    want = {x for r in hood.collect() for x in (r.source, r.target)}
+    assert {r.id for r in hood_nodes.collect()} == want & {r.id for r in nodes.collect()}
+    many = spark.range(40).selectExpr("cast(if(id < 9, 1, id) as string) as k")
+    hot = joins.hot_keys(many, "k", 4)
+    # Rows are counted by part first, and by key only in parts that may hold a hot one.
+    assert "BroadcastHashJoin" in shuffled(hot) and {(r["__hk"], r["__salts"]) for r in hot.collect()} == {("1", 3)}
+
+
+def test_downstream_writes_its_edges_once(spark, monkeypatch):
+    kept = []
+    store = lineage.stored
+    monkeypatch.setattr(lineage, "stored", lambda df, name: kept.append(store(df, name)) or kept[-1])
+    pairs = [(f"n{i}", f"n{i + 1}") for i in range(5)] * 3
+    got = lineage.downstream(spark.createDataFrame(pairs, "source string, target string"),
+                             spark.createDataFrame([("n0",)], "id string"))
+    assert {(r.id, r.depth) for r in got.collect()} == {(f"n{i}", i) for i in range(6)}
+    assert len(kept) == 1 and kept[0].count() == 5
