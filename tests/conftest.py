@@ -19,6 +19,18 @@ def spark():
     s.stop()
 
 
+@pytest.fixture()
+def no_size_broadcast(spark):
+    """Joins are broadcast by hint only, as if every side were large."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="sw-test-")

@@ -88,3 +88,21 @@ def test_salted_joins_with_hot_null_and_repeated_rows(spark):
     for bound in (1, 100, 10_000):
         got = Counter((r.k, r.v, r["_dup"]) for r in dedupe.flag_duplicates(big, ["k"], hot_rows=bound).collect())
         assert got == Counter((k, v, True) for k, v in rows)
+
+
+def test_duplicate_flags_move_no_rows_when_few_keys_repeat(spark, monkeypatch, no_size_broadcast):
+    from slicewarden.operators import dedupe
+
+    data = [(f, k, i) for i, (f, k) in enumerate([("a", "x"), ("a", "x"), ("b", "x"), ("b", None), ("b", None), (None, "y"),
+                                                  (None, "y"), ("c", "z")])]
+    df = spark.createDataFrame(data, "f string, k string, v long")
+    want = {0, 1, 3, 4, 5, 6}
+    few = dedupe.flag_duplicates(df, ["k"], scope=["f"])
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+    monkeypatch.setattr(dedupe, "FEW_KEYS", 1)
+    many = dedupe.flag_duplicates(df, ["k"], scope=["f"])
+    none = dedupe.flag_duplicates(df, ["v"])
+    for got, flagged in ((few, want), (many, want), (none, set())):
+        assert {r.v for r in got.collect() if r._dup} == flagged and got.count() == len(data)
+        assert got.columns == ["f", "k", "v", "_dup"]

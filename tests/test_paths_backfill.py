@@ -178,7 +178,7 @@ def shuffled(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_neighbourhood_and_hot_keys_leave_the_edges_where_they_lie(spark, monkeypatch):
+def test_neighbourhood_and_hot_keys_leave_the_edges_where_they_lie(spark, monkeypatch, no_size_broadcast):
     from slicewarden.functions import joins
 
     nodes, edges = graph(spark)
