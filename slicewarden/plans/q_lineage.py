@@ -387,11 +387,11 @@ start AS (SELECT 'job:' || MIN(l_suppkey) AS id FROM lineitem)"""
 
 @register("lin_downstream", f"""
 WITH RECURSIVE {_HOPS_SQL.strip()},
-walk(id, depth) AS (
+near(id, depth) USING KEY (id) AS (
   SELECT id, 0 FROM start
   UNION
-  SELECT h.target, w.depth + 1 FROM walk w JOIN hops h ON h.source = w.id WHERE w.depth < 12),
-near AS (SELECT id, MIN(depth) AS depth FROM walk GROUP BY id)
+  SELECT h.target, MIN(w.depth) + 1 FROM near w JOIN hops h ON h.source = w.id
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.near n WHERE n.id = h.target) GROUP BY h.target)
 SELECT id, depth, CAST(90 + 10 * ROW_NUMBER() OVER (ORDER BY depth, id) AS BIGINT) AS priority FROM near""")
 def lin_downstream(spark, sf_dir):
     """LIN-2/BKF-5 over all hops: what can be reached from a root job through
@@ -401,6 +401,6 @@ def lin_downstream(spark, sf_dir):
     reads = F.col("l_linenumber") == 1
     edges = rows.select(F.when(reads, part).otherwise(job).alias("source"), F.when(reads, job).otherwise(part).alias("target"))
     start = rows.agg(F.concat(F.lit("job:"), F.min("l_suppkey")).alias("id"))
-    found = lineage.downstream(edges, start, max_depth=12)
+    found = lineage.downstream(edges, start)
     ranked = global_positions(found, [F.col("depth"), F.col("id")], name="position")
     return ranked.select("id", "depth", (90 + 10 * F.col("position")).alias("priority"))

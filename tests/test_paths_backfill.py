@@ -203,3 +203,21 @@ def test_downstream_writes_its_edges_once(spark, monkeypatch):
                              spark.createDataFrame([("n0",)], "id string"))
     assert {(r.id, r.depth) for r in got.collect()} == {(f"n{i}", i) for i in range(6)}
     assert len(kept) == 1 and kept[0].count() == 5
+
+
+def test_downstream_query_follows_chains_to_their_end(spark, tmpdir_path):
+    import duckdb
+
+    from slicewarden.plans import ORACLE, QUERIES
+
+    # part k → job k → part k + 1 …: 15 hops, the last part back to job 3.
+    chain = [(1, k, k) for k in range(1, 9)] + [(2, k + 1, k) for k in range(1, 9)] + [(1, 9, 3), (1, 90, 91)]
+    rows = spark.createDataFrame(chain, "l_linenumber int, l_partkey long, l_suppkey long")
+    rows.write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    got = [tuple(r) for r in QUERIES["lin_downstream"](spark, tmpdir_path).collect()]
+    hops = [(f"part:{p}", f"job:{s}") if n == 1 else (f"job:{s}", f"part:{p}") for n, p, s in chain]
+    want = plain_downstream(hops, "job:1")
+    assert {i: d for i, d, _ in got} == want and max(want.values()) == 15
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS FROM read_parquet('{tmpdir_path}/lineitem.parquet/*.parquet')")
+    assert sorted(got) == sorted(con.execute(ORACLE["lin_downstream"]).fetchall())
