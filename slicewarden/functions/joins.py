@@ -22,6 +22,14 @@ def broadcast_if_few(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS else keys
 
 
+def broadcast_or_merge(keys: DataFrame) -> DataFrame:
+    """Like :func:`broadcast_if_few`, but many keys are never broadcast: the planner
+    judges a table by its files, and a few MB of them may hold millions of keys,
+    more than a driver can build a broadcast of."""
+    few = broadcast_if_few(keys)
+    return keys.hint("merge") if few is keys else few
+
+
 def hottest(counts: DataFrame, n_col: str, hot_rows: int) -> DataFrame:
     """The rows of ``counts`` with more than ``hot_rows``, at most ``MAX_HOT``
     of them (the largest)."""

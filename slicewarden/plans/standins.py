@@ -10,9 +10,10 @@ doubles agree bit for bit.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from slicewarden.functions.joins import broadcast_or_merge
 from slicewarden.session import stored
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -151,22 +152,28 @@ def lineage_graph(lineitem: DataFrame, supplier: DataFrame, part: DataFrame) ->
     table otherwise.  Suppliers of nation 0 are system (``bootstrap.``) jobs.
     """
     # Names are put together where they are used; what is shuffled and stored are keys.
+    def numbered(df: DataFrame, keys: list[str], first: str) -> DataFrame:
+        """Distinct rows, of which one a key is its first."""
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*df.columns))
+        return stored(df.distinct().withColumn(first, rank == 1), "lookup")
+
     system = F.coalesce(F.col("s_nationkey") == 0, F.lit(False)).alias("system")
-    sup = supplier.select("s_suppkey", "s_nationkey", system)
+    sup = numbered(supplier.where(F.col("s_suppkey").isNotNull()).select("s_suppkey", "s_nationkey", system),
+                   ["s_suppkey", "system"], "s_first")
     kind = F.when(F.col("p_size") < 5, 0).when(F.col("p_size") < 25, 1).otherwise(2)
-    prt = part.select("p_partkey", F.regexp_replace(F.lower(F.col("p_brand")), "#", "_").alias("brand"),
-                      kind.alias("kind"))
-    # Stored once: nodes and edges below both read them.  Pairs of keys are distinct, and meet each key once.
-    reads = (lineitem.select("l_suppkey", "l_partkey").distinct()
-             .join(sup.select("s_suppkey", "system").distinct(), F.col("l_suppkey") == F.col("s_suppkey"))
-             .join(prt.select("p_partkey").distinct(), F.col("l_partkey") == F.col("p_partkey"))
-             .select("l_suppkey", "system", "l_partkey"))
-    reads = stored(reads, "reads")
-    writes = (reads.join(sup.withColumnRenamed("system", "s_system").distinct(),
-                         (F.col("l_suppkey") == F.col("s_suppkey")) & (F.col("system") == F.col("s_system")))
-              .join(prt.distinct(), F.col("l_partkey") == F.col("p_partkey"))
-              .select("l_suppkey", "system", "s_nationkey", "brand", "kind").distinct())
-    writes = stored(writes, "writes")
+    prt = numbered(part.where(F.col("p_partkey").isNotNull())
+                   .select("p_partkey", F.regexp_replace(F.lower(F.col("p_brand")), "#", "_").alias("brand"),
+                           kind.alias("kind")), ["p_partkey"], "p_first")
+    # Stored once: reads and writes below both come from it.  Pairs of keys are distinct, and meet each key's first
+    # row once.  Parts may be many while their file is small, so how they are joined follows from their number.
+    met = (lineitem.select("l_suppkey", "l_partkey").distinct()
+           .join(broadcast_or_merge(sup), F.col("l_suppkey") == F.col("s_suppkey"))
+           .join(broadcast_or_merge(prt), F.col("l_partkey") == F.col("p_partkey"))
+           .select("l_suppkey", "system", "l_partkey", "s_nationkey", "brand", "kind",
+                   (F.col("s_first") & F.col("p_first")).alias("first")))
+    met = stored(met, "met")
+    reads = met.where("first").select("l_suppkey", "system", "l_partkey")
+    writes = stored(met.select("l_suppkey", "system", "s_nationkey", "brand", "kind").distinct(), "writes")
     job = F.concat(F.when(F.col("system"), F.lit("bootstrap.")).otherwise(F.lit("etl.")), F.lit("supplier_"),
                    F.col("l_suppkey").cast("string"))
     table_in = F.concat(F.lit("bigquery:proj.bronze.part_"), F.col("l_partkey").cast("string"))

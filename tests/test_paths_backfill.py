@@ -221,3 +221,34 @@ def test_downstream_query_follows_chains_to_their_end(spark, tmpdir_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW lineitem AS FROM read_parquet('{tmpdir_path}/lineitem.parquet/*.parquet')")
     assert sorted(got) == sorted(con.execute(ORACLE["lin_downstream"]).fetchall())
+
+
+def test_lineage_graph_broadcasts_lookups_by_their_rows(spark, tmpdir_path, monkeypatch):
+    import duckdb
+
+    from slicewarden.functions import joins
+    from slicewarden.plans import ORACLE, QUERIES, standins
+
+    monkeypatch.setattr(joins, "FEW_KEYS", 3)
+    plans, stored = {}, standins.stored
+    monkeypatch.setattr(standins, "stored", lambda df, name: (plans.update({name: shuffled(df)}), stored(df, name))[1])
+    # Keys come twice, with other attributes or the same; some are null.
+    tables = {"lineitem": ("l_suppkey long, l_partkey long", [(s, p) for s in (1, 2, 3, None) for p in (1, 2, 3, 4, 9, None)]),
+              "supplier": ("s_suppkey long, s_nationkey int", [(1, 0), (1, 5), (1, 6), (2, 7), (2, 7), (3, None), (None, 1)]),
+              "part": ("p_partkey long, p_brand string, p_size int",
+                       [(1, "Brand#1", 1), (1, "Brand#2", 30), (2, "Brand#1", 10), (2, "Brand#1", 11), (3, None, 3),
+                        (4, "Brand#4", None), (None, "Brand#5", 5)])}
+    con = duckdb.connect()
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmpdir_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS FROM read_parquet('{tmpdir_path}/{name}.parquet/*.parquet')")
+    for query in ("lin_job_io", "lin_produced_datasets"):
+        want = con.execute(ORACLE[query])
+        columns = [d[0] for d in want.description]
+        got = QUERIES[query](spark, tmpdir_path).select(*columns).collect()
+        assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall()))
+    # The files are tiny, but more keys than are broadcast: both lookups go through a shuffle.
+    assert "BroadcastHashJoin" not in plans["met"] and plans["met"].count("SortMergeJoin") == 2
+    monkeypatch.setattr(joins, "FEW_KEYS", 100)
+    QUERIES["lin_job_io"](spark, tmpdir_path)
+    assert plans["met"].count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plans["met"]
