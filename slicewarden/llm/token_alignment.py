@@ -334,16 +334,39 @@ def align_chunk(texts: list[bytes], tool_a: Tool, tool_b: Tool, digest: bool) ->
 # -- over the corpus -------------------------------------------------------------
 
 CHUNK = {"ids": None, "n_a": "long", "n_b": "long", "n_groups": "long", "n_links": "long", "groups": "string",
-         "doc_windows": "int", "windows": "int", "times": "int", "window_links": "int", "links": "int",
          "pairs": "long", "pair_times": "long"}
-KINDS = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+KINDS = {"long": pa.int64(), "string": pa.string()}
+# Columns with a number for each window or link: only Python reads them, so they move as one value of bytes.  As
+# arrays they would be megabytes a row, copied again by every reader, writer and sort of the executor's heap.
+PACKED = ("doc_windows", "windows", "times", "window_links", "links")
+
+
+def pack(columns: list[np.ndarray]) -> bytes:
+    """Numbers from 0 to 2**32 - 1 as bytes: how many each column has, its size,
+    then all first bytes of its numbers, all second ones and so on, compressed."""
+    codec, out = pa.Codec("zstd", compression_level=1), []
+    for values in columns:
+        planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+        out.append(codec.compress(planes.tobytes(), asbytes=True))
+    sizes = np.array([[len(v), len(c)] for v, c in zip(columns, out)], "<i8")
+    return b"".join([sizes.tobytes(), *out])
+
+
+def unpack(data: bytes, n: int) -> list[np.ndarray]:
+    """The ``n`` columns of :func:`pack`."""
+    codec, at, out = pa.Codec("zstd"), 16 * n, []
+    for length, size in np.frombuffer(data[:at], "<i8").reshape(n, 2).tolist():
+        planes = np.frombuffer(codec.decompress(data[at:at + size], 4 * length, asbytes=True), np.uint8)
+        out.append(np.ascontiguousarray(planes.reshape(4, length).T).view("<u4").reshape(-1).astype(np.int64))
+        at += size
+    return out
 
 
 def chunks(docs: DataFrame, id_col: str, text_col: str, a: tuple[str, str], b: tuple[str, str], digest: bool,
            chunk_bytes: int) -> DataFrame:
     """A row for each chunk of documents of a task."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    ddl = "chunk long, " + ", ".join(f"{c} array<{kind or id_type}>" for c, kind in CHUNK.items())
+    ddl = "chunk long, " + ", ".join(f"{c} array<{kind or id_type}>" for c, kind in CHUNK.items()) + ", packed binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = load(*a), load(*b)
@@ -355,7 +378,8 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, a: tuple[str, str], b: t
             for c, kind in CHUNK.items():
                 values = pa.array(cols[c], KINDS.get(kind, id_kind))
                 arrays.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
-            return pa.RecordBatch.from_arrays(arrays, ["chunk", *CHUNK])
+            arrays.append(pa.array([pack([cols[c] for c in PACKED])], pa.binary()))
+            return pa.RecordBatch.from_arrays(arrays, ["chunk", *CHUNK, "packed"])
 
         for batch in batches:
             id_kind = batch.schema.field(0).type
@@ -393,7 +417,7 @@ def align(docs: DataFrame, a: tuple[str, str], b: tuple[str, str], id_col: str =
     counts = stored(pair_counts(found), "pair_ranks")
     sums = (found.select(F.col("chunk").alias("of"), F.posexplode("pairs").alias("place", "pair")).join(counts, "pair")
             .select("of", "place", "n", "best"))
-    keep = found.select("chunk", *[c for c in CHUNK if c not in ("pairs", "pair_times")])
+    keep = found.select("chunk", *[c for c in CHUNK if c not in ("pairs", "pair_times")], "packed")
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType)]
                           + [T.StructField(c, T.LongType()) for c in
                              ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]
@@ -403,20 +427,17 @@ def align(docs: DataFrame, a: tuple[str, str], b: tuple[str, str], id_col: str =
         def own(c):
             return chunk.column(c).combine_chunks().flatten()
 
-        def flat(c):
-            return own(c).to_numpy(zero_copy_only=False)
-
+        packed = dict(zip(PACKED, unpack(chunk.column("packed")[0].as_py(), len(PACKED))))
         place = pairs.column("place").to_numpy()
         of_pair = {c: np.zeros(len(place), np.int64) for c in ("n", "best")}
         for c in of_pair:
             of_pair[c][place] = pairs.column(c).to_numpy().astype(np.int64)
         sums = {}
-        start = np.concatenate([[0], np.cumsum(flat("doc_windows"))]).astype(np.int64)
+        start, ends = np.concatenate([[0], np.cumsum(packed["doc_windows"])]), np.cumsum(packed["window_links"])
         for c, values in of_pair.items():
-            run = np.concatenate([[0], np.cumsum(values[flat("links")])])
-            ends = np.cumsum(flat("window_links")).astype(np.int64)
-            of_window = run[ends] - run[ends - flat("window_links")]
-            upto = np.concatenate([[0], np.cumsum(of_window[flat("windows")] * flat("times"))])
+            run = np.concatenate([[0], np.cumsum(values[packed["links"]])])
+            of_window = run[ends] - run[ends - packed["window_links"]]
+            upto = np.concatenate([[0], np.cumsum(of_window[packed["windows"]] * packed["times"])])
             sums[c] = (upto[start[1:]] - upto[start[:-1]]).astype(np.int64)
         return pa.Table.from_arrays([own("ids"), *[own(c) for c in ("n_a", "n_b", "n_groups", "n_links")],
                                      pa.array(sums["best"]), pa.array(sums["n"]), own("groups")],

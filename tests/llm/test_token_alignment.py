@@ -147,3 +147,18 @@ def test_the_faster_encoder_gives_the_same_ids():
     want = [e.ids for e in tok.encode_batch([" " + t for t in texts], add_special_tokens=False)]
     assert [np.asarray(x).tolist() for x in tool.encode(texts)] == want
     assert ta._ranked(A[1], tool.table, {50256}) is not None
+
+
+def test_windows_of_a_chunk_move_as_one_small_value(spark):
+    texts = [" ".join(f"word {k % 13} and café {k % 7}," for k in range(n)) for n in (400, 0, 3, 250)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = ta.chunks(df, "doc_id", "text", A, B, True, 1 << 20)
+    # No row of the executors' heap has an element for each window or link.
+    assert not [c for c, t in found.dtypes if t == "array<int>"] and dict(found.dtypes)["packed"] == "binary"
+    row = found.first()
+    want = ta.align_chunk([texts[k].encode() for k in row.ids], ta.load(*A), ta.load(*B), True)
+    got = dict(zip(ta.PACKED, ta.unpack(row.packed, len(ta.PACKED))))
+    assert all(np.array_equal(got[c], want[c]) for c in ta.PACKED) and len(got["windows"]) > 20
+    assert len(row.packed) < 2 * sum(len(want[c]) for c in ta.PACKED)
+    numbers = [np.array([0, 1, 255, 256, 65536, 2**32 - 1]), np.zeros(0, np.int64), np.arange(70_000)]
+    assert all(np.array_equal(g, n) for g, n in zip(ta.unpack(ta.pack(numbers), 3), numbers))
